@@ -119,11 +119,14 @@ def remove_stopwords(tokens: str | Column, stop: Sequence[str]) -> Column:
 
 def ngrams(tokens: str | Column, n: int = 2) -> Column:
     """Adjacent n-grams joined by a space; an empty array when there are fewer than n tokens."""
-    t = col(tokens)
-    starts = F.when(F.size(t) >= n, F.sequence(F.lit(1), F.size(t) - (n - 1))).otherwise(
-        F.array().cast("array<int>")
-    )
-    return F.transform(starts, lambda i: F.concat_ws(" ", F.slice(t, i, n)))
+    none = F.array().cast("array<string>")
+
+    def build(t: Column) -> Column:
+        starts = F.slice(t, 1, F.greatest(F.size(t) - (n - 1), F.lit(0)))
+        return F.transform(starts, lambda _, i: F.concat_ws(" ", F.slice(t, i + 1, n)))
+
+    # wrapping the tokens in a one-element array binds them once, however often the body refers to them
+    return F.coalesce(F.transform(F.array(col(tokens)), build)[0], none)
 
 
 def tag_array(c: str | Column) -> Column:
