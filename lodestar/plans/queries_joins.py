@@ -17,7 +17,7 @@ def _(t):
 
 @query(
     "j02_inner_tables",
-    "SELECT n_name, c_mktsegment, o_orderpriority, count(*) AS n, round(sum(l_extendedprice * (1 - l_discount)), 2) AS revenue FROM lineitem JOIN orders ON l_orderkey = o_orderkey "
+    "SELECT n_name, c_mktsegment, o_orderpriority, count(*) AS n, round(sum(l_extendedprice * (1 - l_discount)), 4) AS revenue FROM lineitem JOIN orders ON l_orderkey = o_orderkey "
     "JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY ALL",
 )
 def _(t):
@@ -25,7 +25,7 @@ def _(t):
     orders = t.orders.select("o_orderkey", F.col("o_custkey").alias("c_custkey"), "o_orderpriority")
     nation = t.nation.select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
     wide = J.join_tables(J.join_tables(J.join_tables(lines, orders, "o_orderkey"), t.customer, "c_custkey"), nation, "c_nationkey")
-    return wide.groupBy("n_name", "c_mktsegment", "o_orderpriority").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("v"), 2).alias("revenue"))
+    return wide.groupBy("n_name", "c_mktsegment", "o_orderpriority").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("v"), 4).alias("revenue"))
 
 
 _STAR_SQL = (

@@ -20,13 +20,12 @@ def _(t):
 
 @query(
     "ts01_resample_gaps",
-    "WITH p AS (SELECT user_id, ts, value FROM events WHERE event_type = 'purchase' AND user_id <= (SELECT avg(user_id) FROM events)), d AS (SELECT unnest(generate_series((SELECT date_trunc('hour', min(ts)) FROM p), "
+    "WITH p AS (SELECT user_id, ts, value FROM events WHERE event_type = 'purchase'), d AS (SELECT unnest(generate_series((SELECT date_trunc('hour', min(ts)) FROM p), "
     "(SELECT date_trunc('hour', max(ts)) FROM p), INTERVAL 1 HOUR)) AS h) SELECT strftime(h, '%Y-%m-%d %H') AS hour, count(value) AS n, round(coalesce(max(value), -1), 4) AS max FROM d LEFT JOIN p ON date_trunc('hour', ts) = h "
     "GROUP BY ALL",
 )
 def _(t):
-    middle = t.events.agg(F.avg("user_id")).first()[0]
-    rows = t.events.where((F.col("event_type") == "purchase") & (F.col("user_id") <= middle))
+    rows = t.events.where(F.col("event_type") == "purchase")
     out = TS.resample(rows, "ts", "hour", {"n": F.count("value"), "max": F.max("value")}, fill_gaps=True)
     return out.select(
         F.date_format("period", "yyyy-MM-dd HH").alias("hour"), F.coalesce("n", F.lit(0)).alias("n"), F.round(F.coalesce("max", F.lit(-1.0)), 4).alias("max")

@@ -60,7 +60,7 @@ def differences(mine: pd.DataFrame, theirs: pd.DataFrame) -> str | None:
     a, b = rows_of(mine), rows_of(theirs)
     bad = [(x, y) for x, y in zip(a, b) if x != y]
     if bad:
-        return f"{len(bad)} rows differ, first {bad[0]}"
+        return f"{len(bad)} rows differ, first {str(bad[0])[:400]}"
     if odd:
         return f"types {odd}"
     return None
