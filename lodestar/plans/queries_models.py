@@ -1 +1,297 @@
+"""Train, tune and score queries. Fits are checked by rows and by tests; plain aggregates have SQL."""
+
+from __future__ import annotations
+
+from pyspark.ml.evaluation import RegressionEvaluator
+from pyspark.ml.feature import MinMaxScaler
+from pyspark.sql import functions as F
+
+from lodestar.functions.text import decode_tags
+from lodestar.operators import metrics as M
+from lodestar.operators import models as ML
+from lodestar.operators.clustering import as_vector, assemble
+from lodestar.operators.rows import split_weights
+from lodestar.operators.scaling import materialise
+from lodestar.operators.textmining import tfidf_hashed
+from lodestar.plans.registry import query
+
+_NUM = ["l_quantity", "l_discount", "l_tax"]
+_KEYS = ["row_id"]
+
+
+def _lines(t):
+    """Order lines with a row key, the price as label and assembled numbers."""
+    rows = t.lineitem.select(
+        F.xxhash64(*t.lineitem.columns).alias("row_id"), F.col("l_extendedprice").alias("label"), *_NUM, "l_returnflag", "l_linestatus"
+    )
+    return assemble(rows, _NUM)
+
+
+def _parts(df, keys, weights=(0.8, 0.2)):
+    stored = materialise(df)
+    return split_weights(stored, keys, list(weights))
+
+
+def _posts(t, num_features=256):
+    """Labelled documents as TF-IDF vectors with quality and toxic flags and their code."""
+    rows = t.documents.join(t.labels, "doc_id").select(
+        "doc_id", "text", "quality", "toxic", F.concat(F.col("quality").cast("string"), F.col("toxic").cast("string")).alias("code")
+    )
+    train, test = split_weights(rows, ["doc_id"], [0.8, 0.2])
+    fitted = tfidf_hashed(train, test, "text", num_features)
+    return [materialise(part.drop("text")) for part in fitted]
+
+
+def _vectors(t):
+    """Embeddings with the class label, scaled to [0, 1]."""
+    rows = as_vector(t.embeddings, "embedding", "raw").select("vec_id", F.col("label").cast("double").alias("label"), "raw")
+    scaled = MinMaxScaler(inputCol="raw", outputCol="features").fit(rows).transform(rows)
+    return _parts(scaled.drop("raw"), ["vec_id"])
+
+
+def _accuracy(scored, label="label", predicted="prediction"):
+    return scored.agg(F.count(F.lit(1)).alias("n"), F.avg((F.col(label) == F.col(predicted)).cast("double")).alias("accuracy"))
+
+
+def _errors(scored):
+    return M.regression_errors(scored, "label", "prediction").select("n", "mae", "rmse", "mape")
+
+
+@query("ml03_logistic_per_label")
+def _(t):
+    train, test = _posts(t)
+    out = ML.fit_per_label(train, test, ["quality", "toxic"], lambda tag: ML.logistic(tag, maxIter=10, regParam=0.01))
+    return out.select("doc_id", "quality_pred", "toxic_pred")
+
+
+@query("ml04_tag_code")
+def _(t):
+    train, test = _posts(t)
+    out = ML.fit_tag_code(train, test, "code", ML.logistic(multinomial=True, maxIter=10, regParam=0.01))
+    return out.select("doc_id", "predicted_code", F.array_join(decode_tags("predicted_code", ["quality", "toxic"]), ",").alias("tags"))
+
+
+@query("ml05_one_vs_rest")
+def _(t):
+    train, test = _vectors(t)
+    return _accuracy(ML.one_vs_rest().fit(train).transform(test))
+
+
+@query("ml06_naive_bayes")
+def _(t):
+    train, test = _vectors(t)
+    parts = [_accuracy(ML.naive_bayes(kind=k).fit(train).transform(test)).withColumn("kind", F.lit(k)) for k in ("multinomial", "gaussian")]
+    return parts[0].unionByName(parts[1])
+
+
+@query("ml07_tree_classifiers")
+def _(t):
+    train, test = _vectors(t)
+    out = None
+    for kind in ("tree", "forest", "bagging"):
+        params = {"maxDepth": 5} if kind == "tree" else {"maxDepth": 5, "numTrees": 5}
+        part = _accuracy(ML.trees(kind, "classify", **params).fit(train).transform(test)).withColumn("kind", F.lit(kind))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query("ml07_tree_regressors")
+def _(t):
+    train, test = _parts(_lines(t), _KEYS)
+    out = None
+    for kind in ("tree", "forest"):
+        params = {"maxDepth": 4} if kind == "tree" else {"maxDepth": 4, "numTrees": 5}
+        part = _errors(ML.trees(kind, "regress", **params).fit(train).transform(test)).withColumn("kind", F.lit(kind))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query("ml08_boosted_regressor")
+def _(t):
+    train, test = _parts(_lines(t), _KEYS)
+    return _errors(ML.trees("boosted", "regress", maxDepth=3, maxIter=4).fit(train).transform(test))
+
+
+@query("ml09_perceptron")
+def _(t):
+    train, test = _vectors(t)
+    return _accuracy(ML.perceptron([64, 16, 10], maxIter=20).fit(train).transform(test))
+
+
+@query("ml10_linear_family")
+def _(t):
+    train, test = _parts(_lines(t), _KEYS)
+    out = None
+    for kind, alpha in (("plain", 0.0), ("ridge", 0.1), ("lasso", 0.1), ("lasso", 10.0)):
+        part = _errors(ML.linear(kind=kind, alpha=alpha).fit(train).transform(test)).select(F.lit(kind).alias("kind"), F.lit(alpha).alias("alpha"), "*")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query("ml11_huber")
+def _(t):
+    train, test = _parts(_lines(t), _KEYS)
+    return _errors(ML.linear(kind="huber", maxIter=20).fit(train).transform(test))
+
+
+@query("ml12_inliers_split")
+def _(t):
+    kept = ML.inliers_split(_lines(t).dropDuplicates(_KEYS), ML.linear(), "label", _KEYS)
+    return kept.agg(F.count(F.lit(1)).alias("n"), F.avg("label").alias("mean"))
+
+
+@query("ml13_discriminants")
+def _(t):
+    rows = t.lineitem.select("l_returnflag", "l_linestatus", *_NUM, "l_extendedprice")
+    columns = [*_NUM, "l_extendedprice"]
+    out = None
+    for kind, shared in (("linear", True), ("quadratic", False)):
+        scored = ML.discriminant(rows, rows, "l_returnflag", columns, shared)
+        part = _accuracy(scored, "l_returnflag", "predicted").withColumn("kind", F.lit(kind))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query("ml14_linear_svm")
+def _(t):
+    train, test = _posts(t)
+    model = ML.linear_svm("quality", maxIter=10, regParam=0.1).fit(train)
+    return _accuracy(model.transform(test), "quality")
+
+
+@query("ml15_poly2")
+def _(t):
+    rows = ML.poly2().transform(_lines(t))
+    train, test = _parts(rows, _KEYS)
+    return _errors(ML.linear(features="poly").fit(train).transform(test))
+
+
+@query("ml16_mixed_pipeline")
+def _(t):
+    rows = t.lineitem.select(
+        F.xxhash64(*t.lineitem.columns).alias("row_id"), F.col("l_extendedprice").alias("label"), "l_returnflag", "l_linestatus",
+        F.when(F.col("l_tax") > 0, F.col("l_tax")).alias("l_tax"), "l_quantity",
+    )
+    train, test = _parts(rows, _KEYS)
+    model = ML.mixed_pipeline(["l_quantity", "l_tax"], ["l_returnflag", "l_linestatus"]).fit(train)
+    fitted = ML.linear().fit(model.transform(train))
+    return _errors(fitted.transform(model.transform(test)))
+
+
+@query("ml17_grid_search")
+def _(t):
+    estimator = ML.trees("tree", "regress")
+    maps = ML.grid(estimator, {"maxDepth": [2, 4], "minInstancesPerNode": [5, 50]})
+    _, table = ML.grid_search(_lines(t), estimator, maps, RegressionEvaluator(metricName="mae"), _KEYS, folds=2)
+    return table
+
+
+@query("ml17_random_search")
+def _(t):
+    estimator = ML.linear(kind="ridge")
+    maps = ML.random_grid(estimator, {"regParam": [0.0, 0.1, 1.0, 10.0], "elasticNetParam": [0.0, 0.5, 1.0]}, 3)
+    _, table = ML.grid_search(_lines(t), estimator, maps, M.MapeEvaluator(), _KEYS, folds=2)
+    return table
+
+
+@query("ml17_cross_val_scores")
+def _(t):
+    return ML.cross_val_scores(_lines(t), ML.linear(), "label", _KEYS, folds=3)
+
+
+@query("ml18_learning_curve")
+def _(t):
+    return ML.learning_curve(_lines(t), ML.linear(), "label", _KEYS, [0.1, 0.5, 1.0])
+
+
+@query("ml18_validation_curve")
+def _(t):
+    return ML.validation_curve(_lines(t), ML.trees("tree", "regress"), "maxDepth", [1, 3, 5], "label", _KEYS)
+
+
+@query("ml19_permutation_importance")
+def _(t):
+    rows = materialise(_lines(t).drop("features"))
+    model = ML.linear().fit(assemble(rows, _NUM))
+
+    def score(df):
+        return M.regression_errors(model.transform(assemble(df, _NUM)), "label", "prediction").first()["mae"]
+
+    return ML.permutation_importance(rows, score, _NUM, _KEYS, repeats=1)
+
+
+@query("ml19_tree_importance")
+def _(t):
+    model = ML.trees("forest", "regress", numTrees=5, maxDepth=4).fit(_lines(t))
+    return ML.tree_importance(model, _NUM, t.spark)
+
+
+@query(
+    "ml19_merge_importances",
+    "WITH a AS (SELECT p_brand AS feature, avg(p_size)::DOUBLE AS importance FROM part GROUP BY p_brand), b AS (SELECT p_brand AS feature, avg(p_retailprice) / 100 AS importance FROM part WHERE p_brand <> 'Brand#1' GROUP BY p_brand) "
+    "SELECT feature, round((coalesce(a.importance, 0) + coalesce(b.importance, 0)) / 2, 7) AS importance FROM a FULL JOIN b USING (feature)",
+)
+def _(t):
+    a = t.part.groupBy(F.col("p_brand").alias("feature")).agg(F.avg("p_size").alias("importance"))
+    b = t.part.where("p_brand <> 'Brand#1'").groupBy(F.col("p_brand").alias("feature")).agg((F.avg("p_retailprice") / 100).alias("importance"))
+    return ML.merge_importances(a, b).withColumn("importance", F.round("importance", 7))
+
+
+@query("ml20_cross_val_predict")
+def _(t):
+    out = ML.cross_val_predict(_lines(t), ML.linear(), _KEYS, folds=3)
+    return M.regression_errors(out, "label", "prediction", ["fold"]).select("fold", "n", "mae")
+
+
+@query(
+    "ml21_per_group_lines",
+    "SELECT l_suppkey, count(*) AS n, round(regr_slope(l_extendedprice, l_quantity), 5) AS slope, round(regr_intercept(l_extendedprice, l_quantity), 4) AS intercept FROM lineitem GROUP BY l_suppkey",
+)
+def _(t):
+    out = ML.per_group_lines(t.lineitem, "l_suppkey", "l_quantity", "l_extendedprice")
+    return out.select("l_suppkey", "n", F.round("slope", 5).alias("slope"), F.round("intercept", 4).alias("intercept"))
+
+
+@query(
+    "ml21_per_group_models",
+    "SELECT l_returnflag, count(*) AS n, round(regr_slope(l_extendedprice, l_quantity), 3) AS slope, round(avg(abs(l_extendedprice - p)), 2) AS mae FROM (SELECT *, regr_slope(l_extendedprice, l_quantity) OVER w * l_quantity + regr_intercept(l_extendedprice, l_quantity) OVER w AS p "
+    "FROM lineitem WINDOW w AS (PARTITION BY l_returnflag)) GROUP BY l_returnflag",
+)
+def _(t):
+    models = ML.per_group_models(t.lineitem, "l_returnflag", ["l_quantity"], "l_extendedprice", ridge=0.0)
+    scored = ML.apply_group_models(t.lineitem, models, "l_returnflag", ["l_quantity"])
+    errors = M.regression_errors(scored, "l_extendedprice", "prediction", ["l_returnflag"])
+    slopes = models.select("l_returnflag", F.round(F.col("coefficients")[1], 3).alias("slope"))
+    return errors.join(slopes, "l_returnflag").select("l_returnflag", "n", "slope", F.round("mae", 2).alias("mae"))
+
+
+@query("ml22_score_unlabelled")
+def _(t):
+    labelled = t.documents.join(t.labels, "doc_id")
+    features, unseen = tfidf_hashed(labelled, t.documents.join(t.labels, "doc_id", "left_anti"), "text", 256)
+    model = ML.logistic("quality", maxIter=5, regParam=0.01).fit(features)
+    return ML.score_unlabelled(model, unseen, "doc_id", F.when(F.col("prediction") == 1, F.array(F.lit("quality"))).otherwise(F.array().cast("array<string>")))
+
+
+@query("ml23_log_target")
+def _(t):
+    train, test = _parts(_lines(t), _KEYS)
+    return _errors(ML.log_target(ML.linear(), "label")(train)(test))
+
+
+@query("ml24_feature_union")
+def _(t):
+    rows = ML.poly2(out="wide").transform(_lines(t))
+    train, test = _parts(rows, _KEYS)
+    union = ML.feature_union(2, 3, "label", "wide").fit(train)
+    return _errors(ML.linear(features="union").fit(union.transform(train)).transform(union.transform(test)))
+
+
+@query(
+    "ml26_majority_vote",
+    "WITH p AS (SELECT l_orderkey AS id, l_returnflag AS y FROM lineitem), v AS (SELECT id, y, row_number() OVER (PARTITION BY id ORDER BY count(*) DESC, y) AS rn FROM p GROUP BY id, y) SELECT id, y AS predicted FROM v WHERE rn = 1",
+)
+def _(t):
+    return ML.majority_vote(t.lineitem.select(F.col("l_orderkey").alias("id"), F.col("l_returnflag").alias("y")), "id", "y")
+
 
