@@ -16,6 +16,22 @@ def col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+HASH_RANGE = 1 << 32
+
+
+def key_hash(keys: Sequence[str | Column], seed: int | Column = 42) -> Column:
+    """A number in [0, 2^32) from a row key: the first 32 bits of an MD5, so that samples are the same on
+    every layout of the data and can be drawn by other engines too."""
+    seed = seed if isinstance(seed, Column) else F.lit(seed)
+    text = F.concat_ws(":", *[col(k).cast("string") for k in keys], seed.cast("string"))
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
+
+
+def hash_fraction(keys: Sequence[str | Column], seed: int = 42) -> Column:
+    """A reproducible number in [0, 1) from a row key."""
+    return key_hash(keys, seed) / F.lit(float(HASH_RANGE))
+
+
 # --- filters -----------------------------------------------------------------------------------
 
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.clustering import BisectingKMeans, KMeans, PowerIterationClustering
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -96,9 +98,6 @@ def lsa(df: DataFrame, id_col: str, features: str, k: int) -> tuple[DataFrame, D
     Tasks add up X'X of their own rows (one p x p matrix per task, p being the hashed feature count);
     the sum is decomposed once, and rows are projected by a matrix literal of p x k values.
     """
-    import numpy as np
-    import pandas as pd
-
     spark = df.sparkSession
     arrays = materialise(df.select(F.col(id_col).alias("id"), vector_to_array(features).alias("x")))
     first = arrays.select(F.size("x")).first()

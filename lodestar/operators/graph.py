@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lodestar.functions.columns import key_hash
 from lodestar.operators.aggregates import corr_matrix
 from lodestar.operators.scaling import block_product, materialise, with_row_number
 from lodestar.sources.readers import canonical_edges
@@ -270,7 +271,7 @@ def modularity(edges: DataFrame, clustering: DataFrame) -> DataFrame:
 
 
 def random_labels(nodes: DataFrame, k: int = 2, seed: int = 42) -> DataFrame:
-    return nodes.select("node", F.pmod(F.xxhash64("node", F.lit(seed)), F.lit(k)).cast("int").alias("cluster"))
+    return nodes.select("node", F.pmod(key_hash(["node"], seed), F.lit(k)).cast("int").alias("cluster"))
 
 
 def shortest_paths(edges: DataFrame, max_rounds: int = 10000) -> DataFrame:
@@ -340,7 +341,7 @@ def random_walks(edges: DataFrame, num_walks: int, length: int, seed: int = 42)
         "start", "walk", F.col("start").alias("at"), F.array("start").alias("nodes")
     )
     for step in range(1, length):
-        choice = F.pmod(F.xxhash64("start", "walk", F.lit(step), F.lit(seed)), F.col("deg"))
+        choice = F.pmod(key_hash(["start", "walk", F.lit(step)], seed), F.col("deg"))
         walks = (
             walks.join(outs, "at", "left")
             .withColumn("pick", choice)

@@ -42,8 +42,9 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lodestar.functions.columns import hash_fraction, key_hash
 from lodestar.operators.metrics import regression_errors
-from lodestar.operators.rows import fold_column, hash_fraction
+from lodestar.operators.rows import fold_column
 from lodestar.operators.scaling import materialise, union_all, with_row_number
 
 # --- estimators ----------------------------------------------------------------------------------
@@ -285,11 +286,9 @@ def validation_curve(
 
 def shuffle_column(df: DataFrame, column: str, keys: Sequence[str], seed: int) -> DataFrame:
     """The rows with one column permuted: rows and values are numbered in two hash orders and joined."""
-    h = lambda s: F.xxhash64(*[F.col(k) for k in keys], F.lit(s))
-    rows = with_row_number(df.withColumn("_h", h(seed)), ["_h", *keys], "_n").drop("_h", column)
-    values = with_row_number(
-        df.select(*keys, column).withColumn("_h", h(seed + 7919)), ["_h", *keys], "_n"
-    ).select("_n", column)
+    rows = with_row_number(df.withColumn("_h", key_hash(keys, seed)), ["_h", *keys], "_n").drop("_h", column)
+    moved = df.select(*keys, column).withColumn("_h", key_hash(keys, seed + 7919))
+    values = with_row_number(moved, ["_h", *keys], "_n").select("_n", column)
     return rows.join(values, "_n").drop("_n").select(*df.columns)
 
 

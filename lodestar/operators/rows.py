@@ -7,11 +7,10 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lodestar.functions.columns import HASH_RANGE, hash_fraction, key_hash
 from lodestar.functions.text import tokenize
 from lodestar.operators.scaling import materialise, running_totals, top_k_per_key, with_row_number
 
-_HASH_STEPS = 1 << 30
-
 
 def group_max_rows(df: DataFrame, key: str, column: str) -> DataFrame:
     """Rows that hold the maximum of their group, ties included.
@@ -114,18 +113,13 @@ def common_words(a: DataFrame, b: DataFrame, column: str = "value") -> DataFrame
     return each[0].join(each[1], "word", "left_semi")
 
 
-def hash_fraction(keys: Sequence[str], seed: int = 42) -> Column:
-    """A reproducible number in [0, 1) from a row key; it does not depend on partitions."""
-    return F.pmod(F.xxhash64(*[F.col(k) for k in keys], F.lit(seed)), F.lit(_HASH_STEPS)) / F.lit(_HASH_STEPS)
-
-
 def sample_hash(df: DataFrame, keys: Sequence[str], fraction: float, seed: int = 42) -> DataFrame:
     return df.where(hash_fraction(keys, seed) < fraction)
 
 
 def sample_n(df: DataFrame, keys: Sequence[str], n: int, seed: int = 42) -> DataFrame:
     """Exactly n rows (or all, if fewer): the n smallest key hashes."""
-    return df.orderBy(F.xxhash64(*[F.col(k) for k in keys], F.lit(seed)), *keys).limit(n)
+    return df.orderBy(key_hash(keys, seed), *keys).limit(n)
 
 
 def split_weights(df: DataFrame, keys: Sequence[str], weights: Sequence[float], seed: int = 42) -> list[DataFrame]:
@@ -147,7 +141,7 @@ def stratified_split(
     Rows are numbered over (class, hash); the share applies to the position inside the class, which is
     the number minus the rows of earlier classes, so a class is never sorted by one task.
     """
-    hashed = df.withColumn("_h", F.xxhash64(*[F.col(k) for k in keys], F.lit(seed)))
+    hashed = df.withColumn("_h", key_hash(keys, seed))
     numbered = with_row_number(hashed, [label, "_h", *keys], "_pos")
     classes = numbered.groupBy(label).agg(F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_first"))
     place = F.col("_pos") - F.col("_first")
@@ -177,9 +171,11 @@ def bootstrap(df: DataFrame, keys: Sequence[str], seed: int = 42) -> DataFrame:
     """
     numbered = materialise(with_row_number(df, list(keys), "_pos"))
     n = numbered.count()
+    # two hashes give 63 bits, enough for any row count
+    wide = F.pmod(key_hash(["id"], seed), F.lit(HASH_RANGE // 2)) * F.lit(HASH_RANGE) + key_hash(["id"], seed + 1)
     picks = (
         df.sparkSession.range(1, n + 1)
-        .select((F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(max(n, 1))) + 1).alias("_pos"))
+        .select((F.pmod(wide, F.lit(max(n, 1))) + 1).alias("_pos"))
         .groupBy("_pos")
         .agg(F.count(F.lit(1)).cast("int").alias("_times"))
     )

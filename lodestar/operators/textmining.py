@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lodestar.functions.columns import hash_fraction
 from lodestar.functions.text import tokenize
 from lodestar.operators.scaling import top_k_per_key, with_row_number
 
@@ -296,10 +297,8 @@ def graph_features(edges: DataFrame) -> DataFrame:
 
 def attach_vectors(vocab: DataFrame, vectors: DataFrame, dim: int, seed: int = 42, limit: float = 0.25) -> DataFrame:
     """Pre-trained vectors of the words; unknown words get uniform values from a hash of the word."""
-    steps = 1 << 30
     unit = F.transform(
-        F.sequence(F.lit(1), F.lit(dim)),
-        lambda i: F.pmod(F.xxhash64(F.col("word"), i, F.lit(seed)), F.lit(steps)) / F.lit(steps) * 2 * limit - limit,
+        F.sequence(F.lit(1), F.lit(dim)), lambda i: hash_fraction(["word", i], seed) * (2 * limit) - limit
     )
     return vocab.join(vectors.select("word", F.col("vector").cast("array<double>").alias("_v")), "word", "left").select(
         *vocab.columns, F.coalesce("_v", unit).alias("vector"), F.col("_v").isNotNull().alias("known")

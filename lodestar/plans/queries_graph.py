@@ -9,6 +9,7 @@ from lodestar.operators import graph as G
 from lodestar.operators import models as ML
 from lodestar.operators import neighbours as N
 from lodestar.plans.graphs import SUCCESSION_SQL, nation_runs, status_runs, succession
+from lodestar.plans.queries_rows import hash_sql
 from lodestar.plans.registry import query
 
 _ROUNDS = 6
@@ -84,7 +85,10 @@ def _(t):
     return G.pagerank_markov(_one_way(t), tol=None, max_iters=5).withColumn("rank", F.round("rank", 9))
 
 
-@query("g03_extreme_pages")
+@query(
+    "g03_extreme_pages",
+    f"WITH e AS MATERIALIZED ({SUCCESSION_SQL}), d AS (SELECT src, count(*) AS deg FROM e GROUP BY src), {_markov_sql(15)} SELECT arg_max(node, rank) AS highest, arg_min(node, rank) AS lowest FROM r15",
+)
 def _(t):
     return G.extreme_pages(G.pagerank_markov(succession(t), tol=1e-6))
 
@@ -187,11 +191,15 @@ def _(t):
     return G.modularity(succession(t), clusters).withColumn("modularity", F.round("modularity", 9))
 
 
-@query("g10_modularity_random")
+@query(
+    "g10_modularity_random",
+    f"WITH e AS ({SUCCESSION_SQL}), u AS ({_UND_SQL}), p AS (SELECT {hash_sql('a')} % 2 AS cs, {hash_sql('b')} % 2 AS cd FROM u), m AS (SELECT count(*)::DOUBLE AS m FROM p), l AS (SELECT cs AS cluster, count(*) AS l FROM p WHERE cs = cd GROUP BY cs), "
+    "d AS (SELECT cluster, count(*)::DOUBLE AS d FROM (SELECT cs AS cluster FROM p UNION ALL SELECT cd FROM p) GROUP BY cluster) SELECT round(sum(coalesce(l, 0) / m - (d / (2 * m)) ** 2), 9) AS modularity FROM d LEFT JOIN l USING (cluster), m",
+)
 def _(t):
     edges = succession(t)
     nodes = edges.select(F.explode(F.array("src", "dst")).alias("node")).distinct()
-    return G.modularity(edges, G.random_labels(nodes))
+    return G.modularity(edges, G.random_labels(nodes)).withColumn("modularity", F.round("modularity", 9))
 
 
 _HIST_SQL = (
@@ -217,15 +225,25 @@ def _(t):
     return G.sp_kernel(h, h)
 
 
+def _walk_sql(steps: int) -> str:
+    parts = ["w0 AS (SELECT start, walk, start AS spot, CAST(start AS VARCHAR) AS path FROM (SELECT DISTINCT src AS start FROM b), (SELECT unnest([1, 2, 3]) AS walk))"]
+    for i in range(1, steps):
+        parts.append(
+            f"w{i} AS MATERIALIZED (SELECT start, walk, dst AS spot, path || ',' || dst AS path FROM w{i - 1} JOIN d ON d.src = spot JOIN k ON k.src = spot AND k.pick = {hash_sql(f'start, walk, {i}')} % deg)"
+        )
+    return ", ".join(parts)
+
+
 @query(
     "g13_random_walks",
-    f"WITH e AS ({SUCCESSION_SQL}) SELECT start, walk, 10 AS steps FROM (SELECT src AS start FROM e UNION SELECT dst FROM e), (SELECT unnest([1, 2, 3]) AS walk)",
+    f"WITH e AS ({SUCCESSION_SQL}), b AS MATERIALIZED (SELECT src, dst FROM e UNION SELECT dst, src FROM e), k AS MATERIALIZED (SELECT src, dst, row_number() OVER (PARTITION BY src ORDER BY dst) - 1 AS pick FROM b), d AS (SELECT src, count(*) AS deg FROM b GROUP BY src), "
+    f"{_walk_sql(10)} SELECT start, walk, path AS nodes FROM w9",
 )
 def _(t):
     both = succession(t)
     both = both.unionByName(both.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
     walks = G.random_walks(both, 3, 10)
-    return walks.select("start", "walk", F.size("nodes").alias("steps"))
+    return walks.select("start", "walk", F.array_join(F.transform("nodes", lambda n: n.cast("string")), ",").alias("nodes"))
 
 
 @query("g14_node_embeddings")

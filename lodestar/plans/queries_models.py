@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import MinMaxScaler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from lodestar.functions.text import decode_tags
@@ -13,6 +14,7 @@ from lodestar.operators.clustering import as_vector, assemble
 from lodestar.operators.rows import split_weights
 from lodestar.operators.scaling import materialise
 from lodestar.operators.textmining import tfidf_hashed
+from lodestar.plans.queries_rows import fraction_sql
 from lodestar.plans.registry import query
 
 _NUM = ["l_quantity", "l_discount", "l_tax"]
@@ -57,6 +59,22 @@ def _errors(scored):
     return M.regression_errors(scored, "label", "prediction").select("n", "mae", "rmse", "mape")
 
 
+_ORDERS_SQL = (
+    "SELECT o_orderkey AS id, o_orderstatus AS status, qty, price FROM orders JOIN (SELECT l_orderkey AS o_orderkey, sum(l_quantity) AS qty, sum(l_extendedprice) AS price FROM lineitem GROUP BY l_orderkey) USING (o_orderkey)"
+)
+
+
+def _orders(t):
+    """Orders with their total quantity as feature and the price of their lines as label."""
+    sums = t.lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.sum("l_quantity").alias("qty"), F.sum("l_extendedprice").alias("label"))
+    rows = t.orders.select("o_orderkey", "o_orderstatus").join(sums, "o_orderkey")
+    return assemble(rows.select(F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("status"), "qty", "label"), ["qty"])
+
+
+def _split_sql(seed: int = 42, share: float = 0.8) -> str:
+    return f"o AS MATERIALIZED ({_ORDERS_SQL}), tr AS (SELECT * FROM o WHERE {fraction_sql('id', seed)} < {share}), te AS (SELECT * FROM o WHERE {fraction_sql('id', seed)} >= {share})"
+
+
 @query("ml03_logistic_per_label")
 def _(t):
     train, test = _posts(t)
@@ -77,11 +95,23 @@ def _(t):
     return _accuracy(ML.one_vs_rest().fit(train).transform(test))
 
 
-@query("ml06_naive_bayes")
+_NB_SQL = (
+    f"WITH c AS (SELECT vec_id, label, i, embedding[i]::DOUBLE AS raw FROM embeddings, (SELECT unnest(range(1, 65)) AS i)), b AS (SELECT i, min(raw) AS lo, max(raw) AS hi FROM c GROUP BY i), x AS MATERIALIZED (SELECT vec_id, label, i, (raw - lo) / (hi - lo) AS x, {fraction_sql('vec_id')} < 0.8 AS tr FROM c JOIN b USING (i)), "
+    "n AS (SELECT label, count(DISTINCT vec_id) AS n FROM x WHERE tr GROUP BY label), k AS (SELECT count(*) AS k, sum(n) AS total FROM n), s AS (SELECT label, i, sum(x) AS s FROM x WHERE tr GROUP BY ALL), f AS (SELECT label, i, ln((s + 1) / (sum(s) OVER (PARTITION BY label) + 64)) AS theta FROM s), "
+    "g AS (SELECT x.vec_id, f.label, round(max(ln((n.n + 1) / (total + k))) + sum(x * theta), 9) AS score FROM x JOIN f USING (i) JOIN n ON n.label = f.label, k WHERE NOT tr GROUP BY ALL) SELECT vec_id, CAST(arg_max(label, score) AS DOUBLE) AS prediction FROM g GROUP BY vec_id"
+)
+
+
+@query("ml06_naive_bayes", _NB_SQL)
+def _(t):
+    train, test = _vectors(t)
+    return ML.naive_bayes().fit(train).transform(test).select("vec_id", "prediction")
+
+
+@query("ml06_gaussian_bayes")
 def _(t):
     train, test = _vectors(t)
-    parts = [_accuracy(ML.naive_bayes(kind=k).fit(train).transform(test)).withColumn("kind", F.lit(k)) for k in ("multinomial", "gaussian")]
-    return parts[0].unionByName(parts[1])
+    return _accuracy(ML.naive_bayes(kind="gaussian").fit(train).transform(test))
 
 
 @query("ml07_tree_classifiers")
@@ -128,6 +158,16 @@ def _(t):
     return out
 
 
+@query(
+    "ml10_linear_one_feature",
+    f"WITH {_split_sql()}, m AS (SELECT regr_slope(price, qty) AS a, regr_intercept(price, qty) AS b FROM tr) SELECT count(*) AS n, round(avg(abs(a * qty + b - price)), 2) AS mae, round(sqrt(avg((a * qty + b - price) ** 2)), 2) AS rmse FROM te, m",
+)
+def _(t):
+    train, test = _parts(_orders(t), ["id"])
+    out = _errors(ML.linear().fit(train).transform(test))
+    return out.select("n", F.round("mae", 2).alias("mae"), F.round("rmse", 2).alias("rmse"))
+
+
 @query("ml11_huber")
 def _(t):
     train, test = _parts(_lines(t), _KEYS)
@@ -152,6 +192,18 @@ def _(t):
     return out
 
 
+@query(
+    "ml13_discriminant_one_feature",
+    f"WITH o AS ({_ORDERS_SQL}), c AS (SELECT status, count(*) / (SELECT count(*) FROM o) AS p, avg(qty) AS m, var_pop(qty) AS v FROM o GROUP BY status), w AS (SELECT sum(p * v) AS v FROM c), "
+    "s AS (SELECT id, c.status, ln(p) - 0.5 * ln(c.v) - 0.5 * (qty - m) ** 2 / c.v AS q, ln(p) - 0.5 * ln(w.v) - 0.5 * (qty - m) ** 2 / w.v AS l FROM o, c, w) SELECT id, arg_max(status, q) AS quadratic, arg_max(status, l) AS linear FROM s GROUP BY id",
+)
+def _(t):
+    rows = _orders(t).select("id", "status", "qty")
+    linear = ML.discriminant(rows, rows, "status", ["qty"], True, ridge=0.0).withColumnRenamed("predicted", "linear")
+    both = ML.discriminant(rows, linear, "status", ["qty"], False, ridge=0.0)
+    return both.select("id", F.col("predicted").alias("quadratic"), "linear")
+
+
 @query("ml14_linear_svm")
 def _(t):
     train, test = _posts(t)
@@ -166,6 +218,36 @@ def _(t):
     return _errors(ML.linear(features="poly").fit(train).transform(test))
 
 
+@query(
+    "ml15_assemble_poly2",
+    "SELECT l_orderkey, l_partkey, l_linenumber, l_quantity AS p1, round(l_quantity * l_quantity, 4) AS p2, round(l_discount, 4) AS p3, round(l_quantity * l_discount, 4) AS p4, round(l_discount * l_discount, 4) AS p5 FROM lineitem",
+)
+def _(t):
+    rows = ML.poly2().transform(assemble(t.lineitem, ["l_quantity", "l_discount"])).withColumn("v", vector_to_array("poly"))
+    return rows.select("l_orderkey", "l_partkey", "l_linenumber", *[F.round(F.col("v")[i], 4).alias(f"p{i + 1}") for i in range(5)])
+
+
+_MIXED_SQL = (
+    f"WITH o AS MATERIALIZED (SELECT o_orderkey AS id, CASE WHEN o_orderstatus <> 'P' THEN o_totalprice END AS price, o_orderpriority AS kind FROM orders), tr AS (SELECT * FROM o WHERE {fraction_sql('id')} < 0.8), te AS (SELECT * FROM o WHERE {fraction_sql('id')} >= 0.8), "
+    "m AS (SELECT avg(price) AS m FROM tr), s AS (SELECT stddev_samp(coalesce(price, m)) AS s FROM tr, m), k AS (SELECT kind, stddev_samp(f) AS s FROM (SELECT k.kind, CAST(tr.kind = k.kind AS INT) AS f FROM tr, (SELECT DISTINCT kind FROM tr) k) GROUP BY kind) "
+    "SELECT id, round(coalesce(price, m) / s.s, 6) AS price, round(1 / k.s, 6) AS kind FROM te, m, s JOIN k ON te.kind = k.kind"
+)
+
+
+@query(
+    "ml16_mixed_features",
+    _MIXED_SQL.replace("FROM te, m, s JOIN k ON te.kind = k.kind", "FROM te JOIN k ON te.kind = k.kind CROSS JOIN m CROSS JOIN s"),
+)
+def _(t):
+    rows = t.orders.select(
+        F.col("o_orderkey").alias("id"), F.when(F.col("o_orderstatus") != "P", F.col("o_totalprice")).alias("price"), F.col("o_orderpriority").alias("kind")
+    )
+    train, test = split_weights(rows, ["id"], [0.8, 0.2])
+    out = ML.mixed_pipeline(["price"], ["kind"]).fit(train).transform(test).withColumn("v", vector_to_array("features"))
+    hot = F.array_max(F.slice("v", 2, 100))
+    return out.select("id", F.round(F.col("v")[0], 6).alias("price"), F.round(hot, 6).alias("kind"))
+
+
 @query("ml16_mixed_pipeline")
 def _(t):
     rows = t.lineitem.select(
@@ -194,14 +276,30 @@ def _(t):
     return table
 
 
-@query("ml17_cross_val_scores")
+def _folds_sql(folds: int) -> str:
+    return (
+        f"o AS MATERIALIZED (SELECT *, CAST(floor({fraction_sql('id')} * {folds}) AS INT) AS fold FROM ({_ORDERS_SQL})), m AS (SELECT f.fold, regr_slope(price, qty) AS a, regr_intercept(price, qty) AS b FROM o JOIN (SELECT DISTINCT fold FROM o) f ON o.fold <> f.fold GROUP BY f.fold), "
+        "p AS (SELECT id, fold, price, a * qty + b AS prediction FROM o JOIN m USING (fold)), e AS (SELECT fold, count(*) AS n, avg(abs(prediction - price)) AS mae FROM p GROUP BY fold) "
+    )
+
+
+@query(
+    "ml17_cross_val_scores",
+    f"WITH {_folds_sql(3)} SELECT round(min(mae), 2) AS min, round(avg(mae), 2) AS mean, round(max(mae), 2) AS max, round(stddev_pop(mae), 2) AS std FROM e",
+)
 def _(t):
-    return ML.cross_val_scores(_lines(t), ML.linear(), "label", _KEYS, folds=3)
+    out = ML.cross_val_scores(_orders(t), ML.linear(), "label", ["id"], folds=3)
+    return out.select(*[F.round(c, 2).alias(c) for c in out.columns])
 
 
-@query("ml18_learning_curve")
+@query(
+    "ml18_learning_curve",
+    f"WITH o AS MATERIALIZED (SELECT *, {fraction_sql('id')} < 0.2 AS te, {fraction_sql('id', 43)} AS u FROM ({_ORDERS_SQL})), f AS (SELECT unnest([0.1, 0.5, 1.0])::DOUBLE AS fraction), m AS (SELECT fraction, count(*) AS n, regr_slope(price, qty) AS a, regr_intercept(price, qty) AS b "
+    "FROM o, f WHERE NOT te AND u < fraction GROUP BY fraction) SELECT fraction, n AS n_train, round(avg(CASE WHEN NOT te AND u < fraction THEN abs(a * qty + b - price) END), 2) AS train, round(avg(CASE WHEN te THEN abs(a * qty + b - price) END), 2) AS test FROM m, o GROUP BY fraction, n",
+)
 def _(t):
-    return ML.learning_curve(_lines(t), ML.linear(), "label", _KEYS, [0.1, 0.5, 1.0])
+    out = ML.learning_curve(_orders(t), ML.linear(), "label", ["id"], [0.1, 0.5, 1.0])
+    return out.withColumns({c: F.round(c, 2) for c in ("train", "test")})
 
 
 @query("ml18_validation_curve")
@@ -237,10 +335,10 @@ def _(t):
     return ML.merge_importances(a, b).withColumn("importance", F.round("importance", 7))
 
 
-@query("ml20_cross_val_predict")
+@query("ml20_cross_val_predict", f"WITH {_folds_sql(3)} SELECT id, fold, round(prediction, 3) AS prediction FROM p")
 def _(t):
-    out = ML.cross_val_predict(_lines(t), ML.linear(), _KEYS, folds=3)
-    return M.regression_errors(out, "label", "prediction", ["fold"]).select("fold", "n", "mae")
+    out = ML.cross_val_predict(_orders(t), ML.linear(), ["id"], folds=3)
+    return out.select("id", "fold", F.round("prediction", 3).alias("prediction"))
 
 
 @query(
@@ -273,10 +371,26 @@ def _(t):
     return ML.score_unlabelled(model, unseen, "doc_id", F.when(F.col("prediction") == 1, F.array(F.lit("quality"))).otherwise(F.array().cast("array<string>")))
 
 
-@query("ml23_log_target")
+@query(
+    "ml23_log_target",
+    f"WITH {_split_sql()}, m AS (SELECT regr_slope(ln(1 + price), qty) AS a, regr_intercept(ln(1 + price), qty) AS b FROM tr) SELECT count(*) AS n, round(avg(abs(exp(a * qty + b) - 1 - price)), 2) AS mae FROM te, m",
+)
 def _(t):
-    train, test = _parts(_lines(t), _KEYS)
-    return _errors(ML.log_target(ML.linear(), "label")(train)(test))
+    train, test = _parts(_orders(t), ["id"])
+    return _errors(ML.log_target(ML.linear(), "label")(train)(test)).select("n", F.round("mae", 2).alias("mae"))
+
+
+@query(
+    "ml24_select_k_best",
+    "WITH o AS (SELECT sum(l_extendedprice) AS y, sum(l_quantity) AS qty, count(*)::DOUBLE AS lines, avg(l_discount) AS discount, avg(l_tax) AS tax FROM lineitem GROUP BY l_orderkey), c AS (SELECT unnest([0, 1, 2, 3]) AS feature, unnest([abs(corr(y, qty)), abs(corr(y, lines)), abs(corr(y, discount)), "
+    "abs(corr(y, tax))]) AS r FROM o) SELECT feature FROM c ORDER BY r DESC LIMIT 2",
+)
+def _(t):
+    rows = t.lineitem.groupBy("l_orderkey").agg(
+        F.sum("l_extendedprice").alias("label"), F.sum("l_quantity").alias("qty"), F.count(F.lit(1)).cast("double").alias("lines"), F.avg("l_discount").alias("discount"), F.avg("l_tax").alias("tax")
+    )
+    model = ML.select_k_best(2, "label").fit(assemble(rows, ["qty", "lines", "discount", "tax"]))
+    return t.spark.createDataFrame([(int(i),) for i in model.selectedFeatures], "feature INT")
 
 
 @query("ml24_feature_union")

@@ -245,17 +245,28 @@ def _(t):
     return anti(t.part.select("p_partkey"), used, "p_partkey")
 
 
-@query("u05_sample_hash")
+HASH = "CAST('0x' || substr(md5(concat_ws(':', {}, {})), 1, 8) AS UBIGINT)"
+
+
+def hash_sql(keys: str, seed: int | str = 42) -> str:
+    return HASH.format(keys, seed)
+
+
+def fraction_sql(keys: str, seed: int | str = 42) -> str:
+    return f"({hash_sql(keys, seed)} / 4294967296::DOUBLE)"
+
+
+@query("u05_sample_hash", f"SELECT o_orderkey, o_totalprice FROM orders WHERE {fraction_sql('o_orderkey')} < 0.2")
 def _(t):
     return W.sample_hash(t.orders, ["o_orderkey"], 0.2).select("o_orderkey", "o_totalprice")
 
 
-@query("u05_sample_n")
+@query("u05_sample_n", f"SELECT o_orderkey, o_totalprice FROM orders ORDER BY {hash_sql('o_orderkey')}, o_orderkey LIMIT 1000")
 def _(t):
     return W.sample_n(t.orders, ["o_orderkey"], 1000).select("o_orderkey", "o_totalprice")
 
 
-@query("u06_split_weights")
+@query("u06_split_weights", f"SELECT CASE WHEN {fraction_sql('o_orderkey')} < 0.8 THEN 'train' ELSE 'test' END AS part, count(*) AS n FROM orders GROUP BY ALL")
 def _(t):
     train, test = W.split_weights(t.orders, ["o_orderkey"], [0.8, 0.2])
     return W.union_with_origin({"train": train, "test": test}, "part").groupBy("part").agg(F.count(F.lit(1)).alias("n"))
@@ -270,13 +281,21 @@ def _(t):
     return marked.groupBy("lang").agg(F.count_if(F.col("part") == "train").alias("train"), F.count_if(F.col("part") == "test").alias("test"))
 
 
-@query("u06_shuffle_splits")
+@query(
+    "u06_shuffle_splits",
+    f"SELECT CAST(split AS INT) AS split, CASE WHEN {fraction_sql('o_orderkey, split')} < 0.5 THEN 'train' ELSE 'test' END AS part, count(*) AS n, round(avg(o_totalprice), 4) AS mean FROM orders, (SELECT unnest(range(0, 8)) AS split) GROUP BY ALL",
+)
 def _(t):
     halves = W.shuffle_splits(t.orders.select("o_orderkey", "o_totalprice"), ["o_orderkey"])
-    return halves.groupBy("split", "part").agg(F.count(F.lit(1)).alias("n"), F.avg("o_totalprice").alias("mean"))
+    return halves.groupBy("split", "part").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("o_totalprice"), 4).alias("mean"))
 
 
-@query("u07_bootstrap")
+@query(
+    "u07_bootstrap",
+    f"WITH n AS (SELECT count(*) AS n FROM customer), k AS (SELECT c_mktsegment, row_number() OVER (ORDER BY c_custkey) AS pos FROM customer), p AS (SELECT CAST((({hash_sql('i')} % 2147483648)::HUGEINT * 4294967296 + {hash_sql('i', 43)}) % n + 1 AS BIGINT) AS pos "
+    "FROM (SELECT n, unnest(range(1, n + 1)) AS i FROM n)), a AS (SELECT c_mktsegment, count(*) AS after FROM p JOIN k USING (pos) GROUP BY ALL) "
+    "SELECT c_mktsegment, before, after FROM (SELECT c_mktsegment, count(*) AS before FROM customer GROUP BY ALL) LEFT JOIN a USING (c_mktsegment)",
+)
 def _(t):
     drawn = W.bootstrap(t.customer.select("c_custkey", "c_mktsegment"), ["c_custkey"])
     before = t.customer.groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("before"))

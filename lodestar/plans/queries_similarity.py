@@ -116,12 +116,11 @@ def _(t):
 @query(
     "k05_geo_neighbours",
     f"{_PAIRS_SQL}, g AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY q ORDER BY round(d, 9), b) AS rn FROM p) WHERE rn <= 30), r AS (SELECT q, b, round(c, 9) AS score, row_number() OVER (PARTITION BY q ORDER BY round(c, 9) DESC, b) AS rank FROM g) "
-    "SELECT q AS query_id, b AS base_id, round(score, 8) AS score, CAST(rank AS INT) AS rank FROM r WHERE rank <= 5",
+    "SELECT q AS query_id, b AS base_id, score, CAST(rank AS INT) AS rank FROM r WHERE rank <= 5",
 )
 def _(t):
     rows = _geo(t)
-    out = N.geo_neighbours(rows, rows, "id", ["lat", "lon"], ["f1", "f2", "f3"], 30, 5)
-    return out.select("query_id", "base_id", F.round("score", 8).alias("score"), "rank")
+    return N.geo_neighbours(rows, rows, "id", ["lat", "lon"], ["f1", "f2", "f3"], 30, 5)
 
 
 def _centroid_sql(agg: str) -> str:
@@ -174,6 +173,28 @@ def _(t):
     return K.axis_correlations(rows, _PCA, 2).select("variable", "axis", F.round(F.abs("value"), 6).alias("value"), F.round("cos2", 6).alias("cos2"))
 
 
+_TWO = ["l_quantity", "l_extendedprice"]
+
+
+@query(
+    "ml01_pca_two",
+    "WITH r AS (SELECT abs(corr(l_quantity, l_extendedprice)) AS r FROM lineitem) SELECT 1 AS axis, round((1 + r) / 2, 6) AS share, round(1 + r, 6) AS eigenvalue FROM r UNION ALL SELECT 2, round((1 - r) / 2, 6), round(1 - r, 6) FROM r",
+)
+def _(t):
+    axes, _ = K.pca(t.lineitem, _TWO, 2, "l_orderkey")
+    return axes.select("axis", F.round("share", 6).alias("share"), F.round("eigenvalue", 6).alias("eigenvalue"))
+
+
+@query(
+    "ml01_axis_correlations_two",
+    "WITH r AS (SELECT abs(corr(l_quantity, l_extendedprice)) AS r FROM lineitem) SELECT variable, 'axis1' AS axis, round((1 + r) / 2, 6) AS cos2 FROM r, (SELECT unnest(['l_quantity', 'l_extendedprice']) AS variable) UNION ALL SELECT variable, 'axis2', round((1 - r) / 2, 6) FROM r, "
+    "(SELECT unnest(['l_quantity', 'l_extendedprice']) AS variable)",
+)
+def _(t):
+    _, rows = K.pca(t.lineitem, _TWO, 2, "l_orderkey")
+    return K.axis_correlations(rows, _TWO, 2).select("variable", "axis", F.round("cos2", 6).alias("cos2"))
+
+
 @query("ml02_lsa")
 def _(t):
     from lodestar.operators.textmining import tfidf_hashed

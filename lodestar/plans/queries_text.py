@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from lodestar.functions import text as X
 from lodestar.operators import textmining as TM
 from lodestar.plans.queries_aggregates import PLAIN_SQL, STOP, STOP_SQL
+from lodestar.plans.queries_rows import fraction_sql
 from lodestar.plans.registry import query
 
 _WS = "[ \\t\\n\\f\\r\\x0B]+"
@@ -236,11 +237,14 @@ def _(t):
     )
 
 
-@query("t20_attach_vectors")
+@query(
+    "t20_attach_vectors",
+    f"SELECT word, length(word) <= 4 AS known, round(CASE WHEN length(word) <= 4 THEN length(word) ELSE {fraction_sql('word, 16')} * 0.5 - 0.25 END, 9) AS last FROM (SELECT DISTINCT word FROM ({POS_SQL}))",
+)
 def _(t):
     words = plain_tokens(t).select(F.explode("tokens").alias("word")).distinct()
     known = words.where(F.length("word") <= 4).select("word", F.array(*[F.length("word").cast("double")] * 16).alias("vector"))
-    return TM.attach_vectors(words, known, 16).select("word", "known", F.round(F.col("vector")[0], 9).alias("first"))
+    return TM.attach_vectors(words, known, 16).select("word", "known", F.round(F.col("vector")[15], 9).alias("last"))
 
 
 @query(
