@@ -129,6 +129,18 @@ def ngrams(tokens: str | Column, n: int = 2) -> Column:
     return F.coalesce(F.transform(F.array(col(tokens)), build)[0], none)
 
 
+def unnest(df: DataFrame, array: str | Column, name: str, keep: Sequence[str | Column] = (), pos: str | None = None) -> DataFrame:
+    """One row per array element, with the element's position when ``pos`` is named.
+
+    An inner explode makes Spark filter on the array's size below the projection that builds it, which
+    computes an expensive array (tokens, pairs) again for every test. The outer form followed by a test
+    of its output builds the array once.
+    """
+    if pos is None:
+        return df.select(*keep, F.explode_outer(col(array)).alias(name)).where(F.col(name).isNotNull())
+    return df.select(*keep, F.posexplode_outer(col(array)).alias(pos, name)).where(F.col(pos).isNotNull())
+
+
 def tag_array(c: str | Column) -> Column:
     return F.split(col(c), ",")
 

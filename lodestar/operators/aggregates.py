@@ -10,8 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestar.functions.columns import column_kinds
-from lodestar.functions.text import ngrams, strip_punct, tokenize
-from lodestar.operators.scaling import exact_percentiles, running_totals, union_all, with_row_number
+from lodestar.functions.text import ngrams, strip_punct, tokenize, unnest
+from lodestar.operators.scaling import exact_percentiles, materialise, running_totals, union_all, with_row_number
 
 
 def line_count(lines: DataFrame) -> DataFrame:
@@ -21,7 +21,7 @@ def line_count(lines: DataFrame) -> DataFrame:
 def words(df: DataFrame, column: str, mode: str = "words", punct: bool = True) -> DataFrame:
     """One row per token; ``punct=False`` strips punctuation first."""
     text = F.col(column) if punct else strip_punct(column)
-    return df.select(F.explode(tokenize(text, mode)).alias("word"))
+    return unnest(df, tokenize(text, mode), "word")
 
 
 def word_count(
@@ -51,8 +51,8 @@ def bigram_count(
     df: DataFrame, column: str, stop: Sequence[str], initials: Sequence[str] = ("a", "b", "c", "d")
 ) -> DataFrame:
     """Pairs of neighbours on one line whose first word has a wanted initial and is no stop word."""
-    lines = df.select(F.explode(F.split(F.col(column), "\n")).alias("line"))
-    pairs = lines.select(F.explode(ngrams(tokenize(strip_punct("line")), 2)).alias("bigram"))
+    lines = unnest(df, F.split(F.col(column), "\n"), "line")
+    pairs = unnest(lines, ngrams(tokenize(strip_punct("line")), 2), "bigram")
     first = F.substring_index("bigram", " ", 1)
     kept = pairs.where(F.substring(first, 1, 1).isin(list(initials)) & ~first.isin(list(stop)))
     return kept.groupBy("bigram").agg(F.count(F.lit(1)).alias("n"))
@@ -86,14 +86,21 @@ def inverted_index(docs: DataFrame, doc: str, column: str, sep: str = ",", chunk
     """Word to sorted distinct documents: ``word, part, docs``.
 
     A list longer than ``chunk`` goes on in the next part, so that a word found everywhere does not
-    end up in one row. Parts are cut at positions in the sorted (word, document) order.
+    end up in one row. Only the postings of such words are numbered, over (word, document).
     """
-    postings = docs.select(F.col(doc).alias("doc"), F.explode(F.array_distinct(tokenize(column))).alias("word"))
-    numbered = with_row_number(postings.distinct(), ["word", "doc"], "_pos")
-    starts = numbered.groupBy("word").agg(F.min("_pos").alias("_first"))
-    parts = numbered.join(starts, "word").withColumn(
-        "part", F.floor((F.col("_pos") - F.col("_first")) / chunk).cast("int")
+    postings = materialise(
+        unnest(docs, F.array_distinct(tokenize(column)), "word", [F.col(doc).alias("doc")]).distinct()
     )
+    long = postings.groupBy("word").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > chunk).select("word")
+    long = materialise(long)
+    split = not long.isEmpty()
+    short = postings.join(long, "word", "left_anti") if split else postings
+    parts = short.withColumn("part", F.lit(0))
+    if split:
+        numbered = with_row_number(postings.join(long, "word", "left_semi"), ["word", "doc"], "_pos")
+        starts = numbered.groupBy("word").agg(F.min("_pos").alias("_first"))
+        place = F.floor((F.col("_pos") - F.col("_first")) / chunk).cast("int")
+        parts = parts.unionByName(numbered.join(starts, "word").select("word", "doc", place.alias("part")))
     return parts.groupBy("word", "part").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list("doc")), lambda d: d.cast("string")), sep).alias("docs")
     )
@@ -258,8 +265,8 @@ def average_ranks(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     Equal combinations are one row from the start; the ranks of a column come from running counts of
     its distinct values.
     """
-    out = df.select(*columns).na.drop().groupBy(*columns).agg(F.count(F.lit(1)).alias("n"))
-    combos = out
+    combos = materialise(df.select(*columns).na.drop().groupBy(*columns).agg(F.count(F.lit(1)).alias("n")))
+    out = combos
     for name in columns:
         counts = combos.groupBy(F.col(name).alias("_v")).agg(F.sum("n").alias("_n"))
         ranks = running_totals(counts, ["_v"], ["_n"]).select(

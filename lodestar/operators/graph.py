@@ -230,18 +230,19 @@ def core_numbers(edges: DataFrame, max_rounds: int = 1000) -> DataFrame:
     links = edges.where(F.col("src") != F.col("dst")).select("src", "dst").distinct()
     both = materialise(links.unionByName(links.select(F.col("dst").alias("src"), F.col("src").alias("dst"))))
     core = materialise(both.groupBy(F.col("src").alias("node")).agg(F.count(F.lit(1)).alias("core")))
-    for _ in range(max_rounds):
-        near = both.join(core.select(F.col("node").alias("dst"), F.col("core").alias("c")), "dst").groupBy(
+
+    def update(state: DataFrame) -> DataFrame:
+        near = both.join(state.select(F.col("node").alias("dst"), F.col("core").alias("c")), "dst").groupBy(
             F.col("src").alias("node"), "c"
         ).agg(F.count(F.lit(1)).alias("n"))
         high = F.expr("sum(n) over (partition by node order by c desc rows unbounded preceding)")
-        best = (
-            near.withColumn("h", F.least(F.col("c"), high)).groupBy("node").agg(F.max("h").alias("h"))
-        )
-        step = materialise(
-            core.join(best, "node").select("node", F.least("core", "h").alias("core"), F.col("core").alias("old"))
-        )
-        changed = step.where(F.col("core") != F.col("old")).limit(1).count()
+        best = near.withColumn("h", F.least(F.col("c"), high)).groupBy("node").agg(F.max("h").alias("h"))
+        return state.join(best, "node").select("node", F.least("core", "h").alias("core"), F.col("core").alias("old"))
+
+    for _ in range(max_rounds):
+        # two updates per stored round: values only fall, so an unchanged second update is the end
+        step = materialise(update(update(core).drop("old")))
+        changed = not step.where(F.col("core") != F.col("old")).isEmpty()
         core = step.select("node", "core")
         if not changed:
             return core

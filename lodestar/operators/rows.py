@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestar.functions.columns import HASH_RANGE, hash_fraction, key_hash
-from lodestar.functions.text import tokenize
+from lodestar.functions.text import tokenize, unnest
 from lodestar.operators.scaling import materialise, running_totals, top_k_per_key, with_row_number
 
 
@@ -109,7 +109,7 @@ def union_with_origin(frames: Mapping[str, DataFrame], origin: str = "origin") -
 
 def common_words(a: DataFrame, b: DataFrame, column: str = "value") -> DataFrame:
     """Distinct words found in both texts."""
-    each = [df.select(F.explode(tokenize(column)).alias("word")).distinct() for df in (a, b)]
+    each = [unnest(df, tokenize(column), "word").distinct() for df in (a, b)]
     return each[0].join(each[1], "word", "left_semi")
 
 

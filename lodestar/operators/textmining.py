@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lodestar.functions.columns import hash_fraction
-from lodestar.functions.text import tokenize
+from lodestar.functions.text import tokenize, unnest
 from lodestar.operators.scaling import top_k_per_key, with_row_number
 
 # The suffix rules of the published Porter stemmer (suffix, replacement), longest first.
@@ -124,14 +124,12 @@ def stem(tokens: str | Column) -> Column:
 
 def positions(df: DataFrame, doc: str, tokens: str | Column) -> DataFrame:
     """``doc, pos, word`` rows of a token array."""
-    tokens = F.col(tokens) if isinstance(tokens, str) else tokens
-    return df.select(F.col(doc).alias("doc"), F.posexplode(tokens).alias("pos", "word"))
+    return unnest(df, tokens, "word", [F.col(doc).alias("doc")], pos="pos")
 
 
 def doc_term(df: DataFrame, doc: str, tokens: str | Column) -> DataFrame:
     """Count per (document, word)."""
-    tokens = F.col(tokens) if isinstance(tokens, str) else tokens
-    words = df.select(F.col(doc).alias("doc"), F.explode(tokens).alias("word"))
+    words = unnest(df, tokens, "word", [F.col(doc).alias("doc")])
     return words.groupBy("doc", "word").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -165,7 +163,7 @@ def tfidf(df: DataFrame, doc: str, tokens: str | Column) -> DataFrame:
     tokens = F.col(tokens) if isinstance(tokens, str) else tokens
     sized = df.select(F.col(doc).alias("doc"), tokens.alias("_t"))
     counts = (
-        sized.select("doc", F.size("_t").alias("size"), F.explode("_t").alias("word"))
+        unnest(sized, "_t", "word", ["doc", F.size("_t").alias("size")])
         .groupBy("doc", "word")
         .agg(F.count(F.lit(1)).alias("n"), F.first("size").alias("size"))
     )
@@ -225,14 +223,28 @@ def matrix_density(coords: DataFrame, row: str, col: str, value: str | None = No
 def graph_of_words(df: DataFrame, doc: str, tokens: str | Column, window: int = 3) -> DataFrame:
     """Distinct edges ``doc, src, dst`` between different tokens less than ``window`` places apart.
 
-    Each token meets the next window-1 tokens of its own array; there is no self-join.
+    A document is one row, so its pairs are formed and made distinct inside the row: no self-join and
+    no shuffle. Pairs are kept as text while they are compared, which Spark does by hashing.
     """
+    mark = "\u0001"
+
+    def pairs(t: Column) -> Column:
+        shifted = [
+            F.zip_with(
+                F.slice(t, 1, F.greatest(F.size(t) - step, F.lit(0))),
+                F.slice(t, step + 1, F.greatest(F.size(t) - step, F.lit(0))),
+                lambda a, b: F.when(a != b, F.concat(a, F.lit(mark), b)),
+            )
+            for step in range(1, window)
+        ]
+        return F.array_distinct(F.array_compact(F.concat(*shifted)))
+
     tokens = F.col(tokens) if isinstance(tokens, str) else tokens
-    spots = df.select(F.col(doc).alias("doc"), tokens.alias("_t")).select(
-        "doc", "_t", F.posexplode("_t").alias("_i", "src")
+    rows = df.select(F.col(doc).alias("doc"), F.transform(F.array(tokens), pairs)[0].alias("_p"))
+    edges = unnest(rows, "_p", "_p", ["doc"])
+    return edges.select(
+        "doc", F.substring_index("_p", mark, 1).alias("src"), F.substring_index("_p", mark, -1).alias("dst")
     )
-    pairs = spots.select("doc", "src", F.explode(F.slice("_t", F.col("_i") + 2, window - 1)).alias("dst"))
-    return pairs.where(F.col("src") != F.col("dst")).distinct()
 
 
 def graph_of_words_size(edges: DataFrame) -> DataFrame:
@@ -306,8 +318,8 @@ def attach_vectors(vocab: DataFrame, vectors: DataFrame, dim: int, seed: int = 4
 
 
 def split_lines(df: DataFrame, column: str, name: str = "line") -> DataFrame:
-    return df.select(F.explode(F.split(F.col(column), "\n")).alias(name))
+    return unnest(df, F.split(F.col(column), "\n"), name)
 
 
 def lower_words(df: DataFrame, doc: str, column: str) -> DataFrame:
-    return df.select(F.col(doc).alias("doc"), F.explode(tokenize(F.lower(F.col(column)))).alias("word"))
+    return unnest(df, tokenize(F.lower(F.col(column))), "word", [F.col(doc).alias("doc")])

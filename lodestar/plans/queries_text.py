@@ -119,7 +119,7 @@ def _(t):
     f"SELECT a.word || ' ' || b.word AS gram, count(*) AS n FROM ({POS_SQL}) a JOIN ({POS_SQL}) b ON a.doc = b.doc AND b.pos = a.pos + 1 GROUP BY ALL",
 )
 def _(t):
-    grams = plain_tokens(t).select(F.explode(X.ngrams("tokens", 2)).alias("gram"))
+    grams = X.unnest(plain_tokens(t), X.ngrams("tokens", 2), "gram")
     return grams.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -242,7 +242,7 @@ def _(t):
     f"SELECT word, length(word) <= 4 AS known, round(CASE WHEN length(word) <= 4 THEN length(word) ELSE {fraction_sql('word, 16')} * 0.5 - 0.25 END, 9) AS last FROM (SELECT DISTINCT word FROM ({POS_SQL}))",
 )
 def _(t):
-    words = plain_tokens(t).select(F.explode("tokens").alias("word")).distinct()
+    words = X.unnest(plain_tokens(t), "tokens", "word").distinct()
     known = words.where(F.length("word") <= 4).select("word", F.array(*[F.length("word").cast("double")] * 16).alias("vector"))
     return TM.attach_vectors(words, known, 16).select("word", "known", F.round(F.col("vector")[15], 9).alias("last"))
 

@@ -6,6 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lodestar.sources.readers import read_table
+
+# tables of long texts: work per row is large, so even a small file is worth spreading
+WIDE_TEXT = ("documents", "pages")
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
@@ -18,7 +23,7 @@ class Tables:
         self.folder = folder
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return read_table(self.spark, f"{self.folder}/{name}.parquet", spread=name in WIDE_TEXT)
 
 
 def query(name: str, sql: str | None = None):
