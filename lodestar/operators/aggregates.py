@@ -11,7 +11,14 @@ from pyspark.sql import functions as F
 
 from lodestar.functions.columns import column_kinds
 from lodestar.functions.text import ngrams, strip_punct, tokenize, unnest
-from lodestar.operators.scaling import exact_percentiles, materialise, running_totals, union_all, with_row_number
+from lodestar.operators.scaling import (
+    exact_percentiles,
+    materialise,
+    running_totals,
+    salted_lookup,
+    union_all,
+    with_row_number,
+)
 
 
 def line_count(lines: DataFrame) -> DataFrame:
@@ -100,7 +107,7 @@ def inverted_index(docs: DataFrame, doc: str, column: str, sep: str = ",", chunk
         numbered = with_row_number(postings.join(long, "word", "left_semi"), ["word", "doc"], "_pos")
         starts = numbered.groupBy("word").agg(F.min("_pos").alias("_first"))
         place = F.floor((F.col("_pos") - F.col("_first")) / chunk).cast("int")
-        parts = parts.unionByName(numbered.join(starts, "word").select("word", "doc", place.alias("part")))
+        parts = parts.unionByName(salted_lookup(numbered, starts, ["word"]).select("word", "doc", place.alias("part")))
     return parts.groupBy("word", "part").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list("doc")), lambda d: d.cast("string")), sep).alias("docs")
     )
@@ -236,7 +243,7 @@ def corr_matrix(df: DataFrame, columns: Sequence[str], method: str = "pearson")
     pairs = list(combinations_with_replacement(columns, 2))
     if method == "spearman":
         ranks = average_ranks(df, columns)
-        middle = F.lit(((ranks.agg(F.sum("n")).first()[0] or 0) + 1) / 2)
+        middle = F.lit((df.select(*columns).na.drop().count() + 1) / 2)
         rank = {c: F.col(f"rank_{c}") - middle for c in columns}
 
         def measure(a: str, b: str) -> Column:

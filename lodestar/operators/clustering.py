@@ -102,8 +102,8 @@ def lsa(df: DataFrame, id_col: str, features: str, k: int) -> tuple[DataFrame, D
     arrays = materialise(df.select(F.col(id_col).alias("id"), vector_to_array(features).alias("x")))
     first = arrays.select(F.size("x")).first()
     p = first[0] if first else 0
-    if p > 4096:
-        raise ValueError("reduce the number of features to 4096 or fewer before the decomposition")
+    if p > 1024:
+        raise ValueError("reduce the number of features to 1024 or fewer before the decomposition")
 
     def partial(batches):
         total = None

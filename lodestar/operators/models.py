@@ -47,6 +47,8 @@ from lodestar.operators.metrics import regression_errors
 from lodestar.operators.rows import fold_column
 from lodestar.operators.scaling import materialise, union_all, with_row_number
 
+MAX_CLASSES = 1000
+
 # --- estimators ----------------------------------------------------------------------------------
 
 
@@ -421,8 +423,11 @@ def discriminant(
             F.array(*[F.avg(v) for v in value]).alias("mean"),
             F.array(*[F.covar_pop(value[i], value[j]) for i in range(p) for j in range(i, p)]).alias("cov"),
         )
+        .limit(MAX_CLASSES + 1)
         .collect()
     )
+    if len(sums) > MAX_CLASSES:
+        raise ValueError(f"more than {MAX_CLASSES} classes")
     total = sum(r["n"] for r in sums)
     upper = np.triu_indices(p)
     means, covs, priors = {}, {}, {}

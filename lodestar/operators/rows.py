@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lodestar.functions.columns import HASH_RANGE, hash_fraction, key_hash
 from lodestar.functions.text import tokenize, unnest
-from lodestar.operators.scaling import materialise, running_totals, top_k_per_key, with_row_number
+from lodestar.operators.scaling import materialise, running_totals, salted_lookup, top_k_per_key, with_row_number
 
 
 def group_max_rows(df: DataFrame, key: str, column: str) -> DataFrame:
@@ -146,7 +146,7 @@ def stratified_split(
     classes = numbered.groupBy(label).agg(F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_first"))
     place = F.col("_pos") - F.col("_first")
     return (
-        numbered.join(classes, label)
+        salted_lookup(numbered, classes, [label])
         .withColumn(name, F.when(place < F.round(F.col("_n") * share), "train").otherwise("test"))
         .drop("_h", "_pos", "_n", "_first")
     )

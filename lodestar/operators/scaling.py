@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BLOCK_ROWS = 1024
+ONE_TASK_ROWS = 200_000
+SALTS = 16
 _LOCAL_BITS = 33
 
 
@@ -78,11 +80,21 @@ def with_row_number(df: DataFrame, order: Sequence[str | Column], name: str = "r
 
 
 def running_totals(df: DataFrame, order: Sequence[str | Column], amounts: Sequence[str]) -> DataFrame:
-    """Add ``cum_<amount>`` (inclusive) over a total order of rows that are distinct on ``order``."""
+    """Add ``cum_<amount>`` (inclusive) over a total order of rows that are distinct on ``order``.
+
+    The input is stored first: it is read for its size, for the range bounds and for the sums. A table
+    of at most ``ONE_TASK_ROWS`` rows is summed by one window; a larger one range by range.
+    """
     keys = _as_columns(order)
-    stored = materialise(
-        df.repartitionByRange(*keys).withColumn("_range", F.spark_partition_id())
-    )
+    stored = materialise(df)
+    if stored.count() <= ONE_TASK_ROWS:
+        whole = Window.orderBy(*keys).rowsBetween(Window.unboundedPreceding, 0)
+        return stored.select("*", *[F.sum(a).over(whole).alias(f"cum_{a}") for a in amounts])
+    return _ranged_totals(stored, keys, amounts)
+
+
+def _ranged_totals(df: DataFrame, keys: Sequence[Column], amounts: Sequence[str]) -> DataFrame:
+    stored = materialise(df.repartitionByRange(*keys).withColumn("_range", F.spark_partition_id()))
     parts = stored.groupBy("_range").agg(*[F.sum(a).alias(a) for a in amounts])
     offsets = _offsets(parts, amounts)
     within = Window.partitionBy("_range").orderBy(*keys).rowsBetween(Window.unboundedPreceding, 0)
@@ -92,6 +104,17 @@ def running_totals(df: DataFrame, order: Sequence[str | Column], amounts: Sequen
     )
 
 
+def salted_lookup(rows: DataFrame, lookup: DataFrame, on: Sequence[str], salts: int = SALTS) -> DataFrame:
+    """Inner join with a table of one row per key, for use before an aggregate on the same key.
+
+    There Spark keeps the join's partitions for the aggregate and cannot split a hot key. The rows of a
+    key are spread over ``salts`` tasks by a hash of the row, and the lookup is repeated per salt.
+    """
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*rows.columns), F.lit(salts)).cast("int"))
+    repeated = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return salted.join(repeated, [*on, "_salt"]).drop("_salt")
+
+
 def exact_percentiles(
     df: DataFrame, value: str, probabilities: Sequence[float], by: Sequence[str] = ()
 ) -> DataFrame:
@@ -110,7 +133,7 @@ def exact_percentiles(
     marks = [F.col("_total") * 0 + p * (F.col("_total") - 1) for p in probabilities]
     if by:
         totals = running.groupBy(*by).agg(F.sum("n").alias("_total"), F.min("_start").alias("_base"))
-        placed = running.join(totals, by)
+        placed = salted_lookup(running, totals, by)
     else:
         total = running.agg(F.sum("n")).first()[0] or 0
         placed = running.select("*", F.lit(total).cast("long").alias("_total"), F.lit(0).cast("long").alias("_base"))
