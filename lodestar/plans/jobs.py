@@ -15,6 +15,7 @@ from lodestar.functions.columns import (
     holiday_features,
     per_million,
     recode,
+    recode_join,
     score_labels,
     split_at,
     timestamp_from_parts,
@@ -23,6 +24,7 @@ from lodestar.functions.text import clean_text, html_to_text, tag_array, tag_fla
 from lodestar.operators.joins import denormalise, events_in_window
 from lodestar.operators.reshape import melt
 from lodestar.operators.rows import days_since_threshold, dedup_first, top_groups
+from lodestar.plans import accident_codes as codes
 
 # Country names of the code table and of the case table that need another spelling.
 COUNTRY_NAMES = {
@@ -46,41 +48,6 @@ CASE_COUNTRY_NAMES = {"Cote d'Ivoire": "Côte d'Ivoire", "Taiwan*": "Taiwan", "U
 AGE_SERIES = ("SP.POP.0014.TO", "SP.POP.1564.TO", "SP.POP.65UP.TO")
 OLD_SERIES = "SP.POP.65UP.TO"
 
-# Code lists of the accident tables.
-LIGHT = {
-    "1": "Plein jour", "2": "Crépuscule ou aube", "3": "Nuit sans éclairage public",
-    "4": "Nuit avec éclairage public non allumé", "5": "Nuit avec éclairage public allumé",
-}
-BUILT_UP = {"1": "Hors agglomération", "2": "En agglomération"}
-CROSSING = {
-    "1": "Hors intersection", "2": "Intersection en X", "3": "Intersection en T", "4": "Intersection en Y",
-    "5": "Intersection à plus de 4 branches", "6": "Giratoire", "7": "Place", "8": "Passage à niveau",
-    "9": "Autre intersection",
-}
-WEATHER = {
-    "1": "Normale", "2": "Pluie légère", "3": "Pluie forte", "4": "Neige - grêle", "5": "Brouillard - fumée",
-    "6": "Vent fort - tempête", "7": "Temps éblouissant", "8": "Temps couvert", "9": "Autre",
-}
-COLLISION = {
-    "1": "Deux véhicules - frontale", "2": "Deux véhicules – par l’arrière", "3": "Deux véhicules – par le coté",
-    "4": "Trois véhicules et plus – en chaîne", "5": "Trois véhicules et plus - collisions multiples",
-    "6": "Autre collision", "7": "Sans collision",
-}
-SEVERITY = {"1": "Indemne", "2": "Tué", "3": "Blessé hospitalisé", "4": "Blessé léger"}
-# Ordinal scores of the labels.
-SEVERITY_SCORE = {"Indemne": 0, "Blessé léger": 10, "Blessé hospitalisé": 50, "Tué": 200}
-BUILT_UP_SCORE = {"Hors agglomération": -100, "En agglomération": 100}
-LIGHT_SCORE = {
-    "Plein jour": 100, "Crépuscule ou aube": 50, "Nuit avec éclairage public allumé": 20,
-    "Nuit avec éclairage public non allumé": 5, "Nuit sans éclairage public": 0,
-}
-WEATHER_SCORE = {
-    "Normale": 100, "Pluie légère": 10, "Pluie forte": -90, "Neige - grêle": -100, "Brouillard - fumée": -10,
-    "Vent fort - tempête": -50, "Temps éblouissant": 50, "Temps couvert": 8, "Autre": 0, "(Inconnu)": 0,
-}
-CROSSING_SCORE = {"(Inconnu)": 0, "Other": 0, "Hors Intersection": -100, "Avec Intersection": 100}
-COLLISION_SCORE = {"(Inconnu)": 0, "Other": 0, "Avec collision": -100, "Sans collision": 100}
-
 
 # --- epidemic panel --------------------------------------------------------------------------------
 
@@ -141,11 +108,7 @@ def accident_characteristics(car: DataFrame) -> DataFrame:
     return car.select(
         "Num_Acc",
         timestamp_from_parts(F.col("an"), F.col("mois"), F.col("jour"), hour, minute).alias("date"),
-        recode("lum", LIGHT).alias("lum"),
-        recode("agg", BUILT_UP).alias("agg"),
-        recode("int", CROSSING).alias("int"),
-        recode("atm", WEATHER).alias("atm"),
-        recode("col", COLLISION).alias("col"),
+        *[recode(c, table).alias(c) for c, table in codes.CHARACTERISTICS.items() if c in car.columns],
         (F.col("lat") / 1e5).alias("lat"),
         (F.col("long") / 1e5).alias("long"),
         "dep",
@@ -156,10 +119,10 @@ def accident_scores(characteristics: DataFrame, year: int | None = 2017) -> Data
     """Labels with their scores and the year, under the final column names."""
     crossing = collapse_levels(
         "int",
-        {"Hors Intersection": ["Hors intersection"], "Avec Intersection": [v for k, v in CROSSING.items() if k != "1"]},
+        {"Hors Intersection": ["Hors intersection"], "Avec Intersection": [v for k, v in codes.CROSSING.items() if k != "1"]},
     )
     collision = collapse_levels(
-        "col", {"Sans collision": ["Sans collision"], "Avec collision": [v for k, v in COLLISION.items() if k != "7"]}
+        "col", {"Sans collision": ["Sans collision"], "Avec collision": [v for k, v in codes.COLLISION.items() if k != "7"]}
     )
     weather = F.coalesce("atm", F.lit("(Inconnu)"))
     out = characteristics.select(
@@ -169,32 +132,50 @@ def accident_scores(characteristics: DataFrame, year: int | None = 2017) -> Data
         F.col("int").alias("Intersection"),
         weather.alias("Atmosphere"),
         F.col("col").alias("Collision"),
-        score_labels("agg", BUILT_UP_SCORE).alias("Code_Agglomeration"),
-        score_labels("lum", LIGHT_SCORE).alias("Code_Lumiere"),
-        score_labels(crossing, CROSSING_SCORE).alias("Code_Intersection"),
-        score_labels(weather, WEATHER_SCORE).alias("Code_Atmosphere"),
-        score_labels(collision, COLLISION_SCORE).alias("Code_Collision"),
+        score_labels("agg", codes.BUILT_UP_SCORE).alias("Code_Agglomeration"),
+        score_labels("lum", codes.LIGHT_SCORE).alias("Code_Lumiere"),
+        score_labels(crossing, codes.CROSSING_SCORE).alias("Code_Intersection"),
+        score_labels(weather, codes.WEATHER_SCORE).alias("Code_Atmosphere"),
+        score_labels(collision, codes.COLLISION_SCORE).alias("Code_Collision"),
         F.year("date").alias("Annee"),
     )
     return out if year is None else out.where(F.col("Annee") == year)
 
 
+def recode_columns(df: DataFrame, tables: dict[str, dict[str, str]]) -> DataFrame:
+    """Labels for every column that has a code list."""
+    return df.withColumns({c: recode(c, table) for c, table in tables.items() if c in df.columns})
+
+
+def accident_users(usa: DataFrame) -> DataFrame:
+    """Users with labels, the safety code split into equipment and use, and the severity score."""
+    equipment, used = split_at("secu", 1)
+    rows = usa.withColumns({"secup": equipment, "secuu": used}).drop("secu")
+    return recode_columns(rows, codes.USERS).withColumn("grav_num", score_labels("grav", codes.SEVERITY_SCORE))
+
+
+def accident_vehicles(veh: DataFrame, category_codes: DataFrame | None = None) -> DataFrame:
+    """Vehicles with labels; ``category_codes(code, label)`` names the categories."""
+    rows = veh if category_codes is None else recode_join(veh, "catv", category_codes)
+    other = F.lit("(Other)")
+    return recode_columns(rows, codes.VEHICLES).select(
+        "Num_Acc", "num_veh", F.col("catv").alias("vehic_category"), F.coalesce("choc", other).alias("vehic_choc"),
+        F.coalesce("manv", other).alias("vehic_manoeuvre"),
+    )
+
+
 def accident_features(
-    car: DataFrame, lieux: DataFrame, veh: DataFrame, usa: DataFrame, year: int | None = 2017
+    car: DataFrame, lieux: DataFrame, veh: DataFrame, usa: DataFrame, year: int | None = 2017,
+    category_codes: DataFrame | None = None,
 ) -> DataFrame:
     """One row per user of an accident with vehicle, place, scores and severity."""
     scores = accident_scores(accident_characteristics(car), year)
-    first, rest = split_at("secu", 1)
-    users = usa.select(
-        "Num_Acc", "num_veh", recode("grav", SEVERITY).alias("grav"),
-        F.when(first != "", first).alias("secu_type"), F.when(rest != "", rest).alias("secu_used"),
-    ).withColumn("grav_num", score_labels("grav", SEVERITY_SCORE))
-    vehicles = veh.select(
-        "Num_Acc", "num_veh", F.col("catv").alias("vehic_category"),
-        F.coalesce("choc", F.lit("(Other)")).alias("vehic_choc"), F.coalesce("manv", F.lit("(Other)")).alias("vehic_manoeuvre"),
-    )
+    places = recode_columns(lieux.select("Num_Acc", "catr", "nbv"), codes.PLACES)
     return (
-        users.join(vehicles, ["Num_Acc", "num_veh"]).join(scores, "Num_Acc").join(lieux.select("Num_Acc", "catr", "nbv"), "Num_Acc")
+        accident_users(usa)
+        .join(accident_vehicles(veh, category_codes), ["Num_Acc", "num_veh"])
+        .join(scores, "Num_Acc")
+        .join(places, "Num_Acc")
     )
 
 

@@ -159,14 +159,14 @@ def _accidents(t):
     "CASE WHEN crossing = 0 THEN 0 WHEN crossing = 1 THEN -100 ELSE 100 END AS ci, CASE atm WHEN 1 THEN 100 WHEN 2 THEN 10 WHEN 3 THEN -90 WHEN 4 THEN -100 WHEN 5 THEN -10 WHEN 6 THEN -50 WHEN 7 THEN 50 WHEN 8 THEN 8 ELSE 0 END AS cw, "
     "CASE WHEN col = 0 THEN 0 WHEN col = 7 THEN 100 ELSE -100 END AS cc FROM c WHERE y = 2000), "
     "u AS (SELECT l_orderkey AS id, l_linenumber, CASE l_partkey % 5 WHEN 1 THEN 0 WHEN 2 THEN 200 WHEN 3 THEN 50 WHEN 4 THEN 10 END AS grav, CAST(l_suppkey % 33 AS VARCHAR) AS secu FROM lineitem) "
-    "SELECT catr, left(secu, 1) AS secu_type, count(*) AS n, CAST(sum(ca) AS DOUBLE) AS agglomeration, CAST(sum(cl) AS DOUBLE) AS light, CAST(sum(ci) AS DOUBLE) AS crossing, CAST(sum(cw) AS DOUBLE) AS weather, CAST(sum(cc) AS DOUBLE) AS collision, "
-    "CAST(sum(grav) AS DOUBLE) AS severity, count(CASE WHEN length(secu) > 1 THEN 1 END) AS used FROM u JOIN s USING (id) GROUP BY ALL",
+    "SELECT catr, coalesce(CASE left(secu, 1) WHEN '0' THEN NULL WHEN '1' THEN 'Ceinture' WHEN '2' THEN 'Casque' WHEN '3' THEN 'Dispositif enfants' WHEN '4' THEN 'Equipement réfléchissant' WHEN '9' THEN 'Autre' ELSE left(secu, 1) END, '?') AS equipment, count(*) AS n, CAST(sum(ca) AS DOUBLE) AS agglomeration, CAST(sum(cl) AS DOUBLE) AS light, CAST(sum(ci) AS DOUBLE) AS crossing, CAST(sum(cw) AS DOUBLE) AS weather, CAST(sum(cc) AS DOUBLE) AS collision, "
+    "CAST(sum(grav) AS DOUBLE) AS severity, count(CASE WHEN length(secu) > 1 AND substr(secu, 2) <> '0' THEN 1 END) AS used FROM u JOIN s USING (id) GROUP BY ALL",
 )
 def _(t):
     features = jobs.accident_features(*_accidents(t), year=2000)
-    return features.groupBy("catr", "secu_type").agg(
+    return features.groupBy("catr", F.coalesce("secup", F.lit("?")).alias("equipment")).agg(
         F.count(F.lit(1)).alias("n"), F.sum("Code_Agglomeration").alias("agglomeration"), F.sum("Code_Lumiere").alias("light"), F.sum("Code_Intersection").alias("crossing"),
-        F.sum("Code_Atmosphere").alias("weather"), F.sum("Code_Collision").alias("collision"), F.sum("grav_num").alias("severity"), F.count("secu_used").alias("used"),
+        F.sum("Code_Atmosphere").alias("weather"), F.sum("Code_Collision").alias("collision"), F.sum("grav_num").alias("severity"), F.count("secuu").alias("used"),
     )
 
 
