@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from lodestar.functions.columns import key_hash
 from lodestar.operators.aggregates import corr_matrix
-from lodestar.operators.scaling import block_product, materialise, with_row_number
+from lodestar.operators.scaling import Rounds, block_product, materialise, with_row_number
 from lodestar.sources.readers import canonical_edges
 
 
@@ -31,9 +31,10 @@ def pagerank_iter(edges: DataFrame, iters: int = 10, damping: float = 0.85) -> D
     """
     links = _with_outdegree(edges)
     ranks = links.select("src").distinct().select(F.col("src").alias("node"), F.lit(1.0).alias("rank"))
+    rounds = Rounds(edges.sparkSession)
     for _ in range(iters):
         shares = links.join(ranks, links.src == ranks.node).select(F.col("dst").alias("node"), (F.col("rank") / F.col("deg")).alias("share"))
-        ranks = materialise(
+        ranks = rounds.store(
             shares.groupBy("node").agg((F.lit(1 - damping) + damping * F.sum("share")).alias("rank"))
         )
     return ranks
@@ -46,13 +47,14 @@ def pagerank_tol(
     links = _with_outdegree(edges)
     nodes = materialise(links.select(F.explode(F.array("src", "dst")).alias("node")).distinct())
     ranks = nodes.withColumn("rank", F.lit(1.0))
+    rounds = Rounds(edges.sparkSession)
     for _ in range(max_iters):
         inflow = (
             links.join(ranks, links.src == ranks.node)
             .groupBy("dst")
             .agg(F.sum(F.col("rank") / F.col("deg")).alias("inflow"))
         )
-        step = materialise(
+        step = rounds.store(
             ranks.withColumnRenamed("rank", "old")
             .join(inflow, F.col("node") == F.col("dst"), "left")
             .select("node", "old", (F.lit(1 - damping) + damping * F.coalesce("inflow", F.lit(0.0))).alias("rank"))
@@ -78,6 +80,7 @@ def pagerank_markov(
         return nodes.select("node", F.lit(0.0).alias("rank"))
     ranks = nodes.withColumn("rank", F.lit(1.0 / n))
     loose = ranks.agg(F.sum(F.when(F.col("sink"), F.col("rank")))).first()[0] or 0.0
+    rounds = Rounds(edges.sparkSession)
     for _ in range(max_iters):
         inflow = (
             links.join(ranks, links.src == ranks.node)
@@ -85,7 +88,7 @@ def pagerank_markov(
             .agg(F.sum(F.col("rank") / F.col("deg")).alias("inflow"))
         )
         base = F.lit((1 - damping) / n + damping * loose / n)
-        step = materialise(
+        step = rounds.store(
             ranks.withColumnRenamed("rank", "old")
             .join(inflow, F.col("node") == F.col("dst"), "left")
             .select("node", "sink", "old", (base + damping * F.coalesce("inflow", F.lit(0.0))).alias("rank"))
@@ -116,7 +119,8 @@ def connected_components(edges: DataFrame, nodes: DataFrame | None = None, max_r
     round) and the ends of all edges are replaced, so the edge table shrinks by a constant factor in
     expectation whatever the shape, long chains included. The graph of one round is read only once.
     """
-    work = materialise(canonical_edges(edges))
+    rounds = Rounds(edges.sparkSession)
+    work = rounds.store(canonical_edges(edges))
     vertices = edges.select(F.explode(F.array("src", "dst")).alias("node"))
     if nodes is not None:
         vertices = vertices.unionByName(nodes.select("node"))
@@ -135,7 +139,7 @@ def connected_components(edges: DataFrame, nodes: DataFrame | None = None, max_r
         moved = work.join(hop.select(F.col("node").alias("src"), F.col("to").alias("_s")), "src").join(
             hop.select(F.col("node").alias("dst"), F.col("to").alias("_d")), "dst"
         )
-        work = materialise(canonical_edges(moved.select(F.col("_s").alias("src"), F.col("_d").alias("dst"))))
+        work = rounds.store(canonical_edges(moved.select(F.col("_s").alias("src"), F.col("_d").alias("dst"))))
     else:
         raise RuntimeError("components did not settle")
     labels = vertices.distinct().withColumn("root", F.col("node"))
@@ -239,9 +243,10 @@ def core_numbers(edges: DataFrame, max_rounds: int = 1000) -> DataFrame:
         best = near.withColumn("h", F.least(F.col("c"), high)).groupBy("node").agg(F.max("h").alias("h"))
         return state.join(best, "node").select("node", F.least("core", "h").alias("core"), F.col("core").alias("old"))
 
+    rounds = Rounds(edges.sparkSession)
     for _ in range(max_rounds):
         # two updates per stored round: values only fall, so an unchanged second update is the end
-        step = materialise(update(update(core).drop("old")))
+        step = rounds.store(update(update(core).drop("old")))
         changed = not step.where(F.col("core") != F.col("old")).isEmpty()
         core = step.select("node", "core")
         if not changed:
@@ -341,6 +346,7 @@ def random_walks(edges: DataFrame, num_walks: int, length: int, seed: int = 42)
     walks = nodes.select("start", F.explode(F.sequence(F.lit(1), F.lit(num_walks))).alias("walk")).select(
         "start", "walk", F.col("start").alias("at"), F.array("start").alias("nodes")
     )
+    rounds = Rounds(edges.sparkSession)
     for step in range(1, length):
         choice = F.pmod(key_hash(["start", "walk", F.lit(step)], seed), F.col("deg"))
         walks = (
@@ -353,7 +359,7 @@ def random_walks(edges: DataFrame, num_walks: int, length: int, seed: int = 42)
             )
         )
         if step % 5 == 0:
-            walks = materialise(walks)
+            walks = rounds.store(walks)
     return walks.select("start", "walk", "nodes")
 
 

@@ -9,7 +9,7 @@ from pyspark.ml.param.shared import HasLabelCol, HasPredictionCol
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.operators.scaling import running_totals
+from lodestar.operators.scaling import materialise, running_totals
 
 
 def error_aggregates(y: str, yhat: str) -> list[Column]:
@@ -60,7 +60,9 @@ def confusion(df: DataFrame, label: str, predicted: str) -> DataFrame:
 
 def classification_report(df: DataFrame, label: str, predicted: str) -> DataFrame:
     """Precision, recall, F1 and support per class, and the accuracy over all rows."""
-    cells = df.groupBy(F.col(label).alias("l"), F.col(predicted).alias("p")).agg(F.count(F.lit(1)).alias("n"))
+    cells = materialise(
+        df.groupBy(F.col(label).alias("l"), F.col(predicted).alias("p")).agg(F.count(F.lit(1)).alias("n"))
+    )
     sides = cells.select(
         F.explode(
             F.array(
@@ -131,7 +133,7 @@ def class_entropy(df: DataFrame, label: str, by: Sequence[str] = ()) -> DataFram
 
 
 def class_probabilities(df: DataFrame, label: str) -> DataFrame:
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
+    counts = materialise(df.groupBy(label).agg(F.count(F.lit(1)).alias("n")))
     total = counts.agg(F.sum("n")).first()[0] or 0
     return counts.withColumn("probability", F.col("n") / F.lit(total))
 

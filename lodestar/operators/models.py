@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 from lodestar.functions.columns import hash_fraction, key_hash
 from lodestar.operators.metrics import regression_errors
 from lodestar.operators.rows import fold_column
-from lodestar.operators.scaling import materialise, union_all, with_row_number
+from lodestar.operators.scaling import Rounds, materialise, union_all, with_row_number
 
 MAX_CLASSES = 1000
 
@@ -339,6 +339,7 @@ def inliers_split(
     goal = int(rows.count() * (1 - exclude))
     inliers = rows.select(*keys).limit(0)
     have = 0
+    rounds = Rounds(df.sparkSession)
     for round_no in range(max_rounds):
         if have >= goal:
             break
@@ -355,7 +356,7 @@ def inliers_split(
         if n and keep == 0:
             keep = 1
         best = with_row_number(errors, ["_e", *keys], "_pos").where(F.col("_pos") <= keep).select(*keys)
-        inliers = materialise(inliers.unionByName(best))
+        inliers = rounds.store(inliers.unionByName(best))
         have += keep
     return rows.join(inliers, list(keys), "left_semi")
 

@@ -9,7 +9,14 @@ from pyspark.sql import functions as F
 
 from lodestar.functions.columns import HASH_RANGE, hash_fraction, key_hash
 from lodestar.functions.text import tokenize, unnest
-from lodestar.operators.scaling import materialise, running_totals, salted_lookup, top_k_per_key, with_row_number
+from lodestar.operators.scaling import (
+    ONE_TASK_ROWS,
+    materialise,
+    running_totals,
+    salted_lookup,
+    top_k_per_key,
+    with_row_number,
+)
 
 
 def group_max_rows(df: DataFrame, key: str, column: str) -> DataFrame:
@@ -65,7 +72,7 @@ def split_per_user(
 def kfold_blocks(df: DataFrame, k: int, order: Sequence[str], name: str = "fold") -> DataFrame:
     """Positional folds 1..k: consecutive blocks of the ordered rows, sizes equal up to one row."""
     numbered = with_row_number(df, order, "_pos")
-    n = df.count()
+    n = numbered.agg(F.max("_pos")).first()[0] or 0
     small, longer = divmod(n, k)
     edge = longer * (small + 1)
     pos = F.col("_pos") - 1
@@ -119,7 +126,10 @@ def sample_hash(df: DataFrame, keys: Sequence[str], fraction: float, seed: int =
 
 def sample_n(df: DataFrame, keys: Sequence[str], n: int, seed: int = 42) -> DataFrame:
     """Exactly n rows (or all, if fewer): the n smallest key hashes."""
-    return df.orderBy(key_hash(keys, seed), *keys).limit(n)
+    if n <= ONE_TASK_ROWS:
+        return df.orderBy(key_hash(keys, seed), *keys).limit(n)
+    numbered = with_row_number(df.withColumn("_h", key_hash(keys, seed)), ["_h", *keys], "_pos")
+    return numbered.where(F.col("_pos") <= n).drop("_h", "_pos")
 
 
 def split_weights(df: DataFrame, keys: Sequence[str], weights: Sequence[float], seed: int = 42) -> list[DataFrame]:

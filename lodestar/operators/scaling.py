@@ -48,6 +48,23 @@ def materialise(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Rounds:
+    """Stored state of a loop. Two folders are written in turn, so a loop of any length keeps at most the
+    state it reads and the state it writes; use it only for frames that depend on the round before."""
+
+    def __init__(self, spark: SparkSession):
+        base = f"{checkpoint_folder(spark)}/lodestar-{uuid.uuid4().hex}"
+        self._spark = spark
+        self._paths = (f"{base}-a", f"{base}-b")
+        self._round = 0
+
+    def store(self, df: DataFrame) -> DataFrame:
+        path = self._paths[self._round % 2]
+        self._round += 1
+        df.write.mode("overwrite").parquet(path)
+        return self._spark.read.schema(df.schema).parquet(path)
+
+
 def _as_columns(order: Sequence[str | Column]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in order]
 

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from lodestar.functions.columns import hash_fraction
 from lodestar.functions.text import tokenize, unnest
-from lodestar.operators.scaling import top_k_per_key, with_row_number
+from lodestar.operators.scaling import materialise, top_k_per_key, with_row_number
 
 # The suffix rules of the published Porter stemmer (suffix, replacement), longest first.
 STEP2 = (
@@ -153,6 +153,7 @@ def to_sequences(df: DataFrame, doc: str, tokens: str | Column, vocab: DataFrame
         "doc", F.coalesce("ids", F.array().cast("array<bigint>")).alias("ids")
     )
     if max_len is None:
+        rows = materialise(rows)
         max_len = rows.agg(F.max(F.size("ids"))).first()[0] or 0
     padding = F.array_repeat(F.lit(0).cast("long"), F.greatest(F.lit(max_len) - F.size("ids"), F.lit(0)))
     return rows.select("doc", F.slice(F.concat("ids", padding), 1, max(max_len, 1)).alias("ids"))
@@ -207,6 +208,7 @@ def tfidf_hashed(
 
 def matrix_density(coords: DataFrame, row: str, col: str, value: str | None = None) -> DataFrame:
     """Non-zero cells, rows, columns and the filled share in %; cells must be unique."""
+    coords = materialise(coords)
     cells = coords.where(F.col(value) != 0) if value else coords
     # one distinct count per side keeps the aggregates mergeable without a set per task
     rows = coords.select(row).distinct().agg(F.count(F.lit(1)).alias("rows"))
