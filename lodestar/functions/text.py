@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import string
 from collections.abc import Sequence
-from functools import reduce
 from html.entities import name2codepoint
 
 from pyspark import keyword_only
@@ -164,7 +163,3 @@ def collect_predictions(names: Sequence[str], suffix: str = "_pred") -> Column:
 
 def label_map(c: str | Column, positive: str = "positive") -> Column:
     return F.when(col(c) == positive, F.lit(1)).otherwise(F.lit(0))
-
-
-def chain(c: Column, *steps) -> Column:
-    return reduce(lambda value, step: step(value), steps, c)

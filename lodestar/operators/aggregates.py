@@ -16,7 +16,6 @@ from lodestar.operators.scaling import (
     materialise,
     running_totals,
     salted_lookup,
-    union_all,
     with_row_number,
 )
 
@@ -328,7 +327,3 @@ def missing_ratio(df: DataFrame) -> DataFrame:
 def weighted_metrics(results: DataFrame, metrics: Sequence[str], weight: str = "n") -> DataFrame:
     """Mean of per-group metrics weighted by group length."""
     return results.agg(*[(F.sum(F.col(m) * F.col(weight)) / F.sum(weight)).alias(m) for m in metrics])
-
-
-def stack_summaries(frames: dict[str, DataFrame], name: str = "origin") -> DataFrame:
-    return union_all([df.withColumn(name, F.lit(key)) for key, df in frames.items()])

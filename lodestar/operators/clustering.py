@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from lodestar.functions.columns import zscore
 from lodestar.operators.aggregates import corr_matrix
-from lodestar.operators.scaling import materialise, union_all, with_row_number
+from lodestar.operators.scaling import materialise, with_row_number
 from lodestar.sources.readers import canonical_edges
 
 
@@ -161,7 +161,3 @@ def scale_expressions(df: DataFrame, columns: Sequence[str], kind: str) -> DataF
     return df.withColumns(
         {f"{c}_s": (F.col(c) - F.lit(float(centre[c]))) / F.lit(float(width[c]) or 1.0) for c in columns}
     )
-
-
-def stack_costs(frames: dict[str, DataFrame]) -> DataFrame:
-    return union_all([f.withColumn("method", F.lit(m)) for m, f in frames.items()])

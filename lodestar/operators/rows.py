@@ -12,7 +12,6 @@ from lodestar.functions.text import tokenize, unnest
 from lodestar.operators.scaling import (
     ONE_TASK_ROWS,
     materialise,
-    running_totals,
     salted_lookup,
     top_k_per_key,
     with_row_number,
@@ -194,10 +193,3 @@ def bootstrap(df: DataFrame, keys: Sequence[str], seed: int = 42) -> DataFrame:
         .withColumn("draw", F.explode(F.sequence(F.lit(1), F.col("_times"))))
         .drop("_pos", "_times")
     )
-
-
-def cumulative_share(df: DataFrame, column: str) -> DataFrame:
-    """Distinct values with the share of rows at or below them."""
-    counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    return running_totals(counts, [column], ["n"]).select(column, (F.col("cum_n") / F.lit(total)).alias("share"))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lodestar.functions.columns import hash_fraction
-from lodestar.functions.text import tokenize, unnest
+from lodestar.functions.text import unnest
 from lodestar.operators.scaling import materialise, top_k_per_key, with_row_number
 
 # The suffix rules of the published Porter stemmer (suffix, replacement), longest first.
@@ -163,7 +163,8 @@ def tfidf(df: DataFrame, doc: str, tokens: str | Column) -> DataFrame:
     """Share of the document's tokens times ln(documents / documents with the word) + 1."""
     tokens = F.col(tokens) if isinstance(tokens, str) else tokens
     sized = df.select(F.col(doc).alias("doc"), tokens.alias("_t"))
-    counts = (
+    # stored, because it is read for the document frequencies and again for the weights
+    counts = materialise(
         unnest(sized, "_t", "word", ["doc", F.size("_t").alias("size")])
         .groupBy("doc", "word")
         .agg(F.count(F.lit(1)).alias("n"), F.first("size").alias("size"))
@@ -250,15 +251,12 @@ def graph_of_words(df: DataFrame, doc: str, tokens: str | Column, window: int =
 
 
 def graph_of_words_size(edges: DataFrame) -> DataFrame:
-    """Nodes and edges per document."""
-    ends = edges.groupBy("doc").agg(F.count(F.lit(1)).alias("edges"))
-    nodes = (
-        edges.select("doc", F.explode(F.array("src", "dst")).alias("node"))
-        .distinct()
-        .groupBy("doc")
-        .agg(F.count(F.lit(1)).alias("nodes"))
+    """Nodes and edges per document, from one pass over the edge ends."""
+    ends = F.array(
+        F.struct(F.col("src").alias("node"), F.lit(1).alias("edge")), F.struct(F.col("dst").alias("node"), F.lit(0).alias("edge"))
     )
-    return nodes.join(ends, "doc")
+    nodes = edges.select("doc", F.explode(ends).alias("e")).groupBy("doc", "e.node").agg(F.sum("e.edge").alias("edges"))
+    return nodes.groupBy("doc").agg(F.count(F.lit(1)).alias("nodes"), F.sum("edges").alias("edges"))
 
 
 def directed_triangles(edges: DataFrame) -> DataFrame:
@@ -317,11 +315,3 @@ def attach_vectors(vocab: DataFrame, vectors: DataFrame, dim: int, seed: int = 4
     return vocab.join(vectors.select("word", F.col("vector").cast("array<double>").alias("_v")), "word", "left").select(
         *vocab.columns, F.coalesce("_v", unit).alias("vector"), F.col("_v").isNotNull().alias("known")
     )
-
-
-def split_lines(df: DataFrame, column: str, name: str = "line") -> DataFrame:
-    return unnest(df, F.split(F.col(column), "\n"), name)
-
-
-def lower_words(df: DataFrame, doc: str, column: str) -> DataFrame:
-    return unnest(df, tokenize(F.lower(F.col(column))), "word", [F.col(doc).alias("doc")])

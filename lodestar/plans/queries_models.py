@@ -248,7 +248,7 @@ def _(t):
     return out.select("id", F.round(F.col("v")[0], 6).alias("price"), F.round(hot, 6).alias("kind"))
 
 
-@query("ml16_mixed_pipeline")
+@query("ml16_mixed_preprocessing")
 def _(t):
     rows = t.lineitem.select(
         F.xxhash64(*t.lineitem.columns).alias("row_id"), F.col("l_extendedprice").alias("label"), "l_returnflag", "l_linestatus",

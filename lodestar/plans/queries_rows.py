@@ -210,6 +210,15 @@ def _(t):
     return V.ordinal_encode(t.part.select("p_partkey", "p_name"), "p_name", "code").select("p_partkey", "code")
 
 
+@query("v10_ordinal_decode", "SELECT p_partkey, p_name FROM part")
+def _(t):
+    from lodestar.operators.rows import surrogate_key
+
+    encoded = V.ordinal_encode(t.part.select("p_partkey", "p_name"), "p_name", "code").drop("p_name")
+    codes = surrogate_key(t.part, ["p_name"], "n").select("p_name", (F.col("n") - 1).alias("code"))
+    return V.ordinal_decode(encoded, codes, "code", "p_name").select("p_partkey", "p_name")
+
+
 @query(
     "u01_union_with_origin",
     "SELECT origin, CAST(name AS VARCHAR) AS name, round(acctbal, 2) AS acctbal, segment FROM (SELECT 'customer' AS origin, c_name AS name, c_acctbal AS acctbal, c_mktsegment AS segment FROM customer "

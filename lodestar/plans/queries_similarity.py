@@ -69,6 +69,12 @@ def _(t):
     return K.kmeans(rows, "features", 10).transform(rows).groupBy("cluster").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("k01_kmeans_centres")
+def _(t):
+    model = K.kmeans(K.as_vector(t.embeddings, "embedding"), "features", 10)
+    return K.kmeans_centres(model, t.spark).select("cluster", F.size("centre").alias("dims"))
+
+
 @query("k02_kmeans_sweep")
 def _(t):
     return K.kmeans_sweep(K.as_vector(t.embeddings, "embedding"), "features", [2, 4, 8, 16])
