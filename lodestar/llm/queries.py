@@ -142,7 +142,7 @@ WITH parts AS (
 ), best AS (
   SELECT rid, count(*) AS n_active, max({'l': length(pattern), 'p': pattern, 'r': rank}) AS b FROM hit GROUP BY rid
 )
-SELECT page_id, url, fetched_on, host, coalesce(n_active, 0) AS n_active, b.p AS pattern,
+SELECT page_id, url, CAST(fetched_on AS VARCHAR) AS fetched_on, host, coalesce(n_active, 0) AS n_active, b.p AS pattern,
   CASE WHEN b.r = 2 THEN 'block' ELSE 'keep' END AS decision
 FROM keys LEFT JOIN best USING (rid)
 """
@@ -151,4 +151,5 @@ FROM keys LEFT JOIN best USING (rid)
 @_query("op7_url_filters", _OP7_SQL)
 def op7_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     pages = read(spark, folder, "pages").select("page_id", "url")
-    return urlfilter.evaluate(captures_of(pages), list_of(pages))
+    judged = urlfilter.evaluate(captures_of(pages), list_of(pages))
+    return judged.withColumn("fetched_on", F.col("fetched_on").cast("string"))
