@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestar.llm import chat, urlfilter
+from lodestar.llm import ann, chat, embeddup, urlfilter
 from lodestar.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -153,3 +153,20 @@ def op7_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     pages = read(spark, folder, "pages").select("page_id", "url")
     judged = urlfilter.evaluate(captures_of(pages), list_of(pages))
     return judged.withColumn("fetched_on", F.col("fetched_on").cast("string"))
+
+
+# ---- 5 and 8: embeddings
+
+
+def _vectors(spark: SparkSession, folder: str) -> DataFrame:
+    return read(spark, folder, "embeddings").select("vec_id", F.col("embedding").alias("vector"))
+
+
+@_query("op5_embedding_dedup")
+def op5_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return embeddup.near_duplicates(_vectors(spark, folder))
+
+
+@_query("op8_nearest_neighbours")
+def op8_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return ann.nearest(_vectors(spark, folder), F.col("vec_id") % 20 == 0, k=20)
