@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestar.llm import ann, chat, embeddup, urlfilter
+from lodestar.llm import ann, chat, embeddup, htmltext, urlfilter
 from lodestar.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -170,3 +170,11 @@ def op5_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @_query("op8_nearest_neighbours")
 def op8_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     return ann.nearest(_vectors(spark, folder), F.col("vec_id") % 20 == 0, k=20)
+
+
+# ---- 2: HTML extraction
+
+
+@_query("op2_html_extraction")
+def op2_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return htmltext.extract_pages(read(spark, folder, "pages"))
