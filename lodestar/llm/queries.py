@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestar.llm import ann, chat, embeddup, htmltext, urlfilter
+from lodestar.llm import ann, chat, embeddup, htmltext, pieces, urlfilter
 from lodestar.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -178,3 +178,13 @@ def op8_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
 @_query("op2_html_extraction")
 def op2_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
     return htmltext.extract_pages(read(spark, folder, "pages"))
+
+
+# ---- 3: SentencePiece
+
+PIECES_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+
+
+@_query("op3_sentencepiece")
+def op3_sentencepiece(spark: SparkSession, folder: str, model: str = PIECES_MODEL) -> DataFrame:
+    return pieces.encode_documents(read(spark, folder, "documents"), pieces.load_vocabulary(model))
