@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestar.llm import ann, chat, embeddup, htmltext, pieces, urlfilter
+from lodestar.llm import ann, chat, embeddup, htmltext, mixing, pieces, urlfilter
 from lodestar.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -188,3 +188,93 @@ PIECES_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 @_query("op3_sentencepiece")
 def op3_sentencepiece(spark: SparkSession, folder: str, model: str = PIECES_MODEL) -> DataFrame:
     return pieces.encode_documents(read(spark, folder, "documents"), pieces.load_vocabulary(model))
+
+
+# ---- 9: mixing
+
+DOMAINS = ("web", "books", "news", "forums")
+MIX_WEIGHTS = {
+    "domain": {"web": 4.0, "books": 3.0, "news": 2.0, "forums": 1.0},
+    "lang": {"en": 5.0, "de": 2.0, "fr": 2.0, "es": 2.0},
+    "source": {"src0": 2.0},
+}
+MIX_SHARE, MIX_EPOCHS, MIX_SEED = 0.6, 2, 11
+
+
+def mix_levels() -> dict:
+    """Domain (by the number in the source's name), language, source."""
+    number = F.regexp_extract("source", r"([0-9]+)$", 1)
+    names = F.array(*[F.lit(d) for d in DOMAINS])
+    domain = F.when(number != "", F.element_at(names, F.pmod(number.try_cast("int"), F.lit(len(DOMAINS))) + 1))
+    return {"domain": domain, "lang": F.col("lang"), "source": F.col("source")}
+
+
+def _case(column: str, weights: dict[str, float]) -> str:
+    return "CASE " + column + " ".join(["", *[f"WHEN '{k}' THEN {v}" for k, v in weights.items()]]) + " ELSE 1.0 END"
+
+
+def _share_sql(name: str, nodes: str, parent: str, key: str, weight: str) -> str:
+    """The three steps of a level: order, level of the open children, targets."""
+    by = f"PARTITION BY {parent}"
+    order = f"{by} ORDER BY capacity / weight, {key}"
+    return f"""
+{name}_a AS (SELECT *, {weight} AS weight FROM ({nodes})),
+{name}_b AS (SELECT *, (budget - coalesce(sum(capacity) OVER ({order} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+    / sum(weight) OVER ({order} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM {name}_a),
+{name}_c AS (SELECT *, capacity <= level * weight AS is_full FROM {name}_b),
+{name} AS (SELECT *, CASE WHEN is_full THEN capacity ELSE weight * first_value(CASE WHEN NOT is_full THEN level END IGNORE NULLS)
+    OVER ({order} ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) END AS target FROM {name}_c)"""
+
+
+def mixing_sql(documents: str = "documents") -> str:
+    """``taken``: the selected documents with their epoch, as a chain of common table expressions."""
+    w, e = MIX_WEIGHTS, MIX_EPOCHS
+    domains = ", ".join(f"'{d}'" for d in DOMAINS)
+    top = "SELECT domain, sum(capacity) AS capacity, 0 AS root, any_value(budget) AS budget FROM leaf GROUP BY domain"
+    mid = "SELECT l.domain, l.lang, sum(l.capacity) AS capacity, any_value(t.target) AS budget FROM leaf l JOIN top t USING (domain) GROUP BY ALL"
+    low = "SELECT l.domain, l.lang, l.source, l.capacity, l.tokens, t.target AS budget FROM leaf l JOIN mid t USING (domain, lang)"
+    return f"""
+sized AS (
+  SELECT doc_id, coalesce(lang, 'unknown') AS lang, coalesce(source, 'unknown') AS source,
+    coalesce(CASE WHEN regexp_extract(source, '([0-9]+)$', 1) <> '' THEN
+      list_extract([{domains}], CAST(TRY_CAST(regexp_extract(source, '([0-9]+)$', 1) AS INT) % {len(DOMAINS)} + 1 AS INT)) END,
+      'unknown') AS domain,
+    len(regexp_extract_all(text, '\\S+')) AS n_tokens
+  FROM {documents} WHERE len(regexp_extract_all(text, '\\S+')) > 0
+),
+leaf AS (
+  SELECT domain, lang, source, sum(n_tokens) AS tokens, sum(n_tokens) * {float(e)} AS capacity,
+    least(sum(sum(n_tokens)) OVER () * {MIX_SHARE}, sum(sum(n_tokens)) OVER () * {float(e)}) AS budget
+  FROM sized GROUP BY ALL
+),{_share_sql("top", top, "root", "domain", _case("domain", w["domain"]))},{_share_sql(
+        "mid", mid, "domain", "lang", _case("lang", w["lang"]))},{_share_sql(
+        "low", low, "domain, lang", "source", _case("source", w["source"]))},
+epochs AS (SELECT *, least(floor(target / tokens), {e}) AS whole FROM low),
+ends AS (SELECT *, CASE WHEN whole < {e} THEN floor(target - whole * tokens) ELSE 0 END AS rest FROM epochs),
+keyed AS (
+  SELECT s.*, n.whole, n.rest,
+    md5('{MIX_SEED}:' || CAST(n.whole + 1 AS INT) || ':' || coalesce(CAST(doc_id AS VARCHAR), 'null')) AS key
+  FROM sized s JOIN ends n USING (domain, lang, source)
+),
+placed AS (SELECT *, sum(n_tokens) OVER (PARTITION BY domain, lang, source ORDER BY key, doc_id) AS until FROM keyed),
+taken AS (
+  SELECT doc_id, domain, lang, source, n_tokens,
+    unnest(range(1, CAST(whole + CASE WHEN rest > 0 AND until <= rest THEN 1 ELSE 0 END AS INT) + 1)) AS epoch FROM placed
+)"""
+
+
+_OP9_SQL = f"WITH {mixing_sql()}\nSELECT doc_id, domain, lang, source, n_tokens, CAST(epoch AS INT) AS epoch FROM taken"
+
+
+@_query("op9_source_mixing", _OP9_SQL)
+def op9_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents").select("doc_id", "text", "lang", "source")
+    taken = mixing.mix(docs, mix_levels(), MIX_WEIGHTS, MIX_SHARE, MIX_EPOCHS, MIX_SEED, epoch="epoch")
+    return taken.select(
+        "doc_id",
+        F.coalesce(mix_levels()["domain"], F.lit("unknown")).alias("domain"),
+        F.coalesce("lang", F.lit("unknown")).alias("lang"),
+        F.coalesce("source", F.lit("unknown")).alias("source"),
+        mixing.count_words(F.col("text")).alias("n_tokens"),
+        "epoch",
+    )
