@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestar.llm import ann, chat, embeddup, htmltext, licence_texts, licences, mixing, pieces, urlfilter
+from lodestar.llm import ann, chat, embeddup, htmltext, licence_texts, licences, mixing, neardup, pieces, urlfilter
 from lodestar.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -286,3 +286,11 @@ def op9_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
 @_query("op10_license_scan")
 def op10_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licences.scan(read(spark, folder, "documents"), licence_texts.templates())
+
+
+# ---- 1: MinHash near-duplicates
+
+
+@_query("op1_minhash_dedup")
+def op1_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return neardup.near_duplicate_groups(read(spark, folder, "documents"))
