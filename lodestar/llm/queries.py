@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestar.llm import ann, chat, embeddup, htmltext, licence_texts, licences, mixing, neardup, pieces, urlfilter
+from lodestar.llm import ann, chat, embeddup, htmltext, licence_texts, licences, mixing, neardup, pieces, quality, urlfilter
 from lodestar.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -294,3 +294,15 @@ def op10_license_scan(spark: SparkSession, folder: str) -> DataFrame:
 @_query("op1_minhash_dedup")
 def op1_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return neardup.near_duplicate_groups(read(spark, folder, "documents"))
+
+
+# ---- 4: quality classifier
+
+
+def trusted_ids(spark: SparkSession, folder: str) -> DataFrame:
+    return read(spark, folder, "labels").where("quality = 1").select("doc_id")
+
+
+@_query("op4_quality_classifier")
+def op4_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.classify(read(spark, folder, "documents"), trusted_ids(spark, folder))
