@@ -1,6 +1,6 @@
 """Embedding near-duplicates: spherical k-means cells, blocked cosine products, one representative per group.
 
-Equal vectors are one entry. Centres are fitted on a bounded sample (``sample_rows`` entries, chosen by hash);
+Equal vectors are one entry. Centres are fitted on a bounded sample (at most ``sample_rows`` entries, chosen by hash);
 every entry goes to the cell of its nearest centre, and a cell of more than ``block_rows`` entries is split into
 blocks by hash. A pair of blocks is one bounded matrix product in one task.
 
@@ -80,8 +80,12 @@ def linked_in_blocks(entries: DataFrame, dim: int, threshold: float, block_rows:
     of linked vectors (copies counted) and the smallest entry of its group within the pair."""
     spark = entries.sparkSession
     total = entries.count()
-    picked = entries.select("vector").orderBy(F.xxhash64("entry"), "entry").limit(sample_rows)
-    sample = _unit(np.array([r["vector"] for r in picked.toLocalIterator()], dtype=np.float64))
+    # a hash share that is expected to give the sample; the few rows beyond it are left out by the limit
+    share = F.pmod(F.xxhash64("entry"), F.lit(1 << 40)) < int((1 << 40) * min(1.0, sample_rows / max(total, 1)))
+    picked = entries.where(share).select("entry", "vector").limit(sample_rows).collect()
+    sample = _unit(np.array([r["vector"] for r in sorted(picked, key=lambda r: r["entry"])], dtype=np.float64).reshape(-1, dim))
+    if not len(sample):
+        sample = _unit(np.array([r["vector"] for r in entries.limit(1).collect()], dtype=np.float64))
     k = max(1, min(MOST_CELLS, math.ceil(total / block_rows), len(sample)))
     centres = spherical_kmeans(sample, k)
     gaps = centres[:, None, :] - centres[None, :, :]

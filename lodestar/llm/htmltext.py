@@ -180,7 +180,7 @@ class Page:
 
 def starting_weights() -> dict[str, float]:
     """Used where there are no labelled pages, and for tokens that they do not hold."""
-    weights = {"word": 1.0, "other": -0.1}
+    weights = {"word": 1.0, "other": -0.05}
     weights.update({f"{slash}{name}": -4.0 for name in ("article", "main", "body", "html") for slash in ("", "/")})
     return weights
 
@@ -194,11 +194,14 @@ def counted_weights(samples: list[tuple[list[tuple[str, int]], tuple[int, int]]]
     weights = starting_weights()
     for name, (outside, inside) in counts.items():
         if name != "word":
-            weights[name] = -0.02 - min(_WORST, max(0.0, math.log((outside + 1) / (inside + 1))))
+            worst = _WORST_MASKED if name[0] == "!" or name == "other" else _WORST
+            weights[name] = -0.02 - min(worst, max(0.0, math.log((outside + 1) / (inside + 1))))
     return weights
 
 
-_DEFAULT_TAG, _DEFAULT_MASKED_TAG, _WORST = -0.3, -1.0, 4.0
+_DEFAULT_TAG, _DEFAULT_MASKED_TAG = -0.05, -0.2
+# the least weight of a tag, and of an element whose text is left out anyway
+_WORST, _WORST_MASKED = 4.0, 0.5
 
 
 def weight(weights: dict[str, float], feature: str) -> float:
@@ -281,13 +284,14 @@ def extract(source: str | None, weights: dict[str, float]) -> str:
 
 def labelled_sample(pages: DataFrame, sample_pages: int = SAMPLE_PAGES, sample_chars: int = SAMPLE_CHARS) -> list[str]:
     lower = F.lower("html")
-    some = (
-        pages.where((F.length("html") <= sample_chars) & (lower.contains("<article") | lower.contains("<main")))
-        .select("html", F.xxhash64("html").alias("order"))
-        .orderBy("order", "html")
-        .limit(sample_pages)
-    )
-    return [r["html"] for r in some.collect()]
+    labelled = pages.where((F.length("html") <= sample_chars) & (lower.contains("<article") | lower.contains("<main")))
+    order = F.xxhash64("html")
+    # hashes first, so that no more than the chosen pages travel to the driver
+    chosen = labelled.select(order.alias("order")).distinct().orderBy("order").limit(sample_pages)
+    last = chosen.agg(F.max("order").alias("last")).first()["last"]
+    if last is None:
+        return []
+    return [r["html"] for r in labelled.where(order <= last).select("html").distinct().orderBy("html").collect()]
 
 
 def extract_pages(pages: DataFrame, weights: dict[str, float] | None = None) -> DataFrame:
