@@ -46,7 +46,7 @@ class Vocabulary:
     cuts_at_mark: bool = True
     cuts_at_newline: bool = True
     single: frozenset[str] = field(default_factory=frozenset)
-    prefixes: dict[str, float | None] = field(default_factory=dict)
+    root: list = field(default_factory=list)
 
     def __post_init__(self):
         self.longest = max(map(len, self.scores))
@@ -54,9 +54,13 @@ class Vocabulary:
         self.cuts_at_mark = not any(MARK in p.lstrip(MARK) for p in self.scores)
         self.cuts_at_newline = not any("\n" in p for p in self.scores)
         self.single = frozenset(p for p in self.scores if len(p) == 1)
-        # every beginning of a piece, with the score of those that are pieces
-        self.prefixes = {p[:n]: None for p in self.scores for n in range(1, len(p))}
-        self.prefixes.update((p, score) for p, (_, score) in self.scores.items())
+        # a tree of the pieces by character: a node is [following nodes, score of the piece that ends here]
+        self.root = [{}, None]
+        for piece, (_, score) in self.scores.items():
+            node = self.root
+            for c in piece:
+                node = node[0].setdefault(c, [{}, None])
+            node[1] = score
 
 
 def load_vocabulary(path: str) -> Vocabulary:
@@ -90,7 +94,7 @@ class Encoder:
 
     def viterbi(self, s: str) -> list[int]:
         """Ids of a marked text. ``best`` and ``back`` cover the undecided part, which begins at ``base``."""
-        v, prefixes, single, size = self.v, self.v.prefixes, self.v.single, len(s)
+        v, single, size = self.v, self.v.single, len(s)
         lowest = -float("inf")
         ids: list[int] = []
         base, best, back = 0, [0.0], [0]
@@ -102,17 +106,17 @@ class Encoder:
                 back.append(start)
             if s[start] not in single and here + v.unknown_score > best[start - base + 1]:
                 best[start - base + 1], back[start - base + 1] = here + v.unknown_score, start
-            for end in range(start + 1, size + 1):
-                piece = s[start:end]
-                if piece not in prefixes:
+            node = v.root
+            for end in range(start, min(size, start + v.longest)):
+                node = node[0].get(s[end])
+                if node is None:
                     break
-                score = prefixes[piece]
-                at = end - base
+                at = end + 1 - base
                 if at == len(best):
                     best.append(lowest)
                     back.append(start)
-                if score is not None and here + score > best[at]:
-                    best[at], back[at] = here + score, start
+                if node[1] is not None and here + node[1] > best[at]:
+                    best[at], back[at] = here + node[1], start
             if start + 1 - base >= check:
                 self.most_pending = max(self.most_pending, start + 1 - base)
                 meet = self._meeting(best, back, base, start + 1)
@@ -124,7 +128,7 @@ class Encoder:
 
     def short(self, s: str) -> list[int]:
         """The same for a word that fits one window: nothing to commit before its end."""
-        prefixes, single, unknown = self.v.prefixes, self.v.single, self.v.unknown_score
+        root, single, unknown = self.v.root, self.v.single, self.v.unknown_score
         size = len(s)
         best = [0.0] + [-float("inf")] * size
         back = [0] * (size + 1)
@@ -133,11 +137,13 @@ class Encoder:
             if s[start] not in single and here + unknown > best[start + 1]:
                 best[start + 1] = here + unknown
                 back[start + 1] = start
-            for end in range(start + 1, size + 1):
-                piece = s[start:end]
-                if piece not in prefixes:
+            end, node = start, root
+            for c in s[start:]:
+                node = node[0].get(c)
+                if node is None:
                     break
-                score = prefixes[piece]
+                end += 1
+                score = node[1]
                 if score is not None and here + score > best[end]:
                     best[end] = here + score
                     back[end] = start
@@ -155,13 +161,16 @@ class Encoder:
         return open_ends.pop()
 
     def _ids(self, s: str, back: list[int], base: int, end: int) -> list[int]:
-        cuts = [end]
-        while cuts[-1] > base:
-            cuts.append(back[cuts[-1] - base])
-        ids: list[int] = []
-        for start, stop in zip(cuts[:0:-1], cuts[-2::-1]):
-            hit = self.v.scores.get(s[start:stop])
-            ids += [hit[0]] if hit is not None else self._fallback(s[start:stop])
+        scores, ids = self.v.scores, []
+        while end > base:
+            start = back[end - base]
+            hit = scores.get(s[start:end])
+            if hit is not None:
+                ids.append(hit[0])
+            else:
+                ids += self._fallback(s[start:end])[::-1]
+            end = start
+        ids.reverse()
         return ids
 
     def _word(self, marked: str) -> bytes:
@@ -232,10 +241,13 @@ def encode_documents(docs: DataFrame, vocabulary: Vocabulary, keep: tuple[str, .
     ``identical`` (whether it is the source text)."""
     rows = docs.select("doc_id", "text", *keep)
     fixed = ["doc_id", *keep]
+    # one copy per Python worker, and with it one table of recent words for all tasks that the worker runs
+    sent = docs.sparkSession.sparkContext.broadcast(vocabulary)
     kinds = [f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in fixed]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(vocabulary)
+        vocabulary = sent.value
+        encoder = vocabulary.encoder = getattr(vocabulary, "encoder", None) or Encoder(vocabulary)
         for whole in batches:
             for start in range(0, whole.num_rows, 1000):
                 batch = whole.slice(start, 1000)
