@@ -47,6 +47,7 @@ LEAST_HELD_OUT = 20
 UPPER_QUANTILE = 0.99
 SLACK = 1.5
 BLOCK_WORDS = 2_000_000
+BROADCAST_IDS = 2_000_000
 _IDS = VOCABULARY + 2
 _FIRST = VOCABULARY + 1  # the context of a document's first word
 _CHUNK = 4096
@@ -402,8 +403,14 @@ def classify(
     text is that of the ``doc_id`` in ``trusted_ids``."""
     given = docs.select("doc_id", "lang", "text")
     held = F.pmod(F.xxhash64("doc_id"), F.lit(HELD_OUT)) == 0
-    trusted = trusted_ids.select("doc_id").where("doc_id IS NOT NULL").distinct()
-    model = train(given.join(trusted.where(~held), "doc_id", "left_semi"))
+    trusted = store(trusted_ids.select("doc_id").where("doc_id IS NOT NULL").distinct())
+    learned = trusted.where(~held)
+    # ids of at most 16 MB are sent to the documents; above that the trusted texts are shuffled to them once and stored
+    if trusted.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
+        text = given.join(F.broadcast(learned), "doc_id", "left_semi")
+    else:
+        text = store(given.join(learned, "doc_id", "left_semi"))
+    model = train(text)
     scored = store(score(given, model))
     found = thresholds(scored.join(trusted.where(held), "doc_id", "left_semi"))
     limits = {r["lang"]: r["threshold"] for r in found.orderBy(F.col("lang").asc_nulls_first()).limit(LANGUAGES).collect()}
