@@ -91,24 +91,12 @@ def weighted_degree(edges: DataFrame, min_w: float = 0.6, min_sum: float = 1.0)
 def inverted_index(docs: DataFrame, doc: str, column: str, sep: str = ",", chunk: int = 10000) -> DataFrame:
     """Word to sorted distinct documents: ``word, part, docs``.
 
-    A list longer than ``chunk`` goes on in the next part, so that a word found everywhere does not
-    end up in one row. Only the postings of such words are numbered, over (word, document).
+    ``part`` is the range of ``chunk`` document numbers that the list covers, so a word found everywhere
+    is as many rows of bounded size as there are ranges, at every table size.
     """
-    postings = materialise(
-        unnest(docs, F.array_distinct(tokenize(column)), "word", [F.col(doc).alias("doc")]).distinct()
-    )
-    long = postings.groupBy("word").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > chunk).select("word")
-    long = materialise(long)
-    split = not long.isEmpty()
-    short = postings.join(long, "word", "left_anti") if split else postings
-    parts = short.withColumn("part", F.lit(0))
-    if split:
-        numbered = with_row_number(postings.join(long, "word", "left_semi"), ["word", "doc"], "_pos")
-        starts = numbered.groupBy("word").agg(F.min("_pos").alias("_first"))
-        place = F.floor((F.col("_pos") - F.col("_first")) / chunk).cast("int")
-        parts = parts.unionByName(salted_lookup(numbered, starts, ["word"]).select("word", "doc", place.alias("part")))
-    return parts.groupBy("word", "part").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list("doc")), lambda d: d.cast("string")), sep).alias("docs")
+    postings = unnest(docs, F.array_distinct(tokenize(column)), "word", [F.col(doc).alias("doc")])
+    return postings.groupBy("word", F.floor(F.col("doc") / chunk).cast("int").alias("part")).agg(
+        F.array_join(F.transform(F.array_sort(F.collect_set("doc")), lambda d: d.cast("string")), sep).alias("docs")
     )
 
 
@@ -199,6 +187,8 @@ def histogram(
         bounds = df.agg(F.min(column).alias("lo"), F.max(column).alias("hi")).first()
         lo, hi = (bounds["lo"] if lo is None else lo), (bounds["hi"] if hi is None else hi)
     kept = df.where(F.col(column).between(lo, hi))
+    if lo is None or hi is None or hi <= lo:  # nothing, or one value: a single bin
+        return kept.groupBy(F.lit(0).alias("bin")).agg(F.count(F.lit(1)).alias("n"))
     last = F.least(F.floor((F.col(column) - lo) / F.lit((hi - lo) / bins)), F.lit(bins - 1))
     return kept.groupBy(last.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n"))
 

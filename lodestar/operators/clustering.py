@@ -23,7 +23,7 @@ def as_vector(df: DataFrame, column: str, name: str = "features") -> DataFrame:
 
 
 def assemble(df: DataFrame, columns: Sequence[str], name: str = "features") -> DataFrame:
-    return VectorAssembler(inputCols=list(columns), outputCol=name, handleInvalid="skip").transform(df)
+    return VectorAssembler(inputCols=list(columns), outputCol=name, handleInvalid="error").transform(df)
 
 
 def kmeans(df: DataFrame, features: str, k: int, seed: int = 42, max_iter: int = 20):

@@ -7,6 +7,7 @@ shuffle; a hub meets its one-row state by join, which the adaptive skew join can
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,14 +42,14 @@ def pagerank_iter(edges: DataFrame, iters: int = 10, damping: float = 0.85) -> D
 
 
 def pagerank_tol(
-    edges: DataFrame, tol: float = 1e-4, damping: float = 0.85, names: DataFrame | None = None, max_iters: int = 200
+    edges: DataFrame, tol: float = 1e-4, damping: float = 0.85, names: DataFrame | None = None
 ) -> DataFrame:
     """Un-normalised ranks of all vertices until no rank moves by more than ``tol``; optional names ``(node, name)``."""
     links = _with_outdegree(edges)
     nodes = materialise(links.select(F.explode(F.array("src", "dst")).alias("node")).distinct())
     ranks = nodes.withColumn("rank", F.lit(1.0))
     rounds = Rounds(edges.sparkSession)
-    for _ in range(max_iters):
+    while True:
         inflow = (
             links.join(ranks, links.src == ranks.node)
             .groupBy("dst")
@@ -67,10 +68,10 @@ def pagerank_tol(
 
 
 def pagerank_markov(
-    edges: DataFrame, damping: float = 0.85, tol: float | None = 1e-6, max_iters: int = 200
+    edges: DataFrame, damping: float = 0.85, tol: float = 1e-6, iters: int | None = None
 ) -> DataFrame:
     """Ranks that sum to 1; pages without links spread their rank over all pages. Stops when the
-    Euclidean change is at most ``tol`` (``None`` runs all rounds)."""
+    Euclidean change is at most ``tol``, or after exactly ``iters`` rounds if these are asked for."""
     links = _with_outdegree(edges)
     nodes = links.select(F.explode(F.array("src", "dst")).alias("node")).distinct()
     sinks = links.select(F.col("src").alias("node")).distinct().withColumn("has_links", F.lit(True))
@@ -81,7 +82,7 @@ def pagerank_markov(
     ranks = nodes.withColumn("rank", F.lit(1.0 / n))
     loose = ranks.agg(F.sum(F.when(F.col("sink"), F.col("rank")))).first()[0] or 0.0
     rounds = Rounds(edges.sparkSession)
-    for _ in range(max_iters):
+    for done in itertools.count(1):
         inflow = (
             links.join(ranks, links.src == ranks.node)
             .groupBy("dst")
@@ -99,9 +100,8 @@ def pagerank_markov(
         ).first()
         loose = seen["loose"] or 0.0
         ranks = step.select("node", "sink", "rank")
-        if tol is not None and seen["moved"] <= tol:
-            break
-    return ranks.select("node", "rank")
+        if done == iters or (iters is None and seen["moved"] <= tol):
+            return ranks.select("node", "rank")
 
 
 def extreme_pages(ranks: DataFrame) -> DataFrame:
@@ -112,7 +112,7 @@ def extreme_pages(ranks: DataFrame) -> DataFrame:
     )
 
 
-def connected_components(edges: DataFrame, nodes: DataFrame | None = None, max_rounds: int = 100) -> DataFrame:
+def connected_components(edges: DataFrame, nodes: DataFrame | None = None) -> DataFrame:
     """``node, component`` with the smallest vertex id as component id.
 
     Contraction: each round every vertex points to the neighbour with the smallest hash (a new hash per
@@ -125,7 +125,7 @@ def connected_components(edges: DataFrame, nodes: DataFrame | None = None, max_r
     if nodes is not None:
         vertices = vertices.unionByName(nodes.select("node"))
     maps: list[DataFrame] = []
-    for round_no in range(max_rounds):
+    for round_no in itertools.count():
         if work.isEmpty():
             break
         both = work.unionByName(work.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
@@ -140,8 +140,6 @@ def connected_components(edges: DataFrame, nodes: DataFrame | None = None, max_r
             hop.select(F.col("node").alias("dst"), F.col("to").alias("_d")), "dst"
         )
         work = rounds.store(canonical_edges(moved.select(F.col("_s").alias("src"), F.col("_d").alias("dst"))))
-    else:
-        raise RuntimeError("components did not settle")
     labels = vertices.distinct().withColumn("root", F.col("node"))
     for hop in maps:
         step = hop.select(F.col("node").alias("_n"), F.col("to").alias("_to"))
@@ -224,7 +222,7 @@ def rank_correlation(df: DataFrame, a: str, b: str) -> DataFrame:
     return corr_matrix(df, [a, b], "spearman").where(F.col("a") != F.col("b")).select("value")
 
 
-def core_numbers(edges: DataFrame, max_rounds: int = 1000) -> DataFrame:
+def core_numbers(edges: DataFrame) -> DataFrame:
     """k-core number of every vertex; parallel edges of a directed graph count as in- plus out-degree.
 
     Every vertex starts at its degree and moves to the largest h for which h neighbours have at least h.
@@ -244,14 +242,13 @@ def core_numbers(edges: DataFrame, max_rounds: int = 1000) -> DataFrame:
         return state.join(best, "node").select("node", F.least("core", "h").alias("core"), F.col("core").alias("old"))
 
     rounds = Rounds(edges.sparkSession)
-    for _ in range(max_rounds):
+    while True:
         # two updates per stored round: values only fall, so an unchanged second update is the end
         step = rounds.store(update(update(core).drop("old")))
         changed = not step.where(F.col("core") != F.col("old")).isEmpty()
         core = step.select("node", "core")
         if not changed:
             return core
-    raise RuntimeError("core numbers did not settle")
 
 
 def modularity(edges: DataFrame, clustering: DataFrame) -> DataFrame:
@@ -280,7 +277,7 @@ def random_labels(nodes: DataFrame, k: int = 2, seed: int = 42) -> DataFrame:
     return nodes.select("node", F.pmod(key_hash(["node"], seed), F.lit(k)).cast("int").alias("cluster"))
 
 
-def shortest_paths(edges: DataFrame, max_rounds: int = 10000) -> DataFrame:
+def shortest_paths(edges: DataFrame) -> DataFrame:
     """Breadth-first distances ``graph, src, dst, d`` inside each undirected graph ``(graph, src, dst)``."""
     both = edges.select("graph", "src", "dst").unionByName(
         edges.select("graph", F.col("dst").alias("src"), F.col("src").alias("dst"))
@@ -290,7 +287,7 @@ def shortest_paths(edges: DataFrame, max_rounds: int = 10000) -> DataFrame:
     found = materialise(frontier.withColumn("d", F.lit(0)))
     parts, frontier = [found], found
     hop = both.select("graph", F.col("src").alias("dst"), F.col("dst").alias("next"))
-    for d in range(1, max_rounds):
+    for d in itertools.count(1):
         reached = frontier.join(hop, ["graph", "dst"]).select("graph", "src", F.col("next").alias("dst")).distinct()
         # a vertex at distance d was not seen at distance d-1 or d-2, so two layers are enough to compare
         for layer in parts[-2:]:

@@ -117,8 +117,8 @@ def area_under_curves(df: DataFrame, label: str, score: str) -> DataFrame:
     precision = F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg"))
     precision_before = F.when(seen_before > 0, before / seen_before).otherwise(precision)
     return s.agg(
-        (F.sum(F.col("neg") * (F.col("cum_pos") + before) / 2.0) / (pos * neg)).alias("auc"),
-        (F.sum(F.col("pos") * (precision + precision_before) / 2.0) / pos).alias("pr_auc"),
+        (F.sum(F.col("neg") * (F.col("cum_pos") + before) / 2.0) / F.nullif(pos * neg, F.lit(0.0))).alias("auc"),
+        (F.sum(F.col("pos") * (precision + precision_before) / 2.0) / F.nullif(pos, F.lit(0.0))).alias("pr_auc"),
     )
 
 

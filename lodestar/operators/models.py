@@ -328,7 +328,7 @@ def merge_importances(a: DataFrame, b: DataFrame) -> DataFrame:
 
 def inliers_split(
     df: DataFrame, estimator: Estimator, label: str, keys: Sequence[str], exclude: float = 0.2, rate: float = 0.5,
-    seed: int = 42, max_rounds: int = 60,
+    seed: int = 42,
 ) -> DataFrame:
     """Rows that models fitted on earlier inliers predict well, until ``1 - exclude`` of all rows are in.
 
@@ -340,7 +340,7 @@ def inliers_split(
     inliers = rows.select(*keys).limit(0)
     have = 0
     rounds = Rounds(df.sparkSession)
-    for round_no in range(max_rounds):
+    for round_no in itertools.count():
         if have >= goal:
             break
         unknown = rows.join(inliers, list(keys), "left_anti").withColumn("_u", hash_fraction(keys, seed + round_no))

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from lodestar.functions.columns import HASH_RANGE, hash_fraction, key_hash
 from lodestar.functions.text import tokenize, unnest
 from lodestar.operators.scaling import (
-    ONE_TASK_ROWS,
     materialise,
     salted_lookup,
     top_k_per_key,
@@ -125,8 +124,6 @@ def sample_hash(df: DataFrame, keys: Sequence[str], fraction: float, seed: int =
 
 def sample_n(df: DataFrame, keys: Sequence[str], n: int, seed: int = 42) -> DataFrame:
     """Exactly n rows (or all, if fewer): the n smallest key hashes."""
-    if n <= ONE_TASK_ROWS:
-        return df.orderBy(key_hash(keys, seed), *keys).limit(n)
     numbered = with_row_number(df.withColumn("_h", key_hash(keys, seed)), ["_h", *keys], "_pos")
     return numbered.where(F.col("_pos") <= n).drop("_h", "_pos")
 

@@ -23,8 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BLOCK_ROWS = 1024
-ONE_TASK_ROWS = 200_000
-SALTS = 16
+LEAST_SALTS = 16
 _LOCAL_BITS = 33
 
 
@@ -99,19 +98,11 @@ def with_row_number(df: DataFrame, order: Sequence[str | Column], name: str = "r
 def running_totals(df: DataFrame, order: Sequence[str | Column], amounts: Sequence[str]) -> DataFrame:
     """Add ``cum_<amount>`` (inclusive) over a total order of rows that are distinct on ``order``.
 
-    The input is stored first: it is read for its size, for the range bounds and for the sums. A table
-    of at most ``ONE_TASK_ROWS`` rows is summed by one window; a larger one range by range.
+    The input is stored first: it is read for the range bounds and for the sums. Every range is summed by its
+    own task, and one offset per range (an exclusive sum over the ranges before) is added.
     """
     keys = _as_columns(order)
-    stored = materialise(df)
-    if stored.count() <= ONE_TASK_ROWS:
-        whole = Window.orderBy(*keys).rowsBetween(Window.unboundedPreceding, 0)
-        return stored.select("*", *[F.sum(a).over(whole).alias(f"cum_{a}") for a in amounts])
-    return _ranged_totals(stored, keys, amounts)
-
-
-def _ranged_totals(df: DataFrame, keys: Sequence[Column], amounts: Sequence[str]) -> DataFrame:
-    stored = materialise(df.repartitionByRange(*keys).withColumn("_range", F.spark_partition_id()))
+    stored = materialise(materialise(df).repartitionByRange(*keys).withColumn("_range", F.spark_partition_id()))
     parts = stored.groupBy("_range").agg(*[F.sum(a).alias(a) for a in amounts])
     offsets = _offsets(parts, amounts)
     within = Window.partitionBy("_range").orderBy(*keys).rowsBetween(Window.unboundedPreceding, 0)
@@ -121,12 +112,14 @@ def _ranged_totals(df: DataFrame, keys: Sequence[Column], amounts: Sequence[str]
     )
 
 
-def salted_lookup(rows: DataFrame, lookup: DataFrame, on: Sequence[str], salts: int = SALTS) -> DataFrame:
+def salted_lookup(rows: DataFrame, lookup: DataFrame, on: Sequence[str], salts: int | None = None) -> DataFrame:
     """Inner join with a table of one row per key, for use before an aggregate on the same key.
 
     There Spark keeps the join's partitions for the aggregate and cannot split a hot key. The rows of a
-    key are spread over ``salts`` tasks by a hash of the row, and the lookup is repeated per salt.
+    key are spread over ``salts`` tasks by a hash of the row, and the lookup is repeated per salt. By default
+    there are as many salts as shuffle partitions, so that a hot key has the same parallelism as the job.
     """
+    salts = salts or max(LEAST_SALTS, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*rows.columns), F.lit(salts)).cast("int"))
     repeated = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return salted.join(repeated, [*on, "_salt"]).drop("_salt")
@@ -216,13 +209,14 @@ def block_product(
     lhs = left.select(
         _block("row", n_row).alias("_r"), _block("k", n_k).alias("_k"), _all_blocks(n_col).alias("_c"),
         "row", "k", F.col("value").cast("double").alias("value"), F.lit(None).cast(col_type).alias("col"),
+        F.lit(False).alias("asked"),
     )
     if mask is not None:
         lhs = lhs.unionByName(
             mask.distinct().select(
                 _block("row", n_row).alias("_r"), _all_blocks(n_k).alias("_k"), _block("col", n_col).alias("_c"),
                 "row", F.lit(None).cast(left.schema["k"].dataType).alias("k"),
-                F.lit(None).cast("double").alias("value"), "col",
+                F.lit(None).cast("double").alias("value"), "col", F.lit(True).alias("asked"),
             )
         )
     rhs = right.select(
@@ -235,8 +229,8 @@ def block_product(
     masked = mask is not None
 
     def multiply(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        wanted = a[a["value"].isna()] if masked else None
-        a = a[a["value"].notna()]
+        wanted = a[a["asked"]] if masked else None
+        a = a[~a["asked"]]
         if a.empty or b.empty or (masked and wanted.empty):
             return pd.DataFrame({"row": [], "col": [], "value": []})
         inner = pd.Index(pd.unique(pd.concat([a["k"], b["k"]])))

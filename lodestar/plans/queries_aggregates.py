@@ -93,7 +93,8 @@ def _(t):
 @query(
     "a10_inverted_index",
     "WITH w AS (SELECT DISTINCT doc_id, unnest(string_split_regex(text, '[ \\t\\n\\f\\r\\x0B]+')) AS word FROM documents) "
-    "SELECT word, 0 AS part, string_agg(doc_id, ',' ORDER BY doc_id) AS docs FROM w WHERE word <> '' GROUP BY word",
+    "SELECT word, CAST(floor(doc_id / 10000) AS INT) AS part, string_agg(doc_id, ',' ORDER BY doc_id) AS docs "
+    "FROM w WHERE word <> '' GROUP BY ALL",
 )
 def _(t):
     return A.inverted_index(t.documents, "doc_id", "text")

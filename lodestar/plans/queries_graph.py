@@ -82,7 +82,7 @@ def _one_way(t):
     f"WITH e AS MATERIALIZED ({_ONE_WAY_SQL}), d AS (SELECT src, count(*) AS deg FROM e GROUP BY src), {_markov_sql(5)} SELECT node, round(rank, 9) AS rank FROM r5",
 )
 def _(t):
-    return G.pagerank_markov(_one_way(t), tol=None, max_iters=5).withColumn("rank", F.round("rank", 9))
+    return G.pagerank_markov(_one_way(t), iters=5).withColumn("rank", F.round("rank", 9))
 
 
 @query(

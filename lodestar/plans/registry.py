@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lodestar.sources.readers import read_table
 
-# tables of long texts: work per row is large, so even a small file is worth spreading
+# tables of long texts: a session on one machine may ask to spread the one row group of a small file (see session.py)
 WIDE_TEXT = ("documents", "pages")
+SPREAD = "spark.lodestar.spreadTexts"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -23,7 +24,8 @@ class Tables:
         self.folder = folder
 
     def __getattr__(self, name: str) -> DataFrame:
-        return read_table(self.spark, f"{self.folder}/{name}.parquet", spread=name in WIDE_TEXT)
+        spread = name in WIDE_TEXT and self.spark.conf.get(SPREAD, "false") == "true"
+        return read_table(self.spark, f"{self.folder}/{name}.parquet", spread=spread)
 
 
 def query(name: str, sql: str | None = None):

@@ -18,6 +18,14 @@ SETTINGS = {
 }
 
 
+def configure(spark: SparkSession) -> SparkSession:
+    """Apply the recommended settings to a session that the cluster has made."""
+    for key, value in SETTINGS.items():
+        if spark.conf.isModifiable(key):
+            spark.conf.set(key, value)
+    return spark
+
+
 def local_session(cores: int | str = "*", partitions: int | None = None, memory: str = "12g") -> SparkSession:
     """A session on this machine; a cluster job brings its own session instead."""
     partitions = partitions or (os.cpu_count() or 8 if cores == "*" else int(cores))
@@ -26,6 +34,7 @@ def local_session(cores: int | str = "*", partitions: int | None = None, memory:
         builder = builder.config(key, value)
     return (
         builder.config("spark.sql.shuffle.partitions", str(partitions))
+        .config("spark.lodestar.spreadTexts", "true")
         .config("spark.driver.memory", memory)
         .getOrCreate()
     )

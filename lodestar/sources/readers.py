@@ -37,21 +37,13 @@ def read_json_view(
     return table
 
 
-SPREAD_BYTES = 1 << 28
-
-
 def read_table(
     spark: SparkSession, path: str, columns: Sequence[str] | None = None, spread: bool = False
 ) -> DataFrame:
-    """Parquet table. With ``spread`` the rows of a small table (size checked, at most 256 MB) go to all
-    cores first: a small file is often one row group, which one task would read and process alone."""
+    """Parquet table. ``spread`` deals the rows out to all cores, for a table that is known to be one row group."""
     table = spark.read.parquet(path)
     table = table.select(*columns) if columns else table
-    if spread:
-        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-        if (files.agg(F.sum("length")).first()[0] or 0) <= SPREAD_BYTES:
-            return table.repartition(spark.sparkContext.defaultParallelism)
-    return table
+    return table.repartition(spark.sparkContext.defaultParallelism) if spread else table
 
 
 def read_csv_typed(

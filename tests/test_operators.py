@@ -372,3 +372,21 @@ def test_plans_stay_in_the_jvm_without_products(spark, name):
     plan = entry.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     for word in ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert word not in plan
+
+
+def test_loops_run_to_their_end(spark):
+    path = spark.range(60).select(F.lit("g").alias("graph"), F.col("id").alias("src"), (F.col("id") + 1).alias("dst"))
+    hist = {r["d"]: r["n"] for r in G.sp_histogram(path.where("src < 25")).collect()}
+    assert hist == {0: 26, **{d: 2 * (26 - d) for d in range(1, 26)}}
+    assert {r["core"] for r in G.core_numbers(path).collect()} == {1}
+    assert {r["component"] for r in G.connected_components(path).collect()} == {0}
+
+
+def test_constant_columns_and_single_classes(spark):
+    same = spark.range(5).select(F.lit(2.0).alias("v"), F.lit(1).alias("y"), F.col("id").cast("double").alias("s"))
+    assert [tuple(r) for r in A.histogram(same, "v", 4).collect()] == [(0, 5)]
+    assert A.histogram(same.limit(0), "v", 4).count() == 0
+    one = M.area_under_curves(same, "y", "s").first()
+    assert one["auc"] is None and one["pr_auc"] == 1.0
+    ratings = spark.createDataFrame([(1, 1, 0.0), (2, 1, 3.0), (3, 1, 4.0)], "user INT, item INT, rating DOUBLE")
+    assert {(r["a"], r["b"]) for r in R.user_similarity(ratings).collect()} == {(2, 3), (3, 2)}

@@ -20,17 +20,13 @@ def test_row_numbers_are_dense_and_ordered(spark, skewed):
     assert out[["v", "id"]].apply(tuple, axis=1).is_monotonic_increasing
 
 
-@pytest.mark.parametrize("limit", [0, 10**6])
-def test_running_totals_on_both_paths(spark, skewed, monkeypatch, limit):
-    monkeypatch.setattr(scaling, "ONE_TASK_ROWS", limit)
+def test_running_totals(spark, skewed):
     counts = skewed.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
     out = scaling.running_totals(counts, ["v"], ["n"]).toPandas().sort_values("v")
     assert out["cum_n"].tolist() == out["n"].cumsum().tolist()
 
 
-@pytest.mark.parametrize("limit", [0, 10**6])
-def test_percentiles_equal_numpy(spark, skewed, monkeypatch, limit):
-    monkeypatch.setattr(scaling, "ONE_TASK_ROWS", limit)
+def test_percentiles_equal_numpy(spark, skewed):
     marks = [0.0, 0.1, 0.5, 0.77, 1.0]
     data = skewed.toPandas()
     whole = scaling.exact_percentiles(skewed, "v", marks).first()
@@ -96,3 +92,9 @@ def test_top_k_limits_before_the_shuffle(spark, skewed):
 def test_scratch_folder_follows_the_session(spark):
     folder = scaling.checkpoint_folder(spark)
     assert folder and scaling.checkpoint_folder(spark) == folder
+
+
+def test_configure_applies_what_can_change(spark):
+    from lodestar.session import configure
+
+    assert configure(spark).conf.get("spark.sql.adaptive.forceOptimizeSkewedJoin") == "true"
