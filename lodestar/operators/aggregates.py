@@ -100,6 +100,17 @@ def inverted_index(docs: DataFrame, doc: str, column: str, sep: str = ",", chunk
     )
 
 
+def basket_pairs(items: DataFrame, basket: str, item: str) -> DataFrame:
+    """Unordered pairs of different items of a basket, one row per basket and pair, ready for ``pair_count``.
+
+    A basket is one sorted array; its pairs come out of it item by item, so nothing is joined. The output
+    of a basket grows with the square of its size, as its pairs do.
+    """
+    baskets = items.where(F.col(item).isNotNull()).groupBy(basket).agg(F.sort_array(F.collect_set(item)).alias("_items"))
+    first = baskets.select(basket, "_items", F.posexplode("_items").alias("_at", "a"))
+    return first.select(basket, "a", F.explode(F.slice("_items", F.col("_at") + 2, F.size("_items"))).alias("b"))
+
+
 def pair_count(pairs: DataFrame, a: str, b: str) -> DataFrame:
     """Counts of unordered pairs, given one row per pair."""
     return pairs.groupBy(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).agg(F.count(F.lit(1)).alias("n"))

@@ -112,6 +112,24 @@ def _(t):
     return A.pair_count(pairs, "x", "y")
 
 
+@query(
+    "a11_basket_pairs",
+    "WITH i AS (SELECT DISTINCT l_orderkey, l_suppkey FROM lineitem) SELECT x.l_suppkey AS a, y.l_suppkey AS b, count(*) AS n "
+    "FROM i x JOIN i y ON x.l_orderkey = y.l_orderkey AND x.l_suppkey < y.l_suppkey GROUP BY ALL",
+)
+def _(t):
+    return A.pair_count(A.basket_pairs(t.lineitem, "l_orderkey", "l_suppkey"), "a", "b")
+
+
+@query(
+    "a16_column_product",
+    "SELECT round(exp(sum(ln(1 + l_discount / 1000))), 6) AS product FROM lineitem",
+)
+def _(t):
+    growth = t.lineitem.select((F.lit(1) + F.col("l_discount").cast("double") / 1000).alias("v"))
+    return A.column_product(growth, "v").select(F.round("product", 6).alias("product"))
+
+
 @query(
     "a12_group_agg",
     "SELECT l_returnflag, l_linestatus, round(sum(l_quantity), 2) AS sum, round(avg(l_quantity), 6) AS mean, max(l_quantity) AS max, "

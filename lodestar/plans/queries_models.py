@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.ml.evaluation import RegressionEvaluator
+from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.feature import MinMaxScaler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
@@ -125,6 +125,14 @@ def _(t):
     return out
 
 
+@query("ml07_boosted_classifier")
+def _(t):
+    two_classes = F.when(F.col("label") >= 5, 1.0).otherwise(0.0)
+    train, test = (part.withColumn("label", two_classes) for part in _vectors(t))
+    model = ML.trees("boosted", "classify", maxDepth=5, maxIter=10).fit(train)
+    return _accuracy(model.transform(test)).withColumn("kind", F.lit("boosted"))
+
+
 @query("ml07_tree_regressors")
 def _(t):
     train, test = _parts(_lines(t), _KEYS)
@@ -268,6 +276,15 @@ def _(t):
     return table
 
 
+@query("ml17_f1_search")
+def _(t):
+    estimator = ML.trees("tree", "classify")
+    maps = ML.grid(estimator, {"maxDepth": [3, 5]})
+    train, _ = _vectors(t)
+    _, table = ML.grid_search(train, estimator, maps, MulticlassClassificationEvaluator(metricName="f1"), ["vec_id"], folds=5, seed=7)
+    return table
+
+
 @query("ml17_random_search")
 def _(t):
     estimator = ML.linear(kind="ridge")

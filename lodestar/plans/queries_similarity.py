@@ -50,7 +50,7 @@ def _(t):
     base, test = _split(t)
     cast = lambda df: df.select(F.col("user").cast("int").alias("user"), F.col("item").cast("int").alias("item"), F.col("rating").cast("float").alias("rating"))
     model = R.factorise(cast(base), 3, 5)
-    return M.regression_errors(model.transform(cast(test)), "rating", "prediction").select("n", "mae", "rmse")
+    return M.regression_errors(R.predict_factors(model, cast(test)), "rating", "prediction").select("n", "mae", "rmse")
 
 
 @query(
