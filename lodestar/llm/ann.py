@@ -72,6 +72,7 @@ class Curves:
 
     def __init__(self, dim: int, largest: float, curves: int, dims: int, bits: int, seed: int):
         rng = np.random.default_rng(seed)
+        dims = min(dims, dim + 1)
         self.largest, self.bits = largest, bits
         self.directions = [np.linalg.qr(rng.normal(size=(dim + 1, dims)))[0] for _ in range(curves)]
         self.shifts = rng.uniform(0.0, 1.0, size=(curves, dims))
