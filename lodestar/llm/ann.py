@@ -9,8 +9,8 @@ Inner products are turned into distances by one more coordinate, ``sqrt(M^2 - |x
 length can be ordered. Equal vectors are one entry with its ``k + 1`` smallest ids, so a vector that fills a
 third of the table costs one row and ties go to the smaller ids exactly.
 
-``cells`` is the number of ranges per curve: 16, or more once a range would exceed ``cell_rows`` rows, so that a
-task never holds more. The share of rows a query meets (``window``) is what buys recall: vectors without any
+``cells`` is the number of ranges per curve: 16, more once a range would exceed ``cell_rows`` rows, so that a task never
+holds more, and fewer where a range would hold less than ``k + 1`` rows. The share of rows a query meets (``window``) is what buys recall: vectors without any
 cluster structure need a large share (the README has measured figures).
 
 Defined results: vectors that are null, empty, zero, hold null or non-finite components, have another length
@@ -136,7 +136,7 @@ def nearest(
     )
     square = F.aggregate("vector", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
     sizes = entries.agg(F.count(F.lit(1)).alias("n"), F.sqrt(F.max(square)).alias("m")).first()
-    cells = max(cells, math.ceil(sizes["n"] / cell_rows))
+    cells = max(1, min(max(cells, math.ceil(sizes["n"] / cell_rows)), sizes["n"] // (k + 1)))
     plan = Curves(dim, sizes["m"], curves, dims, bits, seed)
 
     def key_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
