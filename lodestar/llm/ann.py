@@ -2,16 +2,18 @@
 
 Every vector is projected on a few random directions, several times, and each projection is shifted and
 ordered along a Hilbert curve. Each curve is range-partitioned into cells of equal row counts (bounds from
-mergeable quantile sketches); a query meets the rows of its own cell and of the ``window`` cells on each
-side. The candidates of all curves are merged and ranked by the exact inner product.
+mergeable quantile sketches); a query meets the rows of its own cell and of as many cells on each side as make up
+``share`` of all cells. The candidates of all curves are merged and ranked by the exact inner product.
 
 Inner products are turned into distances by one more coordinate, ``sqrt(M^2 - |x|^2)``, so that vectors of any
 length can be ordered. Equal vectors are one entry with its ``k + 1`` smallest ids, so a vector that fills a
 third of the table costs one row and ties go to the smaller ids exactly.
 
-``cells`` is the number of ranges per curve: 16, more once a range would exceed ``cell_rows`` rows, so that a task never
-holds more, and fewer where a range would hold less than ``k + 1`` rows. The share of rows a query meets (``window``) is what buys recall: vectors without any
-cluster structure need a large share (the README has measured figures).
+``cells`` is the number of ranges per curve: 16, more once a range would exceed ``cell_rows`` rows, and fewer where a range
+would hold less than ``k + 1`` rows. The share of rows a query meets buys recall, so it stays the same however many
+ranges there are: ``window`` cells on each side of 16, in proportion of more. The queries that meet a range are divided by a hash
+into slices of about ``cell_rows``, each beside a copy of the range, so that a task holds two bounded parts. Vectors without
+any cluster structure need a large share (the README has measured figures).
 
 Defined results: vectors that are null, empty, zero, hold null or non-finite components, have another length
 than most vectors, or have a null id take no part; a repeated row counts once; fewer than ``k`` candidates give
@@ -97,6 +99,11 @@ def _tie_break(keys: np.ndarray, ids: np.ndarray) -> np.ndarray:
     return (keys << _TIE_BITS) | mixed.astype(np.int64)
 
 
+def window_of(cells: int, window: int = WINDOW, of: int = CELLS) -> int:
+    """Cells on each side that a query meets: never a smaller share of all cells than ``window`` on each side of ``of``."""
+    return window if cells <= of else math.ceil(((2 * window + 1) * cells / of - 1) / 2)
+
+
 def distinct_vectors(rows: DataFrame, keep: int) -> DataFrame:
     """``vector, ids``: the ``keep`` smallest ids per vector; Spark cuts to them before the shuffle."""
     first = Window.partitionBy("vector").orderBy("vec_id")
@@ -136,7 +143,9 @@ def nearest(
     )
     square = F.aggregate("vector", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
     sizes = entries.agg(F.count(F.lit(1)).alias("n"), F.sqrt(F.max(square)).alias("m")).first()
+    least = cells
     cells = max(1, min(max(cells, math.ceil(sizes["n"] / cell_rows)), sizes["n"] // (k + 1)))
+    window = window_of(cells, window, least)
     plan = Curves(dim, sizes["m"], curves, dims, bits, seed)
 
     def key_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -156,24 +165,53 @@ def nearest(
         for row in found.collect():  # curves x cells numbers
             bounds[row["curve"]] = row["b"]
 
+    def near(c: int, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Cells that queries meet, and the queries' positions."""
+        at = np.searchsorted(bounds[c], keys, side="left")
+        # cells at the ends see as many cells as the others
+        centre = np.clip(at, min(window, cells - 1), max(cells - 1 - window, 0))
+        met = centre[:, None] + np.arange(-window, window + 1)[None, :]
+        row, col = np.nonzero((met >= 0) & (met < cells))
+        return met[row, col], row
+
+    def load(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Queries per cell, one sum per task."""
+        total = np.zeros((curves, cells), np.int64)
+        for batch in batches:
+            ids = batch.column("entry").to_numpy()
+            lifted = plan.lifted(matrix(batch.column("vector"), dim), as_query=True)
+            for c in range(curves):
+                total[c] += np.bincount(near(c, _tie_break(plan.keys(c, lifted), ids))[0], minlength=cells)
+        curve, cell = np.nonzero(total)
+        yield pa.RecordBatch.from_pydict(
+            {"curve": pa.array(curve, pa.int32()), "cell": pa.array(cell, pa.int32()), "n": pa.array(total[curve, cell])}
+        )
+
+    asked = store(entries.join(asking.select("entry").distinct(), "entry").select("entry", "vector"))
+    slices = np.zeros((curves, cells), np.int64)  # none where nobody asks
+    for row in asked.mapInArrow(load, "curve int, cell int, n long").groupBy("curve", "cell").agg(F.sum("n").alias("n")).collect():
+        slices[row["curve"], row["cell"]] = math.ceil(row["n"] / cell_rows)
+
     def place(batches: Iterator[pa.RecordBatch], as_query: bool) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column("entry").to_numpy()
             lifted = plan.lifted(matrix(batch.column("vector"), dim), as_query)
             for c in range(curves):
-                at = np.searchsorted(bounds[c], _tie_break(plan.keys(c, lifted), ids), side="left")
+                keys = _tie_break(plan.keys(c, lifted), ids)
                 if as_query:
-                    # cells at the ends see as many cells as the others
-                    centre = np.clip(at, min(window, cells - 1), max(cells - 1 - window, 0))
-                    near = centre[:, None] + np.arange(-window, window + 1)[None, :]
-                    row, col = np.nonzero((near >= 0) & (near < cells))
-                    at, take = near[row, col], row
+                    at, take = near(c, keys)
+                    part = _tie_break(np.zeros_like(ids), ids)[take] % slices[c, at]
                 else:
-                    take = np.arange(len(ids))
+                    at = np.searchsorted(bounds[c], keys, side="left")
+                    copies = slices[c, at]
+                    take = np.repeat(np.arange(len(ids)), copies)
+                    part = np.arange(len(take)) - np.repeat(np.cumsum(copies) - copies, copies)
+                    at = at[take]
                 yield pa.RecordBatch.from_pydict(
                     {
                         "curve": pa.array(np.full(len(at), c, np.int32)),
                         "cell": pa.array(at.astype(np.int32)),
+                        "slice": pa.array(part.astype(np.int32)),
                         "asks": pa.array(np.full(len(at), as_query)),
                         "entry": pa.array(ids[take]),
                         "vector": batch.column("vector").take(pa.array(take)),
@@ -181,8 +219,7 @@ def nearest(
                 )
 
     kind = entries.schema["vector"].dataType.simpleString()
-    schema = f"curve int, cell int, asks boolean, entry long, vector {kind}"
-    asked = entries.join(asking.select("entry").distinct(), "entry").select("entry", "vector")
+    schema = f"curve int, cell int, slice int, asks boolean, entry long, vector {kind}"
     placed = (
         entries.select("entry", "vector")
         .mapInArrow(lambda b: place(b, False), schema)
@@ -207,7 +244,7 @@ def nearest(
         cat = lambda parts, kind: np.concatenate(parts) if parts else np.empty(0, kind)
         return pa.table({"asked": cat(out_q, np.int64), "entry": cat(out_b, np.int64), "score": cat(out_s, np.float64)})
 
-    met = placed.groupBy("curve", "cell").applyInArrow(rank_cell, "asked long, entry long, score double")
+    met = placed.groupBy("curve", "cell", "slice").applyInArrow(rank_cell, "asked long, entry long, score double")
     merged = met.groupBy("asked", "entry").agg(F.max("score").alias("score"))
     best = Window.partitionBy("asked").orderBy(F.desc("score"), F.asc("entry"))
     some = merged.withColumn("at", F.row_number().over(best)).where(F.col("at") <= k + 1).drop("at")

@@ -97,6 +97,17 @@ def test_recall_with_production_windows(spark):
     assert np.mean([len(got[q] & {i for i, _ in want[q]}) / 20 for q in want]) >= 0.9
 
 
+def test_recall_holds_with_many_cells(spark):
+    assert [ann.window_of(c) for c in (4, 16)] == [1, 1] and all((2 * ann.window_of(c) + 1) / c >= 3 / 16 for c in range(16, 500))
+    rng = np.random.default_rng(5)
+    rows = [(i, (rng.normal(size=32) * rng.uniform(0.5, 2)).astype(np.float32).tolist()) for i in range(3000)]
+    got = {}
+    for r in ann.nearest(frame(spark, rows), F.col("vec_id") % 20 == 0, cell_rows=40).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    want = brute_nearest(rows, 20, 32)
+    assert np.mean([len(got[q] & {i for i, _ in want[q]}) / 20 for q in want]) >= 0.9
+
+
 def test_neighbours_of_odd_tables(spark):
     ask = F.col("vec_id") % 20 == 0
     assert ann.nearest(frame(spark, []), ask).count() == 0
