@@ -1,19 +1,20 @@
 """Quality classifier: perplexity under an interpolated modified Kneser-Ney bigram model of trusted text.
 
-Words are white-space separated and case-sensitive, so that markup, shouting and filler change them. The vocabulary is the
-``vocabulary`` most frequent (language, word) pairs of all trusted text; its size bounds what is kept per word (context totals,
-continuation counts), which the driver sends to the tasks. Bigram counts are not bounded and stay in Spark, in shards by a
-hash of the bigram: a frequent word's bigrams spread over all shards.
+Words are white-space separated and case-sensitive, so that markup, shouting and filler change them. A word is its 64-bit hash,
+whose low bits are the number of its language. There is no vocabulary limit: what is kept per word (context totals,
+continuation counts) stays in Spark, in shards by a hash of the word, as bigram counts do, in shards by a hash of
+the bigram: a frequent word's bigrams spread over all shards. Only sums per language reach the driver.
 
-Counting: every block of documents sends each shard its distinct bigrams with counts, packed; a shard adds them up.
-Scoring: a block computes each word's back-off probability itself and sends the shards its bigrams with the documents they
-occur in, packed; a shard joins them with its counts and returns, per document, how much the seen bigrams
-change its log probability. Sums per block come back together. No text is shuffled.
+Counting: every block of documents sends each shard its distinct bigrams with counts, packed; a shard adds them up, and what they
+say about single words is added up once more.
+Scoring: a block sends the shards its distinct words and bigrams, packed; a shard looks them up and returns their counts. The block's
+words travel as small numbers, and come together with the counts of all shards. No text is shuffled.
 
-    p(w | v) = (1 - u) * ((c(v w) - D(c)) / c(v .) + lambda(v) * p1(w)),   p1: absolute discount over continuation counts
-    p(unknown) = u / number of other trusted words of the language
+    p(w | v) = (1 - u) * ((c(v w) - D(c)) / c(v .) + lambda(v) * p1(w)),   p1: share of the language's bigrams that end with w
+    p(unknown) = u,   u = 1 / (trusted words of the language + 2)
 
-``D`` has three values from the counts of counts; ``u`` is the share of unknown words in trusted text of the language.
+``D`` has three values from the counts of counts. The absolute discount of p1 goes back to the words in equal parts, so it cancels out: every trusted
+word ends at least one bigram.
 
 A language's threshold comes from quantiles of the log perplexity of trusted documents held out from the counts (one in
 ``HELD_OUT``, by a hash of the id): the median plus ``SLACK`` times the distance from the median to the upper quantile. A
@@ -40,7 +41,6 @@ from pyspark.sql import functions as F
 
 from lodestar.llm.common import shuffle_partitions, store
 
-VOCABULARY = 65_534
 LANGUAGES = 1_000
 HELD_OUT = 10
 LEAST_HELD_OUT = 20
@@ -48,9 +48,8 @@ UPPER_QUANTILE = 0.99
 SLACK = 1.5
 BLOCK_WORDS = 2_000_000
 BROADCAST_IDS = 2_000_000
-_IDS = VOCABULARY + 2
-_FIRST = VOCABULARY + 1  # the context of a document's first word
-_CHUNK = 4096
+_LANGUAGE_BITS = 10
+_START = np.uint64(0x5851F42D4C957F2D)  # the context of a document's first word
 
 
 def _pack(*arrays: np.ndarray) -> bytes:
@@ -75,7 +74,7 @@ def _unpack(data: bytes, *kinds: type) -> list[np.ndarray]:
 
 
 def _differences(sorted_keys: np.ndarray) -> np.ndarray:
-    return np.diff(sorted_keys, prepend=np.uint32(0)).astype(np.uint32)
+    return np.diff(sorted_keys, prepend=sorted_keys.dtype.type(0)).astype(sorted_keys.dtype)
 
 
 def _shards_of(keys: np.ndarray, shards: int) -> np.ndarray:
@@ -91,6 +90,24 @@ def _by_shard(keys: np.ndarray, shards: int) -> list[tuple[int, np.ndarray]]:
     return [(s, order[cuts[s] : cuts[s + 1]]) for s in range(shards) if cuts[s] < cuts[s + 1]]
 
 
+def _pair_keys(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    mixed = left * np.uint64(0x9E3779B97F4A7C15)
+    mixed = ((mixed ^ (mixed >> np.uint64(29))) ^ right) * np.uint64(0xBF58476D1CE4E5B9)
+    return mixed ^ (mixed >> np.uint64(32))
+
+
+def _add_up(keys: list[np.ndarray], *columns: list[np.ndarray]) -> list[np.ndarray]:
+    """Distinct keys (of one column or two) in order, and the sums of each column."""
+    parts = [np.concatenate(k) for k in zip(*keys)] if isinstance(keys[0], tuple) else [np.concatenate(keys)]
+    order = np.lexsort(parts[::-1])
+    parts = [k[order] for k in parts]
+    new = np.ones(len(order), bool)
+    new[1:] = np.any([k[1:] != k[:-1] for k in parts], axis=0)
+    at = np.flatnonzero(new)
+    sums = [np.add.reduceat(np.concatenate(c)[order], at) if len(at) else np.empty(0, np.int64) for c in columns]
+    return [k[at] for k in parts] + sums
+
+
 def hashed_words(docs: DataFrame) -> DataFrame:
     """``doc_id, lang, words``: the words of a document as hashes of language and word."""
     lang = F.coalesce(F.col("lang").cast("string"), F.lit("und"))
@@ -102,25 +119,20 @@ def hashed_words(docs: DataFrame) -> DataFrame:
 
 @dataclass
 class Model:
-    """The bounded part of the model, and the stored shards ``shard, keys, counts``."""
+    """What is known per language, and the stored shards ``shard, data`` of bigrams and of words."""
 
-    words: np.ndarray  # sorted hashes of the vocabulary
-    ids: np.ndarray  # their word numbers, from 1
     languages: dict[str, int]
     unknown_share: np.ndarray  # per language, the last entry for all others
-    unknown_log: np.ndarray
-    totals: np.ndarray  # c(v .)
-    back_off: np.ndarray  # lambda(v), 1 where nothing follows
-    continuation: np.ndarray  # p1(w)
+    mass: np.ndarray  # distinct bigrams that end in the language
     discounts: np.ndarray  # D for counts 1, 2, 3 and more
     shards: int
-    counts: DataFrame | None
+    pairs: DataFrame | None  # left, right, c
+    words: DataFrame | None  # word, c(v .), how many words follow it once, twice, oftener, how many precede it
 
-    def number(self, hashes: np.ndarray) -> np.ndarray:
-        if not len(self.words):
-            return np.zeros(len(hashes), np.int64)
-        at = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
-        return np.where(self.words[at] == hashes, self.ids[at], 0)
+    def keys(self, hashes: np.ndarray, langs: list[str], lengths: np.ndarray) -> np.ndarray:
+        """Hashes whose low bits are the number of the language."""
+        number = np.array([self.languages.get(x, len(self.languages)) for x in langs], np.uint64)
+        return ((hashes.view(np.uint64) >> np.uint64(_LANGUAGE_BITS)) << np.uint64(_LANGUAGE_BITS)) | np.repeat(number, lengths)
 
 
 def _blocks(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
@@ -137,251 +149,246 @@ def _blocks(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, np.ndarray,
         start = stop
 
 
-def _previous(ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+def _previous(ids: np.ndarray, lengths: np.ndarray, first: int) -> np.ndarray:
     before = np.empty_like(ids)
     before[1:] = ids[:-1]
     starts = np.cumsum(lengths) - lengths
-    before[starts[lengths > 0]] = _FIRST
+    before[starts[lengths > 0]] = first
     return before
 
 
+def _numbered(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+    """Distinct words of a block with the mark of the start, the words as positions among them, and the mark's position."""
+    distinct, ids = np.unique(np.append(keys, _START), return_inverse=True)
+    return distinct, ids[:-1], int(ids[-1])
+
+
 def train(trusted: DataFrame) -> Model:
     """A model of the documents ``doc_id, lang, text``."""
     spark = trusted.sparkSession
     shards = shuffle_partitions(spark)
     hashed = hashed_words(trusted)
-    types = store(
-        hashed.select("lang", F.explode("words").alias("word")).groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n"))
-    )
-    top = types.orderBy(F.desc("n"), "word").limit(VOCABULARY).select("lang", "word", "n").toPandas()
-    order = np.argsort(top["word"].to_numpy(), kind="stable")
-    words = top["word"].to_numpy()[order].astype(np.int64)
-    ids = np.arange(1, len(words) + 1, dtype=np.int64)[order] if len(words) else np.empty(0, np.int64)
-    by_language = (
-        types.groupBy("lang").agg(F.count(F.lit(1)).alias("types"), F.sum("n").alias("tokens"))
-        .orderBy(F.desc("tokens"), "lang").limit(LANGUAGES).toPandas()
+    tokens = (
+        hashed.groupBy("lang").agg(F.sum(F.size("words")).alias("tokens")).where("tokens > 0")
+        .orderBy(F.desc("tokens"), "lang").limit(LANGUAGES).collect()
     )
-    known = top.groupby("lang").agg(types=("n", "size"), tokens=("n", "sum")) if len(top) else top
-    languages, share, unknown = {}, [], []
-    for n, row in enumerate(by_language.itertuples()):
-        seen = known.loc[row.lang] if row.lang in getattr(known, "index", []) else None
-        tokens, kinds = (int(seen["tokens"]), int(seen["types"])) if seen is not None else (0, 0)
-        languages[row.lang] = n
-        share.append((row.tokens - tokens + 1) / (row.tokens + 2))
-        unknown.append(np.log(share[-1] / max(row.types - kinds, 1)))
+    languages = {row["lang"]: n for n, row in enumerate(tokens)}
+    share = [1 / (row["tokens"] + 2) for row in tokens]
     # languages without trusted text: every word is as unlikely as the least likely unknown word
-    share.append(0.5)
-    unknown.append(min(unknown, default=0.0))
-    language_of = np.zeros(_IDS, np.int64)
-    if len(top):
-        language_of[1 : len(top) + 1] = [languages.get(x, len(languages)) for x in top["lang"]]
-
-    model = Model(
-        words, ids, languages, np.array(share), np.array(unknown), np.zeros(_IDS), np.ones(_IDS), np.full(_IDS, 1.0),
-        np.array([0.5, 0.75, 0.9]), shards, None,
-    )
-    if not len(words):
+    share.append(min(share, default=1.0))
+    model = Model(languages, np.array(share), np.zeros(len(share)), np.array([0.5, 0.75, 0.9]), shards, None, None)
+    if not tokens:
         return model
 
     def count_block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, hashes, lengths in _blocks(batch):
-                numbers = model.number(hashes)
-                before = _previous(numbers, lengths)
-                both = (numbers > 0) & (before > 0)
-                keys, times = np.unique(((before << 16) | numbers)[both].astype(np.uint32), return_counts=True)
-                sent = _by_shard(keys, shards)
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "shard": pa.array([s for s, _ in sent], pa.int32()),
-                        "data": pa.array([_pack(_differences(keys[at]), times[at].astype(np.uint32)) for _, at in sent], pa.binary()),
-                    }
-                )
-
-    def add_up(table: pa.Table) -> pa.Table:
+            for part, hashes, lengths in _blocks(batch):
+                distinct, ids, first = _numbered(model.keys(hashes, part.column("lang").to_pylist(), lengths))
+                pairs, times = np.unique(_previous(ids, lengths, first) * len(distinct) + ids, return_counts=True)
+                left, right = distinct[pairs // len(distinct)], distinct[pairs % len(distinct)]
+                shard = _shards_of(_pair_keys(left, right), shards)
+                sent = [(s, np.flatnonzero(shard == s)) for s in np.unique(shard).tolist()]
+                packed = [_pack(_differences(left[at]), right[at], times[at].astype(np.int64)) for _, at in sent]
+                yield pa.RecordBatch.from_pydict({"shard": pa.array([s for s, _ in sent], pa.int32()), "data": pa.array(packed, pa.binary())})
+
+    def add_pairs(table: pa.Table) -> pa.Table:
         keys, times = [], []
         for data in table.column("data"):
-            steps, n = _unpack(data.as_py(), np.uint32, np.uint32)
-            keys.append(np.cumsum(steps, dtype=np.uint64))
-            times.append(n.astype(np.int64))
-        merged, at = np.unique(np.concatenate(keys), return_inverse=True)
-        sums = np.zeros(len(merged), np.int64)
-        np.add.at(sums, at, np.concatenate(times))
-        packed = _pack(_differences(merged.astype(np.uint32)), sums)
+            steps, right, n = _unpack(data.as_py(), np.uint64, np.uint64, np.int64)
+            keys.append((np.cumsum(steps, dtype=np.uint64), right))
+            times.append(n)
+        left, right, sums = _add_up(keys, times)
+        packed = _pack(_differences(left), right, sums)
         return pa.table({"shard": table.column("shard")[:1], "data": pa.array([packed], pa.binary())})
 
-    counts = store(
-        hashed.select("words").mapInArrow(count_block, "shard int, data binary").groupBy("shard").applyInArrow(add_up, "shard int, data binary")
-    )
+    schema = "shard int, data binary"
+    pairs = store(hashed.select("lang", "words").mapInArrow(count_block, schema).groupBy("shard").applyInArrow(add_pairs, schema))
 
     def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Per word: c(v .), how many words follow it once, twice, oftener, and how many precede it; one sum per task."""
-        stats, counted = np.zeros((5, _IDS), np.int64), np.zeros(5, np.int64)
+        """What the bigrams of a shard say about single words, for the words' shards."""
         for batch in batches:
             for data in batch.column("data"):
-                steps, n = _unpack(data.as_py(), np.uint32, np.int64)
-                keys = np.cumsum(steps, dtype=np.uint64).astype(np.int64)
-                left, right = keys >> 16, keys & 0xFFFF
-                stats[0] += np.bincount(left, weights=n, minlength=_IDS).astype(np.int64)
-                for c, some in ((1, n == 1), (2, n == 2), (3, n >= 3)):
-                    stats[c] += np.bincount(left[some], minlength=_IDS)
-                stats[4] += np.bincount(right, minlength=_IDS)
-                counted += np.bincount(np.minimum(n, 5), minlength=6)[1:6]
-        rows = [stats[:, i : i + _CHUNK].ravel().tolist() for i in range(0, _IDS, _CHUNK)] + [counted.tolist()]
-        yield pa.RecordBatch.from_pydict(
-            {"chunk": pa.array(range(len(rows)), pa.int32()), "sums": pa.array(rows, pa.list_(pa.int64()))}
-        )
+                steps, right, n = _unpack(data.as_py(), np.uint64, np.uint64, np.int64)
+                left, one = np.cumsum(steps, dtype=np.uint64), np.ones(len(n), np.int64)
+                none = np.zeros(len(n), np.int64)
+                stats = [(n, none), (n == 1, none), (n == 2, none), (n >= 3, none), (none, one)]
+                words, *sums = _add_up([left, right], *[[a.astype(np.int64), b] for a, b in stats])
+                sent = _by_shard(words, shards)
+                packed = [_pack(_differences(words[at]), *[x[at] for x in sums]) for _, at in sent]
+                yield pa.RecordBatch.from_pydict({"shard": pa.array([s for s, _ in sent], pa.int32()), "data": pa.array(packed, pa.binary())})
+
+    def add_words(table: pa.Table) -> pa.Table:
+        parts = [_unpack(data.as_py(), np.uint64, *[np.int64] * 5) for data in table.column("data")]
+        words, *sums = _add_up([np.cumsum(x[0], dtype=np.uint64) for x in parts], *[[x[i] for x in parts] for i in range(1, 6)])
+        packed = _pack(_differences(words), *sums)
+        return pa.table({"shard": table.column("shard")[:1], "data": pa.array([packed], pa.binary())})
 
-    def add_profiles(table: pa.Table) -> pa.Table:
-        total = np.sum([np.array(s.values) for s in table.column("sums")], axis=0)
-        return pa.table({"chunk": table.column("chunk")[:1], "sums": pa.array([total.tolist()], pa.list_(pa.int64()))})
+    words = store(pairs.mapInArrow(profile, schema).groupBy("shard").applyInArrow(add_words, schema))
 
-    schema = "chunk int, sums array<long>"
-    parts = counts.select("data").mapInArrow(profile, schema).groupBy("chunk").applyInArrow(add_profiles, schema)
-    chunks = {r["chunk"]: np.array(r["sums"]) for r in parts.collect()}  # one row per 4,096 words
-    last = max(chunks, default=-1)
-    if last < 0:
-        return model
-    stats = np.concatenate([chunks[c].reshape(5, -1) for c in range(last)], axis=1)
-    n1, n2, n3, n4 = (float(x) for x in chunks[last][:4])
-    d = model.discounts
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Bigrams that occur once to four times, and bigrams by the language of their last word; one row per task."""
+        total = np.zeros(4 + len(share), np.int64)
+        for batch in batches:
+            for data in batch.column("data"):
+                _, right, n = _unpack(data.as_py(), np.uint64, np.uint64, np.int64)
+                total[:4] += np.bincount(np.minimum(n, 5), minlength=6)[1:5]
+                language = (right & np.uint64((1 << _LANGUAGE_BITS) - 1)).astype(np.int64)
+                total[4:] += np.bincount(language, minlength=len(share))
+        yield pa.RecordBatch.from_pydict({"at": pa.array(range(len(total)), pa.int32()), "n": pa.array(total)})
+
+    found = {r["at"]: r["n"] for r in pairs.mapInArrow(sums, "at int, n long").groupBy("at").agg(F.sum("n").alias("n")).collect()}
+    n1, n2, n3, n4 = (float(found[i]) for i in range(4))
     if min(n1, n2, n3, n4) > 0:
         y = n1 / (n1 + 2 * n2)
-        d = np.clip([1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3], 0.05, [0.95, 1.95, 2.95])
-    model.discounts = np.asarray(d)
-    model.totals = stats[0].astype(float)
-    held_back = model.discounts[0] * stats[1] + model.discounts[1] * stats[2] + model.discounts[2] * stats[3]
-    model.back_off = np.where(stats[0] > 0, held_back / np.maximum(stats[0], 1), 1.0)
-    # continuation probability within each language, with the uniform distribution below it
-    after = stats[4].astype(float)
-    k1, k2 = float((after == 1).sum()), float((after == 2).sum())
-    cut = k1 / (k1 + 2 * k2) if k1 and k2 else 0.5
-    numbers = np.arange(1, len(top) + 1)
-    for language in range(len(share)):
-        own = numbers[language_of[numbers] == language]
-        mass = after[own].sum()
-        if len(own) and mass:
-            left_over = cut * (after[own] > 0).sum() / mass
-            model.continuation[own] = np.maximum(after[own] - cut, 0) / mass + left_over / len(own)
-        elif len(own):
-            model.continuation[own] = 1.0 / len(own)
-    model.counts = counts
+        model.discounts = np.clip([1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3], 0.05, [0.95, 1.95, 2.95])
+    model.mass = np.array([float(found[4 + i]) for i in range(len(share))])
+    model.pairs, model.words = pairs, words
     return model
 
 
-_ROW = "shard int, kind int, block binary, data binary, doc_ids array<long>, langs array<string>, lengths array<int>, sums array<double>"
-_MODEL, _REQUEST, _BASE = 0, 1, 2
+_ROW = "shard int, kind int, block binary, data binary, doc_ids array<long>, langs array<string>, lengths array<int>"
+_PAIRS, _WORDS, _ASKED_PAIRS, _ASKED_WORDS, _BASE = range(5)
+_NAMES = [f.split()[0] for f in _ROW.split(", ")]
+
+
+def _asked(distinct: np.ndarray, ids: np.ndarray, before: np.ndarray, shards: int) -> tuple[list, list, np.ndarray, np.ndarray]:
+    """Distinct words and bigrams of a block by shard, the bigrams' keys, and each word's place among them."""
+    pairs, place = np.unique(before * len(distinct) + ids, return_inverse=True)
+    keys = _pair_keys(distinct[pairs // len(distinct)], distinct[pairs % len(distinct)])
+    return _by_shard(distinct, shards), _by_shard(keys, shards), keys, place
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """``doc_id, lang, n_words, log_prob, log_perplexity`` for every row of ``docs(doc_id, lang, text)``."""
     shards, discounts = model.shards, model.discounts
-    small = Model(**{**model.__dict__, "counts": None})
+    has_counts = model.pairs is not None
+    small = Model(**{**model.__dict__, "pairs": None, "words": None})
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, batch in enumerate(batches):
             for part, hashes, lengths in _blocks(batch):
-                ids = small.number(hashes)
-                before = _previous(ids, lengths)
-                owner = np.repeat(np.arange(len(lengths)), lengths)
-                langs = part.column("lang").to_pylist()
-                language = np.array([small.languages.get(x, len(small.languages)) for x in langs], np.int64)[owner]
-                known = ids > 0
-                share = np.log1p(-small.unknown_share[language])
-                logs = np.where(known, share + np.log(small.continuation[ids]), small.unknown_log[language])
-                backed = known & (before > 0)
-                logs[backed] += np.log(small.back_off[before[backed]])
-                sums = np.bincount(owner, weights=logs, minlength=len(lengths))
-                doc_ids = part.column("doc_id")
+                langs, doc_ids = part.column("lang").to_pylist(), part.column("doc_id").to_pylist()
+                distinct, ids, first = _numbered(small.keys(hashes, langs, lengths))
                 digest = hashlib.blake2b(hashes.tobytes() + lengths.tobytes(), digest_size=12)
-                digest.update(repr((number, doc_ids.to_pylist())).encode())
+                digest.update(repr((number, doc_ids)).encode())
                 block = digest.digest()
-                at = np.flatnonzero(backed)
-                keys = ((before[at] << 16) | ids[at]).astype(np.uint32)
-                who = owner[at].astype(np.uint16)
                 rows = []
-                for s, order in _by_shard(keys, shards):
-                    distinct, times = np.unique(keys[order], return_counts=True)
-                    rows.append((s, _pack(_differences(distinct), times.astype(np.uint32), who[order])))
+                if has_counts and len(ids):
+                    words, pairs, keys, _ = _asked(distinct, ids, _previous(ids, lengths, first), shards)
+                    rows += [(s, _ASKED_WORDS, _pack(_differences(distinct[at]))) for s, at in words]
+                    rows += [(s, _ASKED_PAIRS, _pack(_differences(keys[at]))) for s, at in pairs]
                 n = len(rows)
-                home = int.from_bytes(block[:4], "little") % shards
+                rows.append((int.from_bytes(block[:4], "little") % shards, _BASE, _pack(_differences(distinct), ids.astype(np.uint32)) if len(ids) else None))
                 none = [None] * n
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([r[0] for r in rows] + [home], pa.int32()),
-                        pa.array([_REQUEST] * n + [_BASE], pa.int32()),
+                        pa.array([r[0] for r in rows], pa.int32()),
+                        pa.array([r[1] for r in rows], pa.int32()),
                         pa.array([block] * (n + 1), pa.binary()),
-                        pa.array([r[1] for r in rows] + [None], pa.binary()),
-                        pa.array([*none, doc_ids.to_pylist()], pa.list_(pa.int64())),
+                        pa.array([r[2] for r in rows], pa.binary()),
+                        pa.array([*none, doc_ids], pa.list_(pa.int64())),
                         pa.array([*none, langs], pa.list_(pa.string())),
-                        pa.array([*([[len(lengths)]] * n), lengths.tolist()], pa.list_(pa.int32())),
-                        pa.array([*none, sums.tolist()], pa.list_(pa.float64())),
+                        pa.array([*none, lengths.tolist()], pa.list_(pa.int32())),
                     ],
-                    names=[f.split()[0] for f in _ROW.split(", ")],
+                    names=_NAMES,
                 )
 
+    def look_up(table: tuple, wanted: np.ndarray) -> list[np.ndarray]:
+        keys, *columns = table
+        at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+        hit = keys[at] == wanted
+        return [np.where(hit, c[at], 0) for c in columns]
+
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The counts of a shard come before the requests to it."""
-        shard, keys, counts = None, np.empty(0, np.uint32), np.empty(0, np.int64)
+        shard, tables = None, {}
+        no_key = np.zeros(1, np.uint64)
         for batch in batches:
-            sums = []
+            out = []
             for n in range(batch.num_rows):
                 if batch.column("shard")[n].as_py() != shard:
-                    shard, keys, counts = batch.column("shard")[n].as_py(), np.empty(0, np.uint32), np.empty(0, np.int64)
-                kind = batch.column("kind")[n].as_py()
-                if kind == _MODEL:
-                    steps, counts = _unpack(batch.column("data")[n].as_py(), np.uint32, np.int64)
-                    keys = np.cumsum(steps, dtype=np.uint64).astype(np.uint32)
-                    sums.append(None)
-                elif kind == _BASE:
-                    sums.append(batch.column("sums")[n].as_py())
-                else:
-                    steps, times, who = _unpack(batch.column("data")[n].as_py(), np.uint32, np.uint32, np.uint16)
-                    asked = np.cumsum(steps, dtype=np.uint64).astype(np.uint32)
-                    gain = np.zeros(len(asked))
-                    if len(keys):
-                        at = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
-                        hit = keys[at] == asked
-                        c = counts[at[hit]]
-                        left, right = (asked[hit] >> 16).astype(np.int64), (asked[hit] & 0xFFFF).astype(np.int64)
-                        lower = small.totals[left] * small.back_off[left] * small.continuation[right]
-                        gain[hit] = np.log1p((c - discounts[np.minimum(c, 3) - 1]) / lower)
-                    size = batch.column("lengths")[n].as_py()[0]
-                    sums.append(np.bincount(who, weights=np.repeat(gain, times), minlength=size).tolist())
-            wanted = pa.array([k.as_py() != _MODEL for k in batch.column("kind")])
-            out = pa.RecordBatch.from_arrays(
-                [batch.column(c) for c in ("kind", "block", "doc_ids", "langs", "lengths")] + [pa.array(sums, pa.list_(pa.float64()))],
-                names=["kind", "block", "doc_ids", "langs", "lengths", "sums"],
-            )
-            yield out.filter(wanted)
+                    shard = batch.column("shard")[n].as_py()
+                    tables = {_PAIRS: (no_key, np.zeros(1, np.int64)), _WORDS: (no_key, *[np.zeros(1, np.int64)] * 5)}
+                kind, data = batch.column("kind")[n].as_py(), batch.column("data")[n].as_py()
+                if kind == _PAIRS:
+                    steps, right, c = _unpack(data, np.uint64, np.uint64, np.int64)
+                    keys = _pair_keys(np.cumsum(steps, dtype=np.uint64), right)
+                    order = np.argsort(keys)
+                    tables[kind] = (keys[order], c[order])
+                elif kind == _WORDS:
+                    steps, *stats = _unpack(data, np.uint64, *[np.int64] * 5)
+                    tables[kind] = (np.cumsum(steps, dtype=np.uint64), *stats)
+                elif kind in (_ASKED_PAIRS, _ASKED_WORDS):
+                    wanted = np.cumsum(_unpack(data, np.uint64)[0], dtype=np.uint64)
+                    data = _pack(*look_up(tables[kind - _ASKED_PAIRS], wanted))
+                out.append(data)
+            wanted = pa.array([k.as_py() >= _ASKED_PAIRS for k in batch.column("kind")])
+            columns = [pa.array(out, pa.binary()) if c == "data" else batch.column(c) for c in _NAMES]
+            yield pa.RecordBatch.from_arrays(columns, names=_NAMES).filter(wanted)
+
+    def log_probs(base: bytes, replies: dict, langs: list[str], lengths: np.ndarray) -> np.ndarray:
+        """Log probability of every word of a block."""
+        steps, ids = _unpack(base, np.uint64, np.uint32)
+        distinct, ids = np.cumsum(steps, dtype=np.uint64), ids.astype(np.int64)
+        before = _previous(ids, lengths, int(np.searchsorted(distinct, _START)))
+        stats, c = np.zeros((5, len(distinct)), np.int64), np.zeros(0, np.int64)
+        if has_counts:
+            words, pairs, keys, place = _asked(distinct, ids, before, shards)
+            for s, at in words:
+                stats[:, at] = _unpack(replies.pop((_ASKED_WORDS, s)), *[np.int64] * 5)
+            c = np.zeros(len(keys), np.int64)
+            for s, at in pairs:
+                c[at] = _unpack(replies.pop((_ASKED_PAIRS, s)), np.int64)[0]
+            c = c[place]
+        language = np.repeat([small.languages.get(x, len(small.languages)) for x in langs], lengths)
+        share = small.unknown_share[language]
+        logs = np.log(share)
+        after = stats[4][ids]
+        at = np.flatnonzero(after > 0)
+        if len(at):
+            total = stats[0].astype(float)
+            held = discounts[0] * stats[1] + discounts[1] * stats[2] + discounts[2] * stats[3]
+            back_off = np.where(stats[0] > 0, held / np.maximum(stats[0], 1), 1.0)
+            v, times = before[at], c[at]
+            p = back_off[v] * (after[at] / small.mass[language[at]])
+            p += np.where(times > 0, (times - discounts[np.clip(times, 1, 3) - 1]) / np.maximum(total[v], 1), 0.0)
+            logs[at] = np.log1p(-share[at]) + np.log(p)
+        return logs
 
     def finish(table: pa.Table) -> pa.Table:
         kinds = table.column("kind").to_pylist()
+        changed = ValueError("the documents of a block changed while they were scored; store them first")
         if kinds.count(_BASE) != 1:
-            raise ValueError("the documents of a block changed while they were scored; store them first")
+            raise changed
         base = kinds.index(_BASE)
-        total = np.zeros(len(table.column("doc_ids")[base]))
-        for s in table.column("sums"):
-            total += np.array(s.values)
-        words = np.array(table.column("lengths")[base].values)
+        packed, shard = table.column("data").to_pylist(), table.column("shard").to_pylist()
+        replies = {(kinds[n], shard[n]): packed[n] for n in range(len(kinds)) if n != base}
+        words = np.array(table.column("lengths")[base].values).astype(np.int64)
+        langs = table.column("langs")[base].as_py()
+        total = np.zeros(len(words))
+        if packed[base] is not None:
+            if len(replies) != len(kinds) - 1:
+                raise changed
+            logs = log_probs(packed[base], replies, langs, words)
+            total = np.bincount(np.repeat(np.arange(len(words)), words), weights=logs, minlength=len(words))
         log_perplexity = pa.array(-total / np.maximum(words, 1), mask=words == 0)
         return pa.table(
             {
                 "doc_id": pa.array(table.column("doc_ids")[base].as_py(), pa.int64()),
-                "lang": pa.array(table.column("langs")[base].as_py(), pa.string()),
-                "n_words": pa.array(words.astype(np.int64)),
+                "lang": pa.array(langs, pa.string()),
+                "n_words": pa.array(words),
                 "log_prob": pa.array(total),
                 "log_perplexity": log_perplexity,
             }
         )
 
     asked = hashed_words(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "text")).mapInArrow(ask, _ROW)
-    if model.counts is not None:
+    if has_counts:
         empty = [f"CAST(NULL AS {f.split()[1]}) AS {f.split()[0]}" for f in _ROW.split(", ")[4:]]
-        asked = asked.unionByName(model.counts.selectExpr("shard", f"{_MODEL} AS kind", "CAST(NULL AS BINARY) AS block", "data", *empty))
-    met = asked.repartition(shards, "shard").sortWithinPartitions("shard", "kind")
-    parts = met.mapInArrow(answer, "kind int, block binary, doc_ids array<long>, langs array<string>, lengths array<int>, sums array<double>")
-    return parts.groupBy("block").applyInArrow(
+        for kind, part in ((_PAIRS, model.pairs), (_WORDS, model.words)):
+            asked = asked.unionByName(part.selectExpr("shard", f"{kind} AS kind", "CAST(NULL AS BINARY) AS block", "data", *empty))
+        asked = asked.repartition(shards, "shard").sortWithinPartitions("shard", "kind").mapInArrow(answer, _ROW)
+    return asked.groupBy("block").applyInArrow(
         finish, "doc_id long, lang string, n_words long, log_prob double, log_perplexity double"
     )
 

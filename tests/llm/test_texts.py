@@ -409,6 +409,23 @@ def test_scores_equal_a_plain_model(spark):
         assert (r["log_perplexity"] is None) == (not text.split())
 
 
+def test_every_trusted_word_is_known(spark):
+    # 70,000 words that occur once, and frequent ones of another language
+    rare = [(i, " ".join(f"r{j}" for j in range(i * 700, i * 700 + 700)), "de", "s") for i in range(100)]
+    rows = rare + [(1000, "a b " * 5_000, "en", "s")]
+    model = quality.train(documents(spark, rows))
+    asked = [(1, "r69300 r5", "de", "s"), (2, "never r69301", "de", "s"), (3, rare[99][1], "de", "s")]
+    got = {r["doc_id"]: r["log_prob"] for r in quality.score(documents(spark, asked), model).collect()}
+    # all words end one bigram; the first word of a text follows the start, the next one an unseen word pair
+    u, mass, start = 1 / 70_002, 70_000, 101
+    first = math.log((1 - u) * ((1 - 0.5) / start + 0.5 / mass * (101 / start)))
+    follows = math.log((1 - u) * (0.5 + 0.5 / mass))
+    # r69300 is followed by r69301 only, so r5 after it has the rest of that context
+    assert math.isclose(got[1], first + math.log((1 - u) * 0.5 / mass), rel_tol=1e-9)
+    assert math.isclose(got[2], math.log(u) + math.log((1 - u) / mass), rel_tol=1e-9)
+    assert math.isclose(got[3], first + 699 * follows, rel_tol=1e-9)
+
+
 def test_classifier_separates_held_out_documents(spark):
     rng = random.Random(15)
     clean = lambda: " ".join(f"w{int(rng.paretovariate(0.9)) % 400}" for _ in range(rng.randint(30, 120)))
