@@ -36,6 +36,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -270,7 +271,8 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                 langs, doc_ids = part.column("lang").to_pylist(), part.column("doc_id").to_pylist()
                 distinct, ids, first = _numbered(small.keys(hashes, langs, lengths))
                 digest = hashlib.blake2b(hashes.tobytes() + lengths.tobytes(), digest_size=12)
-                digest.update(repr((number, doc_ids)).encode())
+                # partitions may hold the same rows; a task that runs again has the same partition
+                digest.update(repr((TaskContext.get().partitionId(), number, doc_ids)).encode())
                 block = digest.digest()
                 rows = []
                 if has_counts and len(ids):

@@ -426,6 +426,14 @@ def test_every_trusted_word_is_known(spark):
     assert math.isclose(got[3], first + 699 * follows, rel_tol=1e-9)
 
 
+def test_equal_partitions_each_get_their_rows(spark, tmp_path):
+    documents(spark, [(i, f"a b w{i % 7} {i}", "en", "s") for i in range(40)]).coalesce(1).write.parquet(str(tmp_path / "docs"))
+    once = spark.read.parquet(str(tmp_path / "docs"))
+    got = quality.score(once.unionByName(once), quality.train(once)).collect()
+    assert collections.Counter(r["doc_id"] for r in got) == dict.fromkeys(range(40), 2)
+    assert len({(r["doc_id"], r["log_prob"]) for r in got}) == 40
+
+
 def test_classifier_separates_held_out_documents(spark):
     rng = random.Random(15)
     clean = lambda: " ".join(f"w{int(rng.paretovariate(0.9)) % 400}" for _ in range(rng.randint(30, 120)))
