@@ -16,9 +16,11 @@ words travel as small numbers, and come together with the counts of all shards.
 ``D`` has three values from the counts of counts. The absolute discount of p1 goes back to the words in equal parts, so it cancels out: every trusted
 word ends at least one bigram.
 
-A language's threshold comes from quantiles of the log perplexity of trusted documents held out from the counts (one in
-``HELD_OUT``, by a hash of the id): the median plus ``SLACK`` times the distance from the median to the upper quantile. A
-language with fewer than ``LEAST_HELD_OUT`` held-out documents uses the threshold of all languages.
+A language's threshold comes from the log perplexity of its trusted documents held out from the counts (one in ``HELD_OUT``,
+by a hash of the id): the median plus ``SLACK`` times the spread, the distance from the median to the upper quantile. The spread
+is drawn to that of the distances of all languages as if ``SPREAD_WEIGHT`` documents had it, so that few held-out documents do
+not set it alone; the median is always the language's own. A language without held-out documents cannot be judged, and its
+documents with words are kept.
 
 Defined results: a null language is ``und``; a document without words has no perplexity and is rejected; without any trusted text
 every document with words is kept; repeated rows each get their row; other columns are ignored. Documents must be a stored
@@ -44,7 +46,7 @@ from lodestar.llm.common import shuffle_partitions, store
 
 LANGUAGES = 1_000
 HELD_OUT = 10
-LEAST_HELD_OUT = 20
+SPREAD_WEIGHT = 20
 UPPER_QUANTILE = 0.99
 SLACK = 1.5
 BLOCK_WORDS = 2_000_000
@@ -396,13 +398,15 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def thresholds(held_out: DataFrame, upper: float = UPPER_QUANTILE, slack: float = SLACK) -> DataFrame:
-    """``lang, threshold`` of scored trusted documents, and one row with a null language for all others."""
-    marks = F.percentile_approx("log_perplexity", [0.5, upper], 10_000)
-    valid = held_out.where("log_perplexity IS NOT NULL")
-    each = valid.groupBy("lang").agg(marks.alias("q"), F.count(F.lit(1)).alias("n")).where(F.col("n") >= LEAST_HELD_OUT)
-    every = valid.agg(marks.alias("q"), F.count(F.lit(1)).alias("n")).select(F.lit(None).cast("string").alias("lang"), "q", "n")
-    value = F.col("q")[0] + slack * (F.col("q")[1] - F.col("q")[0])
-    return each.unionByName(every).select("lang", value.alias("threshold"))
+    """``lang, threshold`` of scored trusted documents."""
+    valid = held_out.where("log_perplexity IS NOT NULL").select("lang", "log_perplexity")
+    middle = valid.groupBy("lang").agg(F.percentile_approx("log_perplexity", F.lit(0.5), F.lit(10_000)).alias("median"))
+    # one row per language
+    far = valid.join(F.broadcast(middle), "lang").withColumn("far", F.col("log_perplexity") - F.col("median"))
+    spread = F.percentile_approx("far", F.lit(upper), F.lit(10_000))
+    each = far.groupBy("lang", "median").agg(spread.alias("own"), F.count(F.lit(1)).alias("n"))
+    drawn = (F.col("n") * F.col("own") + SPREAD_WEIGHT * F.col("every")) / (F.col("n") + SPREAD_WEIGHT)
+    return each.crossJoin(F.broadcast(far.agg(spread.alias("every")))).select("lang", (F.col("median") + slack * drawn).alias("threshold"))
 
 
 def classify(
@@ -422,13 +426,9 @@ def classify(
     model = train(text)
     scored = store(score(given, model))
     found = thresholds(scored.join(trusted.where(held), "doc_id", "left_semi"))
-    limits = {r["lang"]: r["threshold"] for r in found.orderBy(F.col("lang").asc_nulls_first()).limit(LANGUAGES).collect()}
-    rest = limits.pop(None, None)
-    limit = F.lit(float("inf") if rest is None else rest)
-    if limits:
-        table = F.create_map(*[F.lit(x) for pair in sorted(limits.items()) for x in pair])
-        limit = F.coalesce(F.try_element_at(table, F.col("lang")), limit)
-    return scored.select(
+    limit = F.coalesce("threshold", F.lit(float("inf")))
+    judged = scored.join(F.broadcast(found), "lang", "left")
+    return judged.select(
         "doc_id", "lang", "n_words", "log_perplexity", limit.alias("threshold"),
         F.coalesce(F.col("log_perplexity") <= limit, F.lit(False)).alias("kept"),
     )

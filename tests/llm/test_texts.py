@@ -446,6 +446,20 @@ def test_classifier_separates_held_out_documents(spark):
     assert not later[later.doc_id % 5 == 0].kept.any()
 
 
+def test_small_and_unknown_languages_are_not_dropped(spark):
+    rng = random.Random(16)
+    # the small language repeats itself less, so that its perplexity is higher
+    text = lambda lang, most: " ".join(f"{lang}{rng.randrange(most)}" for _ in range(60))
+    rows = [(i, text("e", 40), "en", "s") for i in range(900)] + [(i, text("k", 900), "kk", "s") for i in range(900, 1040)]
+    rows += [(i, text("x", 300), lang, "s") for i, lang in zip(range(1040, 1080), itertools.cycle(["xx", None]))]
+    rows += [(i, " ".join(f"z{rng.randrange(10**6)}" for _ in range(60)), "kk", "s") for i in range(1080, 1100)]
+    trusted = documents(spark, rows).where("doc_id < 600 OR doc_id BETWEEN 900 AND 1019").select("doc_id")
+    got = quality.classify(documents(spark, rows), trusted).toPandas().set_index("doc_id").kept
+    assert got.loc[1020:1039].mean() >= 0.9
+    assert got.loc[1040:1079].all()
+    assert not got.loc[1080:1099].any()
+
+
 def test_classifier_of_odd_tables(spark):
     none = documents(spark, [])
     ids = none.select("doc_id")
