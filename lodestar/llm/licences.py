@@ -99,7 +99,7 @@ class Index:
     def __init__(self, templates: list[tuple[str, str]], k: int = K, window: int = WINDOW):
         self.k, self.window = k, window
         self.names = [name for name, _ in templates]
-        split = [_WORD.findall(text.lower()) for _, text in templates]
+        split = [[w.lower() for w in _WORD.findall(text)] for _, text in templates]
         if sum(map(len, split)) > MOST_TEMPLATE_WORDS:
             raise ValueError(f"templates have more than {MOST_TEMPLATE_WORDS} words")
         # word numbers from 1; every other word is 0 and matches nothing
@@ -115,6 +115,7 @@ class Index:
         self.position = np.array([e[2] for e in entries], np.int64)
 
     def number(self, text: str) -> np.ndarray:
+        """Numbers of the words of the text as it stands; lower-casing comes after, as it can divide a word in two."""
         get, parts, start = self.words.get, [], 0
         while start < len(text):
             stop = min(start + _PIECE_CHARS, len(text))
@@ -122,7 +123,7 @@ class Index:
                 while stop > start + 1 and (text[stop - 1].isalnum() or text[stop - 1] == "_"):
                     stop -= 1
                 stop = stop if stop > start + 1 else min(start + _PIECE_CHARS, len(text))
-            parts.append(np.array([get(w, 0) for w in _WORD.findall(text[start:stop].lower())], np.int32))
+            parts.append(np.array([get(w.lower(), 0) for w in _WORD.findall(text[start:stop])], np.int32))
             start = stop
         return np.concatenate(parts) if parts else np.empty(0, np.int32)
 

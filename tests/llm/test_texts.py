@@ -189,6 +189,13 @@ def test_licenses_and_their_spans(spark):
     assert licences.scan(documents(spark, []), licence_texts.templates()).count() == 0
 
 
+def test_letters_that_lower_case_to_two_do_not_move_spans():
+    index = licences.Index(licence_texts.templates())
+    notice = "Licensed under CC BY-NC 4.0"
+    for text in (f"\u0130stanbul, \u0130zmir. {notice}", f"\u0130stanbul {notice} and more words"):
+        assert [(m[0], text[m[4] : m[5]]) for m in index.matches(text)] == [("CC-BY-NC-4.0", notice)]
+
+
 # ---- mixing
 
 
