@@ -1,9 +1,10 @@
-"""License scan: winnowed template fingerprints pick candidates, banded alignment measures them.
+"""License scan: common pairs of words pick candidates, banded alignment measures them.
 
-Texts and templates are sequences of lower-case words. Of every ``window`` consecutive hashes of ``k`` words the
-smallest is a fingerprint, so any common run of ``window + k - 1`` words shares at least one. The fingerprints of the
-templates form an inverted index ``hash -> (template, position)``. Its size follows from the templates alone and is
-checked (``MOST_TEMPLATE_WORDS``), so it travels with the tasks; documents are never shuffled.
+Texts and templates are sequences of lower-case words. Every pair of consecutive template words is in an inverted index
+``hash -> (template, position)``: a local path that scores more than one matched word alone has two matches in a row, so every
+match that the alignment would report shares a pair. Its size follows from the templates alone and is checked
+(``MOST_TEMPLATE_WORDS``), so it travels with the tasks; documents are never shuffled. A template is aligned only where the
+text around holds enough of its words in any order, which every match of the asked coverage does.
 
 Hits of a template on nearby diagonals are one candidate. It is aligned with the words around it inside a band (match 1,
 mismatch and gap -1, best local path); coverage is the matched share of the template's words. Of overlapping matches
@@ -23,8 +24,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-K = 3
-WINDOW = 3
+K = 2
+WINDOW = 1
 COVERAGE = 0.8
 MOST_TEMPLATE_WORDS = 1_000_000
 _PIECE_CHARS = 1 << 20
@@ -105,6 +106,7 @@ class Index:
         # word numbers from 1; every other word is 0 and matches nothing
         self.words = {w: n for n, w in enumerate(sorted({w for ws in split for w in ws}), 1)}
         self.templates = [np.array([self.words[w] for w in ws], np.int32) for ws in split]
+        self.bags = [np.unique(ids, return_counts=True) for ids in self.templates]
         entries = []
         for t, ids in enumerate(self.templates):
             hashes = _hashes(ids, k)
@@ -138,6 +140,11 @@ class Index:
         rows = np.repeat(low, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
         return rows, np.repeat(places, count)
 
+    def holds(self, counts: np.ndarray, t: int, coverage: float) -> bool:
+        """Whether words with these counts can cover a template."""
+        words, times = self.bags[t]
+        return np.minimum(counts[words], times).sum() >= coverage * len(self.templates[t])
+
     def matches(self, text: str, coverage: float = COVERAGE) -> list[tuple[str, int, float, int, int, int]]:
         """``(license, template, coverage, matched words, start, end)`` with code point offsets."""
         ids = self.number(text)
@@ -145,18 +152,27 @@ class Index:
         if not len(rows):
             return []
         found = []
+        counts = np.bincount(ids, minlength=len(self.words) + 1)
+        able = np.zeros(len(self.templates), bool)
+        for t in np.unique(self.template[rows]):
+            able[t] = self.holds(counts, t, coverage)
         template, diagonal = self.template[rows], places - self.position[rows]
+        order = np.flatnonzero(able[template])
+        template, diagonal = template[order], diagonal[order]
         order = np.lexsort((diagonal, template))
         seen: dict[int, list[tuple[int, int]]] = {}
         for r in order:
             t, d = int(template[r]), int(diagonal[r])
             wording = self.templates[t]
             band = max(2, len(wording) // 5)
+            low = max(0, d - band)
+            around = ids[low : d + len(wording) + band + 1]
+            if not self.holds(np.bincount(around, minlength=len(counts)), t, coverage):
+                continue
             if any(abs(d - e) <= band // 2 for e, _ in seen.get(t, [])[-1:]):
                 continue
             seen.setdefault(t, []).append((d, band))
-            low = max(0, d - band)
-            path = align(ids[low : d + len(wording) + band + 1], wording, d - low, band)
+            path = align(around, wording, d - low, band)
             if path and path[1] >= coverage * len(wording):
                 score, matched, first, last = path
                 net = score - (len(wording) - matched)

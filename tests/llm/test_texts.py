@@ -196,6 +196,23 @@ def test_letters_that_lower_case_to_two_do_not_move_spans():
         assert [(m[0], text[m[4] : m[5]]) for m in index.matches(text)] == [("CC-BY-NC-4.0", notice)]
 
 
+def test_one_changed_word_at_each_place_is_found():
+    index = licences.Index(licence_texts.templates())
+    for t, wording in enumerate(index.templates):
+        if len(wording) > 25:
+            continue
+        name = {n: w for w, n in index.words.items()}
+        for place in range(len(wording)):
+            words = [name[n] for n in wording]
+            words[place] = "otherword"
+            ids = index.number(" ".join(words))
+            path = licences.align(ids, wording, 0, max(2, len(wording) // 5))
+            if path[1] >= licences.COVERAGE * len(wording):
+                assert index.matches(" ".join(["some", "prose", *words, "after"])), (index.names[t], place)
+    assert [m[0] for m in index.matches("It is released under an MIT License")] == ["MIT"]
+    assert [m[0] for m in index.matches("It is licensed under the MIT Licence")] == ["MIT"]
+
+
 # ---- mixing
 
 
