@@ -49,13 +49,19 @@ NOT_TEXT = frozenset(
     "masthead".split()
 )
 
+# words that an id may hold beside them; any other word makes it the name of a subject ("related-work")
+GENERIC = frozenset(
+    "site page main left right top bottom box section area block wrap wrapper container list form bar content post global "
+    "primary secondary inner outer".split()
+)
+
 _TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<(script|style|textarea|title|noscript|template|iframe|svg|math|select|button)\b[^>]*+>.*?(?:</\1\s*+>|\Z)"""
     r"""|<(/?)([A-Za-z][^\s/>]*+)((?>[^>"']++|"[^"]*+"|'[^']*+')*+)>|<[A-Za-z/!?][^>]*+(?:>|\Z)|[^<]++|<""",
     re.S | re.I,
 )
-_MARKS = re.compile(r"""\b(?:class|id|role)\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s"'>]++))""", re.I)
-_HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*+=\s*+["']?true|display\s*+:\s*+none""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s=>"'/]++)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s"'>]++)))?""")
+_NO_DISPLAY = re.compile(r"display\s*+:\s*+none", re.I)
 _WORD_PARTS = re.compile(r"[a-z0-9]+")
 
 TEXT, TAG, OTHER = 0, 1, 2
@@ -93,11 +99,34 @@ class Page:
 
     @staticmethod
     def _is_marked(attributes: str) -> bool:
-        if _HIDDEN.search(attributes):
-            return True
-        return any(
-            part in NOT_TEXT for m in _MARKS.finditer(attributes) for part in _WORD_PARTS.findall(m.group(m.lastindex).lower())
-        )
+        for m in _ATTRIBUTE.finditer(attributes):
+            name, value = m.group(1).lower(), m.group(m.lastindex) if m.lastindex > 1 else ""
+            if name == "hidden" or name == "aria-hidden" and value.lower() == "true":
+                return True
+            if name == "style" and _NO_DISPLAY.search(value):
+                return True
+            if name in ("class", "id", "role"):
+                parts = _WORD_PARTS.findall(value.lower())
+                if any(part in NOT_TEXT for part in parts) and (
+                    name != "id" or all(part in NOT_TEXT or part in GENERIC or part.isdigit() for part in parts)
+                ):
+                    return True
+        return False
+
+    def _protect(self, ends: dict[int, int]) -> None:
+        """An element is not marked if it is or holds the article or main with the most words, or holds most of the page's words."""
+        marked = [i for i, m in enumerate(self.marked) if m and i in ends]
+        if not marked:
+            return
+        until = [0]
+        for kind, value in zip(self.kind, self.value):
+            until.append(until[-1] + (len(value.split()) if kind == TEXT else 0))
+        words = lambda i: until[ends[i]] - until[i]
+        roots = [i for i in ends if self.name[i] in ROOTS]
+        root = max(roots, key=lambda i: (words(i), -i), default=None)
+        for i in marked:
+            if root is not None and i <= root <= ends[i] or 2 * words(i) > until[-1]:
+                self.marked[i] = False
 
     def _ends(self) -> dict[int, int]:
         """Index of the closing tag of each opening tag that has one."""
@@ -113,6 +142,7 @@ class Page:
 
     def _mask(self) -> list[bool]:
         ends, size = self._ends(), len(self.kind)
+        self._protect(ends)
         masked, until, inside = [False] * size, -1, 0
         for i in range(size):
             if i <= until:

@@ -51,6 +51,31 @@ def test_article_text():
     assert htmltext.extract(unlabelled, weights) == PAGE_TEXT
 
 
+@pytest.mark.parametrize(
+    "old,new",
+    [
+        ("<article>", '<article class="post comments-open share-enabled">'),
+        ("<article>", '<article class="x" title="a hidden gem">'),
+        ("<h1>", '<h1 id="related-work">'),
+        ("<p>Tail.</p>", '<section id="social-history"><p>Tail.</p></section>'),
+        ("<b>bold</b>", '<a title="a hidden gem">bold</a>'),
+    ],
+)
+def test_marks_do_not_hide_the_article(old, new):
+    for weights in (htmltext.fit_weights([PAGE] * 3), htmltext.starting_weights()):
+        assert htmltext.extract(PAGE.replace(old, new), weights) == PAGE_TEXT
+
+
+def test_wrappers_of_the_article_are_not_masked():
+    weights = htmltext.fit_weights([PAGE] * 3)
+    wrapped = PAGE.replace("<article>", '<div class="content-sidebar-wrap"><article>').replace("</article>", "</article></div>")
+    assert htmltext.extract(wrapped, weights) == PAGE_TEXT
+    main = PAGE.replace("<article>", '<main class="with-sidebar">').replace("</article>", "</main>")
+    assert htmltext.extract(main, weights) == PAGE_TEXT
+    story = PAGE.replace("<article>", '<div class="with-sidebar">').replace("</article>", "more words here " * 9 + "</div>")
+    assert htmltext.extract(story, weights).startswith(PAGE_TEXT)
+
+
 def test_region_has_the_highest_sum():
     rng = random.Random(3)
     for _ in range(200):
