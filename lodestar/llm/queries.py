@@ -7,7 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestar.llm import ann, chat, embeddup, htmltext, licence_texts, licences, mixing, neardup, pieces, quality, urlfilter
+from lodestar.llm import (
+    ann,
+    chat,
+    embeddup,
+    htmltext,
+    lexical,
+    licence_texts,
+    licences,
+    mixing,
+    neardup,
+    negatives,
+    pieces,
+    pii,
+    quality,
+    urlfilter,
+)
 from lodestar.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -306,3 +321,81 @@ def trusted_ids(spark: SparkSession, folder: str) -> DataFrame:
 @_query("op4_quality_classifier")
 def op4_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return quality.classify(read(spark, folder, "documents"), trusted_ids(spark, folder))
+
+
+# ---- 11: hard negatives
+
+_OP11_SQL = """
+WITH given AS (
+  SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS whole
+  FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+), scored AS (
+  SELECT a.vec_id AS anchor_id, a.label = b.label AS same, b.vec_id AS other_id,
+    CAST(list_dot_product(a.whole, b.whole) AS BIGINT) AS score
+  FROM given a JOIN given b ON a.vec_id % 50 = 0 AND b.vec_id <> a.vec_id
+), positive AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5
+), ranked AS (
+  SELECT anchor_id, positive_id, other_id AS negative_id, positive_score, s.score AS negative_score,
+    CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY s.score DESC, other_id) AS INT) AS rank
+  FROM positive JOIN scored s USING (anchor_id)
+  WHERE NOT same AND 50 * positive_score <= 100 * s.score AND 100 * s.score <= 95 * positive_score
+)
+SELECT * FROM ranked WHERE rank <= 3
+"""
+
+
+@_query("op11_hard_negatives", _OP11_SQL)
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    given = read(spark, folder, "embeddings").select("vec_id", label.alias("label"), F.col("embedding").alias("vector"))
+    return negatives.mine(given, F.col("vec_id") % 50 == 0)
+
+
+# ---- 12: personal data
+
+
+@_query("op12_personal_data")
+def op12_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.digest(pii.find_spans(read(spark, folder, "documents")))
+
+
+# ---- 13: ranked lexical search
+
+_OP13_SQL = r"""
+WITH words AS (
+  SELECT row_number() OVER () AS doc, doc_id,
+    regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents
+), sized AS (
+  SELECT *, len(terms) AS n, count(*) OVER () AS n_docs, sum(len(terms)) OVER () AS n_terms FROM words WHERE len(terms) > 0
+), posting AS (
+  SELECT doc, term, count(*) AS tf FROM (SELECT doc, unnest(terms) AS term FROM sized) GROUP BY ALL
+), weight AS (
+  SELECT term, CAST(floor(1000 * ln((2 * any_value(n_docs) + 2)::DOUBLE / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM posting JOIN sized USING (doc) GROUP BY term
+), item AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark
+), scored AS (
+  SELECT item_id, doc, any_value(doc_id) AS doc_id, CAST(sum(w * ((1000000000 * tf)
+    // (1000 * tf + 8 * (100 - 90 + CAST((90 * n * n_docs) // n_terms AS BIGINT))))) AS BIGINT) AS score
+  FROM item JOIN posting USING (term) JOIN weight USING (term) JOIN sized USING (doc) GROUP BY item_id, doc
+), ranked AS (
+  SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INT) AS rank, doc_id, score
+  FROM scored WHERE score > 0
+)
+SELECT * FROM ranked WHERE rank <= 10
+"""
+
+
+@_query("op13_lexical_search", _OP13_SQL)
+def op13_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical.search(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
