@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.ml.clustering import BisectingKMeans, KMeans, PowerIterationClustering
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -14,7 +12,8 @@ from pyspark.sql import functions as F
 
 from lodestar.functions.columns import zscore
 from lodestar.operators.aggregates import corr_matrix
-from lodestar.operators.scaling import materialise, with_row_number
+from lodestar.operators.scaling import materialise, salted_lookup, with_row_number
+from lodestar.operators.spectral import cells_of, laplacian_eigenvectors, truncated_svd
 from lodestar.sources.readers import canonical_edges
 
 
@@ -92,46 +91,40 @@ def axis_correlations(rows: DataFrame, columns: Sequence[str], k: int) -> DataFr
     return cells.select(F.col("a").alias("variable"), F.col("b").alias("axis"), "value", F.pow("value", 2).alias("cos2"))
 
 
-def lsa(df: DataFrame, id_col: str, features: str, k: int) -> tuple[DataFrame, DataFrame]:
-    """Truncated SVD of a vector column: (singular values, projected rows).
+def spectral_clusters(edges: DataFrame, k: int, seed: int = 42) -> tuple[list[float], DataFrame]:
+    """The k smallest eigenvalues of the graph's Laplacian and ``node, cluster`` by k-means on its vertices' components."""
+    values, rows = laplacian_eigenvectors(edges, k)
+    if not values:
+        return values, rows.select("node", F.lit(0).alias("cluster"))
+    placed = as_vector(materialise(rows), "axes")
+    return values, kmeans(placed, "features", k, seed).transform(placed).select("node", "cluster")
 
-    Tasks add up X'X of their own rows (one p x p matrix per task, p being the hashed feature count);
-    the sum is decomposed once, and rows are projected by a matrix literal of p x k values.
-    """
-    spark = df.sparkSession
-    arrays = materialise(df.select(F.col(id_col).alias("id"), vector_to_array(features).alias("x")))
-    first = arrays.select(F.size("x")).first()
-    p = first[0] if first else 0
-    if p > 1024:
-        raise ValueError("reduce the number of features to 1024 or fewer before the decomposition")
-
-    def partial(batches):
-        total = None
-        for batch in batches:
-            if len(batch):
-                x = np.stack(batch["x"].to_numpy())
-                total = x.T @ x if total is None else total + x.T @ x
-        if total is not None:
-            yield pd.DataFrame({"i": np.arange(len(total)), "row": list(total)})
-
-    sums = arrays.select("x").mapInPandas(partial, "i INT, row ARRAY<DOUBLE>")
-    cells = sums.select("i", F.posexplode("row").alias("j", "v")).groupBy("i", "j").agg(F.sum("v").alias("v"))
-    gram = np.zeros((p, p))
-    for r in cells.where(F.col("v") != 0).toPandas().itertuples(index=False):
-        gram[r.i, r.j] = r.v
-    values, axes = np.linalg.eigh(gram)
-    order = np.argsort(-values)[:k]
-    axes = axes[:, order]
-    axes = axes * np.where(axes[np.abs(axes).argmax(axis=0), np.arange(axes.shape[1])] < 0, -1, 1)
-    singular = [(i + 1, float(np.sqrt(max(values[o], 0.0)))) for i, o in enumerate(order)]
-
-    @F.pandas_udf("array<double>")
-    def project(x: pd.Series) -> pd.Series:
-        return pd.Series(list(np.stack(x.to_numpy()) @ axes))
 
+def lsa(df: DataFrame, id_col: str, features: str, k: int) -> tuple[DataFrame, DataFrame]:
+    """Truncated SVD of a vector column with unique ids: (singular values, ``id, axes`` of every row). The vectors may be
+    sparse and of any length; a row of zeros has zeros as axes."""
+    ids = materialise(with_row_number(df.select(F.col(id_col).alias("id")), ["id"], "_n"))
+    numbered = df.select(F.col(id_col).alias("_id"), features).join(ids, F.col("_id").eqNullSafe(F.col("id"))).select("_n", features)
+    return lsa_cells(cells_of(numbered, "_n", features), ids, k)
+
+
+def lsa_weights(weights: DataFrame, k: int, tol: float = 1e-9) -> tuple[DataFrame, DataFrame]:
+    """As ``lsa`` for unique ``weights(doc, word, weight)``: the words are the columns, whatever their number."""
+    stored = materialise(weights)
+    ids = materialise(with_row_number(stored.select(F.col("doc").alias("id")).distinct(), ["id"], "_n"))
+    words = materialise(with_row_number(stored.select("word").distinct(), ["word"], "col"))
+    rows = salted_lookup(stored, ids.select(F.col("id").alias("doc"), F.col("_n").alias("row")), ["doc"])
+    return lsa_cells(salted_lookup(rows, words, ["word"]).select("row", "col", F.col("weight").alias("value")), ids, k, tol)
+
+
+def lsa_cells(cells: DataFrame, ids: DataFrame, k: int, tol: float = 1e-9) -> tuple[DataFrame, DataFrame]:
+    singular, rows, _ = truncated_svd(cells, k, tol=tol)
+    values = [(i + 1, v) for i, v in enumerate(singular)]
+    zeros = F.array_repeat(F.lit(0.0), len(singular))
+    projected = ids.join(rows.withColumnRenamed("id", "_row"), F.col("_n") == F.col("_row"), "left")
     return (
-        spark.createDataFrame(singular, "axis INT, singular DOUBLE"),
-        arrays.select("id", project("x").alias("axes")),
+        ids.sparkSession.createDataFrame(values, "axis INT, singular DOUBLE"),
+        projected.select("id", F.coalesce("axes", zeros).alias("axes")),
     )
 
 

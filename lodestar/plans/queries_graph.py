@@ -8,6 +8,8 @@ from lodestar.operators import clustering as K
 from lodestar.operators import graph as G
 from lodestar.operators import models as ML
 from lodestar.operators import neighbours as N
+from lodestar.operators import spectral
+from lodestar.operators import wordvectors as WV
 from lodestar.plans.graphs import SUCCESSION_SQL, nation_runs, status_runs, succession
 from lodestar.plans.queries_rows import hash_sql
 from lodestar.plans.registry import query
@@ -180,6 +182,32 @@ def _(t):
     return K.cluster_graph(succession(t), 2, max_iter=10)
 
 
+def _longest_run(t):
+    """The orders of the longest runs of equal status, one of them."""
+    runs = status_runs(t)
+    component = G.connected_components(runs)
+    sizes = component.groupBy("component").agg(F.count(F.lit(1)).alias("n"))
+    chosen = sizes.agg(F.max_by("component", F.struct("n", -F.col("component"))).alias("component"))
+    kept = component.join(chosen, "component", "left_semi").select(F.col("node").alias("src"))
+    return runs.join(kept, "src", "left_semi")
+
+
+@query(
+    "g09_laplacian_values",
+    "WITH s AS (SELECT o_orderkey AS k, o_orderstatus AS g FROM orders), b AS (SELECT k, CASE WHEN lag(g) OVER w = g AND lag(k) OVER w = k - 1 THEN 0 ELSE 1 END AS fresh FROM s WINDOW w AS (ORDER BY k)), r AS (SELECT sum(fresh) OVER (ORDER BY k) AS run FROM b), "
+    "n AS (SELECT max(c) AS n FROM (SELECT count(*) AS c FROM r GROUP BY run)) SELECT CAST(j + 1 AS INT) AS axis, round(2 - 2 * cos(pi() * j / n), 7) AS value FROM n, (SELECT unnest(range(0, 4)) AS j) WHERE j < n",
+)
+def _(t):
+    values, _ = spectral.laplacian_eigenvectors(_longest_run(t), 4)
+    rows = [(i + 1, round(v, 7) + 0.0) for i, v in enumerate(values)]
+    return t.spark.createDataFrame(rows, "axis INT, value DOUBLE")
+
+
+@query("g09_spectral_clusters")
+def _(t):
+    return K.spectral_clusters(succession(t), 2)[1]
+
+
 @query(
     "g10_modularity",
     f"WITH e AS ({SUCCESSION_SQL}), u AS ({_UND_SQL}), k AS (SELECT c_custkey AS node, c_nationkey AS cluster FROM customer), p AS (SELECT x.cluster AS cs, y.cluster AS cd FROM u JOIN k x ON x.node = a JOIN k y ON y.node = b), m AS (SELECT count(*)::DOUBLE AS m FROM p), "
@@ -255,6 +283,28 @@ def _(t):
     return vectors.select("word", F.size(_array("vector")).alias("dim"))
 
 
+_TALK_SQL = "p AS (SELECT row_number() OVER () AS r, string_split(lower(text), ' ') AS l FROM conversations), t AS (SELECT r, unnest(l) AS w, unnest(range(1, len(l) + 1)) AS i FROM p)"
+
+
+@query(
+    "g14_cooccurrence_weights",
+    f"WITH {_TALK_SQL}, c AS (SELECT a.w AS word, b.w AS context, count(*) AS n FROM t a JOIN t b ON a.r = b.r AND a.i <> b.i AND abs(a.i - b.i) <= 3 GROUP BY ALL), s0 AS (SELECT word FROM c GROUP BY word HAVING sum(n) >= 30), "
+    "k AS MATERIALIZED (SELECT * FROM c WHERE word IN (SELECT word FROM s0) AND context IN (SELECT word FROM s0)), s AS (SELECT word, sum(n) AS s FROM k GROUP BY word), "
+    "f AS (SELECT k.word, k.context, ln(n * (SELECT sum(n) FROM k)::DOUBLE / (a.s::DOUBLE * b.s)) - ln(2) AS weight FROM k JOIN s a ON a.word = k.word JOIN s b ON b.word = k.context) SELECT word, context, round(weight, 7) AS weight FROM f WHERE weight > 0",
+)
+def _(t):
+    talk = t.conversations.select(F.split(F.lower("text"), " ").alias("words"))
+    return WV.shifted_weights(WV.cooccurrence(talk, "words", 3), 2.0, 30).select("word", "context", F.round("weight", 7).alias("weight"))
+
+
+@query("g14_node_vectors")
+def _(t):
+    both = succession(t)
+    both = both.unionByName(both.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
+    walks = G.random_walks(both, 2, 6).select(F.transform("nodes", lambda n: n.cast("string")).alias("words"))
+    return WV.word_vectors(walks, "words", size=16).select("word", F.transform("vector", lambda x: F.round(x, 5)).alias("vector"))
+
+
 def _array(column):
     from pyspark.ml.functions import vector_to_array
 

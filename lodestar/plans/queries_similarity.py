@@ -11,6 +11,7 @@ from lodestar.operators import recommend as R
 from lodestar.operators.rows import split_per_user
 from lodestar.operators.scaling import materialise
 from lodestar.plans.graphs import RATINGS_SQL, ratings
+from lodestar.plans.queries_text import POS_SQL, plain_tokens
 from lodestar.plans.registry import query
 
 _SIMS_SQL = (
@@ -205,9 +206,37 @@ def _(t):
 def _(t):
     from lodestar.operators.textmining import tfidf_hashed
 
-    features, _ = tfidf_hashed(t.documents, t.documents.limit(0), "text", 256)
-    singular, rows = K.lsa(features, "doc_id", "features", 5)
-    return rows.select(F.col("id").alias("doc_id"), *[F.round(F.col("axes")[i], 5).alias(f"axis{i + 1}") for i in range(5)])
+    features, _ = tfidf_hashed(t.documents, t.documents.limit(0), "text")
+    _, rows = K.lsa(features, "doc_id", "features", 5)
+    return rows.select(F.col("id").alias("doc_id"), *[F.round(F.get("axes", F.lit(i)), 5).alias(f"axis{i + 1}") for i in range(5)])
+
+
+def _leading_axis_sql(rounds: int) -> str:
+    """Power iteration; the second singular value of these weights is below two thirds of the first."""
+    steps = ["v0 AS (SELECT DISTINCT word, 1.0::DOUBLE AS v FROM w)"]
+    for i in range(1, rounds + 1):
+        steps.append(
+            f"y{i} AS MATERIALIZED (SELECT doc, sum(tfidf * v) AS y FROM w JOIN v{i - 1} USING (word) GROUP BY doc), z{i} AS MATERIALIZED (SELECT word, sum(tfidf * y) AS z FROM w JOIN y{i} USING (doc) GROUP BY word), "
+            f"v{i} AS MATERIALIZED (SELECT word, z / (SELECT sqrt(sum(z * z)) FROM z{i}) AS v FROM z{i})"
+        )
+    return ", ".join(steps)
+
+
+@query(
+    "ml02_lsa_leading",
+    f"WITH p AS ({POS_SQL}), c AS (SELECT doc, word, count(*) AS n, max(size) AS size FROM p GROUP BY ALL), d AS (SELECT word, count(*) AS df FROM c GROUP BY word), "
+    f"w AS MATERIALIZED (SELECT doc, word, n / size * (ln((SELECT count(*) FROM documents) / df) + 1) AS tfidf FROM c JOIN d USING (word)), {_leading_axis_sql(32)}, "
+    "a AS MATERIALIZED (SELECT doc, sum(tfidf * v) AS x FROM w JOIN v32 USING (word) GROUP BY doc) SELECT doc AS doc_id, round(x, 5) AS axis1, round((SELECT sqrt(sum(x * x)) FROM a), 5) AS singular FROM a",
+)
+def _(t):
+    from lodestar.operators.textmining import tfidf
+
+    weights = tfidf(plain_tokens(t), "doc_id", "tokens").withColumnRenamed("tfidf", "weight")
+    singular, rows = K.lsa_weights(weights, 1, tol=1e-13)
+    first = singular.first()
+    return rows.select(
+        F.col("id").alias("doc_id"), F.round(F.get("axes", F.lit(0)), 5).alias("axis1"), F.round(F.lit(first["singular"] if first else None).cast("double"), 5).alias("singular")
+    )
 
 
 def _scaled(t, kind):
