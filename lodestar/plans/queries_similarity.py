@@ -154,7 +154,8 @@ _KNN_SQL = (
 
 @query("k07_knn_regression", _KNN_SQL + "SELECT q AS id, round(avg(y), 9) AS prediction FROM r WHERE rn <= 7 GROUP BY q")
 def _(t):
-    return N.knn(t.embeddings, t.embeddings, "vec_id", "embedding", "label", 7).withColumn("prediction", F.round("prediction", 9))
+    rows = t.embeddings
+    return N.knn(rows, rows, "vec_id", "embedding", "label", 7).withColumn("prediction", F.round("prediction", 9))
 
 
 @query(
@@ -162,7 +163,8 @@ def _(t):
     _KNN_SQL + "SELECT q AS id, y AS prediction FROM (SELECT q, y, row_number() OVER (PARTITION BY q ORDER BY count(*) DESC, y) AS place FROM r WHERE rn <= 7 GROUP BY q, y) WHERE place = 1",
 )
 def _(t):
-    return N.knn(t.embeddings, t.embeddings, "vec_id", "embedding", "label", 7, classify=True)
+    rows = t.embeddings
+    return N.knn(rows, rows, "vec_id", "embedding", "label", 7, classify=True)
 
 
 _PCA = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
