@@ -25,6 +25,19 @@ def _(t):
     return R.user_similarity(ratings(t)).withColumn("similarity", F.round("similarity", 7))
 
 
+@query("r01_similar_users", f"WITH {_SIMS_SQL.format(source='r')} SELECT a, b, round(similarity, 7) AS similarity FROM s WHERE similarity >= 0.12")
+def _(t):
+    return R.similar_users(ratings(t), 0.12).withColumn("similarity", F.round("similarity", 7))
+
+
+@query(
+    "r01_most_similar_users",
+    f"WITH {_SIMS_SQL.format(source='r')} SELECT a, b, round(similarity, 9) AS similarity, CAST(row_number() OVER (PARTITION BY a ORDER BY round(similarity, 9) DESC, b) AS INT) AS rank FROM s WHERE similarity >= 0.15 QUALIFY rank <= 3",
+)
+def _(t):
+    return R.most_similar_users(ratings(t), 3, 0.15)
+
+
 def _split(t):
     parts = materialise(split_per_user(ratings(t), "user", ["item"]))
     return parts.where("part = 'base'").drop("part"), parts.where("part = 'test'").drop("part")
@@ -43,7 +56,7 @@ _PREDICT_SQL = (
 @query("r02_predict_ratings", _PREDICT_SQL + "SELECT \"user\", item, round(prediction, 6) AS prediction FROM o")
 def _(t):
     base, test = _split(t)
-    return R.predict_ratings(base, R.user_similarity(base), test).withColumn("prediction", F.round("prediction", 6))
+    return R.predict_asked(base, test).withColumn("prediction", F.round("prediction", 6))
 
 
 @query("r03_factorise")
@@ -60,7 +73,7 @@ def _(t):
 )
 def _(t):
     base, test = _split(t)
-    scored = R.predict_ratings(base, R.user_similarity(base), test).join(test, ["user", "item"])
+    scored = R.predict_asked(base, test).join(test, ["user", "item"])
     return M.regression_errors(scored, "rating", "prediction").select("n", F.round("rmse", 6).alias("rmse"), F.round("mae", 6).alias("mae"))
 
 
