@@ -8,6 +8,7 @@ shuffle; a hub meets its one-row state by join, which the adaptive skew join can
 from __future__ import annotations
 
 import itertools
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 
 from lodestar.functions.columns import key_hash
 from lodestar.operators.aggregates import corr_matrix
-from lodestar.operators.scaling import Rounds, block_product, materialise, with_row_number
+from lodestar.operators.scaling import Rounds, block_product, checkpoint_folder, materialise, salted_lookup, with_row_number
 from lodestar.sources.readers import canonical_edges
 
 
@@ -302,9 +303,41 @@ def shortest_paths(edges: DataFrame) -> DataFrame:
     return out
 
 
-def sp_histogram(edges: DataFrame) -> DataFrame:
-    """Ordered vertex pairs per graph and distance (distance 0 counts the vertices)."""
-    return shortest_paths(edges).groupBy("graph", "d").agg(F.count(F.lit(1)).alias("n"))
+def sp_histogram(edges: DataFrame, bits: int = 64) -> DataFrame:
+    """Ordered vertex pairs per graph and distance (distance 0 counts the vertices) of undirected graphs ``(graph, src, dst)``.
+
+    Breadth-first search from ``bits`` vertices at once: a row holds, for one vertex and one block of start vertices, a set of
+    those that have reached it as one number. A round sends the new part of each set along the edges, joins sets with ``bit_or``
+    and takes off what was there. Only the number of new bits per graph leaves a round, and the sets of the last two
+    rounds are all that is stored: a sixty-fourth of the vertex pairs. Edges with a null and loops are ignored.
+    """
+    spark = edges.sparkSession
+    links = edges.select("graph", "src", "dst").na.drop()
+    both = links.unionByName(links.select("graph", F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct()
+    nodes = materialise(links.select("graph", F.explode(F.array("src", "dst")).alias("node")).distinct())
+    numbered = materialise(with_row_number(nodes, ["graph", "node"], "_n"))
+    first = numbered.groupBy("graph").agg(F.min("_n").alias("_first"))
+    place = F.col("_n") - F.col("_first")
+    start = F.expr(f"shiftleft(1L, cast(pmod(_n - _first, {bits}) as int))")
+    own = salted_lookup(numbered, first, ["graph"])
+    state = own.select("graph", F.floor(place / bits).alias("block"), "node", start.alias("seen"), start.alias("fresh"))
+    hop = materialise(both.where(F.col("src") != F.col("dst")).select("graph", F.col("src").alias("node"), F.col("dst").alias("next")))
+    out, rounds = f"{checkpoint_folder(spark)}/lodestar-{uuid.uuid4().hex}", Rounds(spark)
+    for d in itertools.count():
+        state = rounds.store(state)
+        counts = state.groupBy("graph").agg(F.sum(F.bit_count("fresh")).cast("long").alias("n")).where("n > 0")
+        counts.write.parquet(f"{out}/d={d}")
+        front = state.where("fresh <> 0")
+        if front.isEmpty():
+            break
+        sent = front.select("graph", "block", "node", "fresh").join(hop, ["graph", "node"])
+        met = sent.groupBy("graph", "block", F.col("next").alias("node")).agg(F.bit_or("fresh").alias("come"))
+        seen = F.coalesce("seen", F.lit(0).cast("long"))
+        fresh = F.coalesce("come", F.lit(0).cast("long")).bitwiseAND(F.bitwise_not(seen))
+        merged = state.drop("fresh").join(met, ["graph", "block", "node"], "full")
+        state = merged.select("graph", "block", "node", seen.bitwiseOR(fresh).alias("seen"), fresh.alias("fresh"))
+    kind = edges.schema["graph"].dataType.simpleString()
+    return spark.read.schema(f"graph {kind}, n long, d int").parquet(out).select("graph", "d", "n")
 
 
 def sp_kernel(first: DataFrame, second: DataFrame) -> DataFrame:
