@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 from lodestar.functions.columns import hash_fraction, key_hash
 from lodestar.operators.metrics import regression_errors
 from lodestar.operators.rows import fold_column
-from lodestar.operators.scaling import Rounds, materialise, union_all, with_row_number
+from lodestar.operators.scaling import Rounds, materialise, salted_lookup, union_all, with_row_number
 
 MAX_CLASSES = 1000
 
@@ -395,9 +395,8 @@ def per_group_models(df: DataFrame, key: str, features: Sequence[str], label: st
 
 def apply_group_models(df: DataFrame, models: DataFrame, key: str, features: Sequence[str]) -> DataFrame:
     terms = [F.col("coefficients")[0], *[F.col("coefficients")[i + 1] * F.col(f) for i, f in enumerate(features)]]
-    return df.join(models.select(key, "coefficients"), key).withColumn("prediction", sum(terms[1:], terms[0])).drop(
-        "coefficients"
-    )
+    placed = salted_lookup(df, models.select(key, "coefficients"), [key])
+    return placed.withColumn("prediction", sum(terms[1:], terms[0])).drop("coefficients")
 
 
 def per_group_lines(df: DataFrame, key: str, x: str, y: str) -> DataFrame:

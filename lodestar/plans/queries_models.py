@@ -8,8 +8,10 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from lodestar.functions.text import decode_tags
+from lodestar.operators import groupmodels as GM
 from lodestar.operators import metrics as M
 from lodestar.operators import models as ML
+from lodestar.operators import robust as RB
 from lodestar.operators.clustering import as_vector, assemble
 from lodestar.operators.rows import split_weights
 from lodestar.operators.scaling import materialise
@@ -182,6 +184,36 @@ def _(t):
     return _errors(ML.linear(kind="huber", maxIter=20).fit(train).transform(test))
 
 
+_PLANTED = "CASE WHEN l_linenumber = 1 THEN l_extendedprice ELSE 10 + 3 * l_quantity - 200 * l_discount END"
+
+
+def _planted(t):
+    return t.lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_discount", F.expr(_PLANTED).alias("y"))
+
+
+def _coefficients(t, beta, *more):
+    row = t.spark.range(1).select(*[F.lit(round(b, 6) + 0.0).alias(f"b{i}") for i, b in enumerate(beta)], *more)
+    return row
+
+
+@query(
+    "ml11_ransac",
+    f"SELECT 10.0::DOUBLE AS b0, 3.0::DOUBLE AS b1, -200.0::DOUBLE AS b2, count(*) AS inliers FROM lineitem WHERE abs({_PLANTED} - (10 + 3 * l_quantity - 200 * l_discount)) <= 1e-6",
+)
+def _(t):
+    beta, _, inliers = RB.ransac(_planted(t), ["l_quantity", "l_discount"], "y", ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"], threshold=1e-6)
+    return _coefficients(t, beta, F.lit(inliers.count()).cast("long").alias("inliers"))
+
+
+@query("ml11_theil_sen", "SELECT 10.0::DOUBLE AS b0, 3.0::DOUBLE AS b1 FROM (SELECT count(*) AS n FROM lineitem) WHERE n > 1")
+def _(t):
+    line = t.lineitem.select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+        F.when(F.col("l_linenumber") == 1, F.col("l_extendedprice")).otherwise(10 + 3 * F.col("l_quantity")).alias("y"),
+    )
+    return _coefficients(t, RB.theil_sen(line, ["l_quantity"], "y", ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"], subsets=2_000))
+
+
 @query("ml12_inliers_split")
 def _(t):
     kept = ML.inliers_split(_lines(t).dropDuplicates(_KEYS), ML.linear(), "label", _KEYS)
@@ -426,3 +458,23 @@ def _(t):
     return ML.majority_vote(t.lineitem.select(F.col("l_orderkey").alias("id"), F.col("l_returnflag").alias("y")), "id", "y")
 
 
+
+
+@query(
+    "ml21_logistic_per_group",
+    "WITH c AS (SELECT o_orderpriority, o_totalprice > 150000 AS big, avg(CASE WHEN o_orderstatus = 'F' THEN 1.0 ELSE 0.0 END) AS p, count(*) AS n FROM orders GROUP BY ALL), l AS (SELECT *, ln(p / (1 - p)) AS logit FROM c) "
+    "SELECT a.o_orderpriority AS o_orderpriority, a.n + b.n AS n, round(a.logit, 6) AS intercept, round(b.logit - a.logit, 6) AS slope FROM l a JOIN l b ON a.o_orderpriority = b.o_orderpriority AND NOT a.big AND b.big",
+)
+def _(t):
+    rows = t.orders.select(
+        "o_orderpriority", (F.col("o_totalprice") > 150000).cast("double").alias("big"), (F.col("o_orderstatus") == "F").cast("double").alias("done")
+    )
+    out = GM.logistic_per_group(rows, "o_orderpriority", ["big"], "done", ridge=0.0)
+    return out.select("o_orderpriority", "n", *[F.round(F.get("coefficients", F.lit(i)), 6).alias(c) for i, c in enumerate(("intercept", "slope"))])
+
+
+@query("ml21_huber_per_group")
+def _(t):
+    rows = t.lineitem.select("l_returnflag", "l_quantity", "l_discount", "l_extendedprice")
+    out = GM.huber_per_group(rows, "l_returnflag", ["l_quantity", "l_discount"], "l_extendedprice")
+    return out.select("l_returnflag", "n", F.transform("coefficients", lambda b: F.round(b, 3)).alias("coefficients"))

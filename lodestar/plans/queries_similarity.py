@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lodestar.operators import clustering as K
+from lodestar.operators import linkage as LK
 from lodestar.operators import metrics as M
 from lodestar.operators import neighbours as N
 from lodestar.operators import recommend as R
@@ -110,6 +111,23 @@ def _(t):
     return K.bisecting_clusters(rows, "features", 5).transform(rows).groupBy("cluster").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query(
+    "k03_ward_heights",
+    "WITH e AS (SELECT vec_id, i, embedding[i]::DOUBLE AS x FROM embeddings, (SELECT unnest(range(1, 65)) AS i)), v AS (SELECT i, sum(x * x) - sum(x) * sum(x) / count(*) AS ss FROM e GROUP BY i) "
+    "SELECT (SELECT count(*) - 1 FROM embeddings) AS merges, (SELECT count(*) FROM embeddings) AS largest, round(sum(ss), 6) AS scatter FROM v",
+)
+def _(t):
+    # half the sum of the squared heights of Ward's merges is the scatter of all rows
+    merges = LK.linkage(t.embeddings, "vec_id", "embedding")
+    return merges.agg(F.count(F.lit(1)).alias("merges"), F.max("size").alias("largest"), F.round(F.sum(F.col("height") * F.col("height")) / 2, 6).alias("scatter"))
+
+
+@query("k03_ward_clusters")
+def _(t):
+    rows = t.embeddings
+    return LK.cut(rows, "vec_id", LK.linkage(rows, "vec_id", "embedding"), 5)
+
+
 _GEO = "SELECT vec_id AS id, embedding[1]::DOUBLE AS lat, embedding[2]::DOUBLE AS lon, embedding[3]::DOUBLE AS f1, embedding[4]::DOUBLE AS f2, embedding[5]::DOUBLE AS f3, label::DOUBLE AS price FROM embeddings"
 _PAIRS_SQL = (
     f"WITH v AS ({_GEO}), p AS (SELECT a.id AS q, b.id AS b, b.price, (a.f1 * b.f1 + a.f2 * b.f2 + a.f3 * b.f3) / (sqrt(a.f1 ** 2 + a.f2 ** 2 + a.f3 ** 2) * sqrt(b.f1 ** 2 + b.f2 ** 2 + b.f3 ** 2)) AS c, "
