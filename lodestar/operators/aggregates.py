@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Callable, Mapping, Sequence
 from itertools import combinations_with_replacement
 from statistics import NormalDist
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.functions.columns import column_kinds
+from lodestar.functions.columns import column_kinds, key_hash
 from lodestar.functions.text import ngrams, strip_punct, tokenize, unnest
 from lodestar.operators.scaling import (
+    column_percentiles,
     exact_percentiles,
     materialise,
     running_totals,
@@ -89,13 +91,15 @@ def weighted_degree(edges: DataFrame, min_w: float = 0.6, min_sum: float = 1.0)
 
 
 def inverted_index(docs: DataFrame, doc: str, column: str, sep: str = ",", chunk: int = 10000) -> DataFrame:
-    """Word to sorted distinct documents: ``word, part, docs``.
+    """Word to sorted distinct documents, whose ids are of any type (numbers, file names): ``word, part, docs``.
 
-    ``part`` is the range of ``chunk`` document numbers that the list covers, so a word found everywhere
-    is as many rows of bounded size as there are ranges, at every table size.
+    ``part`` is a share of the documents by a hash of the id, of about ``chunk`` documents, so a word found everywhere is as
+    many rows of bounded size as there are parts, at every table size.
     """
-    postings = unnest(docs, F.array_distinct(tokenize(column)), "word", [F.col(doc).alias("doc")])
-    return postings.groupBy("word", F.floor(F.col("doc") / chunk).cast("int").alias("part")).agg(
+    parts = max(1, math.ceil(docs.select(doc).distinct().count() / chunk))
+    part = F.pmod(key_hash([doc]), F.lit(parts)).cast("int").alias("part")
+    postings = unnest(docs, F.array_distinct(tokenize(column)), "word", [F.col(doc).alias("doc"), part])
+    return postings.groupBy("word", "part").agg(
         F.array_join(F.transform(F.array_sort(F.collect_set("doc")), lambda d: d.cast("string")), sep).alias("docs")
     )
 
@@ -149,18 +153,21 @@ def long_form(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
+def column_aggregates(df: DataFrame, columns: Sequence[str], functions: Mapping[str, Callable[[Column], Column]]) -> DataFrame:
+    """One row per column with the given aggregates, all from one row of sums over the table."""
+    row = df.agg(*[f(F.col(c).cast("double")).alias(f"{name}_{i}") for i, c in enumerate(columns) for name, f in functions.items()])
+    cells = [F.struct(F.lit(c).alias("column"), *[F.col(f"{name}_{i}").alias(name) for name in functions]) for i, c in enumerate(columns)]
+    return row.select(F.explode(F.array(*cells)).alias("cell")).select("cell.*")
+
+
 def numeric_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Mean, population variance and deviation, min, max, sum and exact median, one row per column."""
-    cells = long_form(df, columns)
-    moments = cells.groupBy("column").agg(
-        F.avg("value").alias("mean"),
-        F.var_pop("value").alias("variance"),
-        F.stddev_pop("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-        F.sum("value").alias("sum"),
+    moments = column_aggregates(
+        df,
+        columns,
+        {"mean": F.avg, "variance": F.var_pop, "std": F.stddev_pop, "min": F.min, "max": F.max, "sum": F.sum},
     )
-    middle = exact_percentiles(cells, "value", [0.5], ["column"]).select("column", F.col("p0").alias("median"))
+    middle = column_percentiles(df, columns, [0.5]).select("column", F.col("p0").alias("median"))
     return moments.join(middle, "column")
 
 
@@ -171,16 +178,12 @@ def column_product(df: DataFrame, column: str) -> DataFrame:
 def describe_table(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """count, nulls, mean, std, min, quartiles, max and distinct rows of every numeric column."""
     columns = list(columns or column_kinds(df)[0])
-    cells = long_form(df, columns)
-    moments = cells.groupBy("column").agg(
-        F.count("value").alias("count"),
-        F.count_if(F.col("value").isNull()).alias("nulls"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
+    moments = column_aggregates(
+        df,
+        columns,
+        {"count": F.count, "nulls": lambda c: F.count_if(c.isNull()), "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max},
     )
-    quarters = exact_percentiles(cells, "value", [0.25, 0.5, 0.75], ["column"]).select(
+    quarters = column_percentiles(df, columns, [0.25, 0.5, 0.75]).select(
         "column", F.col("p0").alias("q1"), F.col("p1").alias("median"), F.col("p2").alias("q3")
     )
     return moments.join(quarters, "column", "left")

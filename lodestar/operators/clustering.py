@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from lodestar.functions.columns import zscore
 from lodestar.operators.aggregates import corr_matrix
-from lodestar.operators.scaling import materialise, salted_lookup, with_row_number
+from lodestar.operators.scaling import column_percentiles, materialise, salted_lookup, with_row_number
 from lodestar.operators.spectral import cells_of, laplacian_eigenvectors, truncated_svd
 from lodestar.sources.readers import canonical_edges
 
@@ -130,9 +130,6 @@ def lsa_cells(cells: DataFrame, ids: DataFrame, k: int, tol: float = 1e-9) -> tu
 
 def scale_expressions(df: DataFrame, columns: Sequence[str], kind: str) -> DataFrame:
     """Standard, robust (median and quartiles), min-max or unit-norm scaling as ``<column>_s``."""
-    from lodestar.operators.aggregates import long_form
-    from lodestar.operators.scaling import exact_percentiles
-
     if kind == "unit":
         norm = F.sqrt(sum((F.col(c) * F.col(c) for c in columns[1:]), F.col(columns[0]) * F.col(columns[0])))
         return df.withColumns({f"{c}_s": F.col(c) / F.nullif(norm, F.lit(0.0)) for c in columns})
@@ -143,10 +140,7 @@ def scale_expressions(df: DataFrame, columns: Sequence[str], kind: str) -> DataF
         centre = {c: m[f"lo_{c}"] for c in columns}
         width = {c: m[f"hi_{c}"] - m[f"lo_{c}"] for c in columns}
     elif kind == "robust":
-        q = {
-            r["column"]: r
-            for r in exact_percentiles(long_form(df, columns), "value", [0.25, 0.5, 0.75], ["column"]).collect()
-        }
+        q = {r["column"]: r for r in column_percentiles(df, columns, [0.25, 0.5, 0.75]).collect()}
         centre = {c: q[c]["p1"] for c in columns}
         width = {c: q[c]["p2"] - q[c]["p0"] for c in columns}
     else:

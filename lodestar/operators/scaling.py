@@ -167,6 +167,64 @@ def exact_percentiles(
     return picked.select(*by, "n", *[between(i, p) for i, p in enumerate(probabilities)])
 
 
+def column_percentiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], accuracy: int = 10_000) -> DataFrame:
+    """Interpolated percentiles of several columns, exact: ``column, n, p0..``; a column without values has no row.
+
+    Quantile sketches give a narrow range of values around each percentile. One pass counts the rows below and inside the
+    ranges; only values inside, a thousandth of the rows, are counted value by value and shuffled. A range that missed its
+    percentile, as on small tables, becomes the whole column.
+    """
+    margin = 5 / accuracy
+    value = [F.col(c).cast("double") for c in columns]
+    cells = [(i, p) for i in range(len(columns)) for p in probabilities]
+    ends = [f(p) for p in probabilities for f in (lambda p: max(0.0, p - margin), lambda p: min(1.0, p + margin))]
+    first = df.agg(
+        *[F.count(v).alias(f"n{i}") for i, v in enumerate(value)],
+        *[F.percentile_approx(v, ends, accuracy).alias(f"q{i}") for i, v in enumerate(value)],
+    ).first()
+
+    def inside(c: int, low: float, high: float) -> Column:
+        return (value[cells[c][0]] >= F.lit(low)) & (value[cells[c][0]] <= F.lit(high))
+
+    ranges = []
+    for c, (i, p) in enumerate(cells):
+        marks, at = first[f"q{i}"], 2 * (c % len(probabilities))
+        low, high = (-math.inf, math.inf) if marks is None else (marks[at], marks[at + 1])
+        ranges.append((low if p > margin else -math.inf, high if p < 1 - margin else math.inf))
+    counts = df.agg(
+        *[F.count_if(value[i] < F.lit(ranges[c][0])).alias(f"b{c}") for c, (i, _) in enumerate(cells)],
+        *[F.count_if(inside(c, *ranges[c])).alias(f"i{c}") for c in range(len(cells))],
+    ).first()
+    below, within = [], []
+    for c, (i, p) in enumerate(cells):
+        mark, n = p * (first[f"n{i}"] - 1), first[f"n{i}"]
+        if n and not (counts[f"b{c}"] <= math.floor(mark) and math.ceil(mark) < counts[f"b{c}"] + counts[f"i{c}"]):
+            ranges[c] = (-math.inf, math.inf)
+            below.append(0)
+            within.append(n)
+        else:
+            below.append(counts[f"b{c}"])
+            within.append(counts[f"i{c}"])
+    hits = F.array(*[F.when(inside(c, *ranges[c]), F.struct(F.lit(c).alias("cell"), value[i].alias("v"))) for c, (i, _) in enumerate(cells)])
+    rows = df.select(F.explode(F.array_compact(hits)).alias("h")).select("h.*").groupBy("cell", "v").agg(F.count(F.lit(1)).alias("n"))
+    running = running_totals(rows, ["cell", "v"], ["n"])
+    # rank of a value in its column: its place in the running count, less the cells before, plus the rows below the range
+    shift = [below[c] - sum(within[:c]) for c in range(len(cells))]
+    offset = F.element_at(F.array(*[F.lit(x).cast("long") for x in shift]), F.col("cell") + 1)
+    place = running.select("cell", "v", (F.col("cum_n") - F.col("n") + offset).alias("a"), (F.col("cum_n") + offset).alias("b"))
+    marks = [p * (first[f"n{i}"] - 1) for i, p in cells]
+    wanted = lambda f: F.element_at(F.array(*[F.lit(int(f(m))) for m in marks]), F.col("cell") + 1)
+    hit = lambda k: F.max(F.when((F.col("a") <= k) & (k < F.col("b")), F.col("v")))
+    found = {r["cell"]: (r["lo"], r["hi"]) for r in place.groupBy("cell").agg(hit(wanted(math.floor)).alias("lo"), hit(wanted(math.ceil)).alias("hi")).collect()}
+    out = []
+    for i, name in enumerate(columns):
+        if first[f"n{i}"]:
+            own = [(*found[c], marks[c] - math.floor(marks[c])) for c in range(len(cells)) if cells[c][0] == i]
+            out.append((name, first[f"n{i}"], *[float(lo + (hi - lo) * part) for lo, hi, part in own]))
+    schema = "column string, n long" + "".join(f", p{j} double" for j in range(len(probabilities)))
+    return df.sparkSession.createDataFrame(out, schema)
+
+
 def exact_median(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
     return exact_percentiles(df, value, [0.5], by).withColumnRenamed("p0", "median")
 

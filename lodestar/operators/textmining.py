@@ -4,9 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
-import pandas as pd
-from pyspark.ml import Pipeline
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import keyword_only
+from pyspark.ml import Pipeline, Transformer
 from pyspark.ml.feature import IDF, HashingTF, NGram, StopWordsRemover, Tokenizer
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.param.shared import HasInputCol, HasOutputCol
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -102,26 +107,49 @@ def porter_stem(word: str) -> str:
     return word
 
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def _stem_arrays(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    known: dict[str, str] = {}
+@F.arrow_udf(T.ArrayType(T.StringType()))
+def _stem_arrays(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    known: dict[str | None, str | None] = {None: None}
 
-    def lookup(word: str) -> str:
+    def lookup(word: str | None) -> str | None:
         if word not in known:
             if len(known) >= STEM_CACHE:
                 known.clear()
+                known[None] = None
             known[word] = porter_stem(word)
         return known[word]
 
     for batch in batches:
-        yield batch.map(lambda tokens: None if tokens is None else [lookup(t) for t in tokens])
+        # the different words of the batch are stemmed, its tokens only point at them
+        coded = batch.flatten().dictionary_encode()
+        stems = pa.array([lookup(w) for w in coded.dictionary.to_pylist()], pa.string()).take(coded.indices)
+        sizes = pc.fill_null(pc.list_value_length(batch), 0).to_numpy(zero_copy_only=False)
+        ends = pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32())
+        yield pa.ListArray.from_arrays(ends, stems, mask=batch.is_null())
 
 
 def stem(tokens: str | Column) -> Column:
-    """Stems of a token array. Repeated words hit a cache in the worker; no shuffle is needed."""
+    """Stems of a token array. Python sees each different word of a batch once; no shuffle is needed."""
     return _stem_arrays(F.col(tokens) if isinstance(tokens, str) else tokens)
 
 
+class Stemmer(Transformer, HasInputCol, HasOutputCol):
+    """Pipeline stage that replaces the tokens of an array by their stems."""
+
+    @keyword_only
+    def __init__(self, *, inputCol: str | None = None, outputCol: str | None = None):
+        super().__init__()
+        self._set(**self._input_kwargs)
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        return dataset.withColumn(self.getOutputCol(), stem(self.getInputCol()))
+
+
+def vector_norm(features: str) -> Column:
+    x = vector_to_array(features)
+    return F.sqrt(F.aggregate(x, F.lit(0.0), lambda s, v: s + v * v))
+
+
 def positions(df: DataFrame, doc: str, tokens: str | Column) -> DataFrame:
     """``doc, pos, word`` rows of a token array."""
     return unnest(df, tokens, "word", [F.col(doc).alias("doc")], pos="pos")
@@ -182,14 +210,18 @@ def tfidf_top(df: DataFrame, doc: str, tokens: str | Column, k: int = 4, digits:
 
 
 def tfidf_stages(
-    text: str, out: str, num_features: int = 1 << 18, stopwords: Sequence[str] | None = None, ngram: int | None = None
+    text: str, out: str, num_features: int = 1 << 18, stopwords: Sequence[str] | None = None, ngram: int | None = None,
+    stems: bool = False,
 ) -> Pipeline:
-    """Tokens, optional stop words and n-grams, hashed counts and IDF as one pipeline."""
+    """Tokens, optionally without stop words, as stems, as n-grams, then hashed counts and IDF as one pipeline."""
     stages = [Tokenizer(inputCol=text, outputCol="_words")]
     last = "_words"
     if stopwords is not None:
         stages.append(StopWordsRemover(inputCol=last, outputCol="_kept", stopWords=list(stopwords)))
         last = "_kept"
+    if stems:
+        stages.append(Stemmer(inputCol=last, outputCol="_stems"))
+        last = "_stems"
     if ngram:
         stages.append(NGram(n=ngram, inputCol=last, outputCol="_grams"))
         last = "_grams"

@@ -1,9 +1,10 @@
 """Code lists and scores of the road-accident tables, as published with the data.
 
-Code 0 and empty text mean "unknown" and become NULL; codes not listed stay as they are. The long
-vehicle lists (category, obstacle, manoeuvre) are not kept here: pass them as a code table.
+Codes 0 and 00 and empty text mean "unknown" and become NULL; codes not listed stay as they are.
 """
 
+UNKNOWN = ("0", "00", "")
+
 # --- characteristics ---
 LIGHT = {
     "1": "Plein jour", "2": "Crépuscule ou aube", "3": "Nuit sans éclairage public",
@@ -73,6 +74,43 @@ VEHICLES = {
         "1": "Avant", "2": "Avant droit", "3": "Avant gauche", "4": "Arrière", "5": "Arrière droit",
         "6": "Arrière gauche", "7": "Côté droit", "8": "Côté gauche", "9": "Chocs multiples (tonneaux)",
     },
+    "catv": {
+        "01": "Bicyclette", "02": "Cyclomoteur <50cm3",
+        "03": "Voiturette (Quadricycle à moteur carrossé) (anciennement voiturette ou tricycle à moteur)",
+        "04": "Référence plus utilisée depuis 2006 (scooter immatriculé)",
+        "05": "Référence plus utilisée depuis 2006 (motocyclette)",
+        "06": "Référence plus utilisée depuis 2006 (side-car)", "07": "VL seul",
+        "08": "Catégorie plus utilisée (VL + caravane)", "09": "Catégorie plus utilisée (VL + remorque)",
+        "10": "VU seul 1,5T <= PTAC <= 3,5T avec ou sans remorque (anciennement VU seul 1,5T <= PTAC <= 3,5T)",
+        "11": "Référence plus utilisée depuis 2006 (VU (10) + caravane)",
+        "12": "Référence plus utilisée depuis 2006 (VU (10) + remorque)", "13": "PL seul 3,5T <PTCA <= 7,5T",
+        "14": "PL seul > 7,5T", "15": "PL > 3,5T + remorque", "16": "Tracteur routier seul",
+        "17": "Tracteur routier + semi-remorque", "18": "Référence plus utilisée depuis 2006 (transport en commun)",
+        "19": "Référence plus utilisée depuis 2006 (tramway)", "20": "Engin spécial", "21": "Tracteur agricole",
+        "30": "Scooter < 50 cm3", "31": "Motocyclette > 50 cm et <= 125 cm", "32": "Scooter > 50 cm et <= 125 cm",
+        "33": "Motocyclette > 125 cm", "34": "Scooter > 125 cm",
+        "35": "Quad léger <= 50 cm (Quadricycle à moteur non carrossé)",
+        "36": "Quad lourd > 50 cm (Quadricycle à moteur non carrossé)", "37": "Autobus", "38": "Autocar", "39": "Train",
+        "40": "Tramway", "99": "Autre véhicule",
+    },
+    "obs": {
+        "01": "Véhicule en stationnement", "02": "Arbre", "03": "Glissière métallique", "04": "Glissière béton",
+        "05": "Autre glissière", "06": "Bâtiment, mur, pile de pont",
+        "07": "Support de signalisation verticale ou poste d’appel d’urgence", "08": "Poteau", "09": "Mobilier urbain",
+        "10": "Parapet", "11": "Ilot, refuge, borne haute", "12": "Bordure de trottoir",
+        "13": "Fossé, talus, paroi rocheuse", "14": "Autre obstacle fixe sur chaussée",
+        "15": "Autre obstacle fixe sur trottoir ou accotement", "16": "Sortie de chaussée sans obstacle",
+    },
+    "manv": {
+        "01": "Sans changement de direction", "02": "Même sens, même file", "03": "Entre 2 files",
+        "04": "En marche arrière", "05": "A contresens", "06": "En franchissant le terre-plein central",
+        "07": "Dans le couloir bus, dans le même sens", "08": "Dans le couloir bus, dans le sens inverse",
+        "09": "En s’insérant", "10": "En faisant demi-tour sur la chaussée", "11": "Changeant de file à gauche",
+        "12": "Changeant de file à droite", "13": "Déporté à gauche", "14": "Déporté à droite", "15": "Tournant à gauche",
+        "16": "Tournant à droite", "17": "Dépassant à gauche", "18": "Dépassant à droite", "19": "Traversant la chaussée",
+        "20": "Manœuvre de stationnement", "21": "Manœuvre d’évitement", "22": "Ouverture de porte",
+        "23": "Arrêté (hors stationnement)", "24": "En stationnement (avec occupants)",
+    },
 }
 
 # --- users ---

@@ -144,7 +144,7 @@ def accident_scores(characteristics: DataFrame, year: int | None = 2017) -> Data
 
 def recode_columns(df: DataFrame, tables: dict[str, dict[str, str]]) -> DataFrame:
     """Labels for every column that has a code list."""
-    return df.withColumns({c: recode(c, table) for c, table in tables.items() if c in df.columns})
+    return df.withColumns({c: recode(c, table, codes.UNKNOWN) for c, table in tables.items() if c in df.columns})
 
 
 def accident_users(usa: DataFrame) -> DataFrame:
@@ -155,10 +155,11 @@ def accident_users(usa: DataFrame) -> DataFrame:
 
 
 def accident_vehicles(veh: DataFrame, category_codes: DataFrame | None = None) -> DataFrame:
-    """Vehicles with labels; ``category_codes(code, label)`` names the categories."""
+    """Vehicles with labels; ``category_codes(code, label)`` names categories in place of the published list."""
     rows = veh if category_codes is None else recode_join(veh, "catv", category_codes)
+    tables = codes.VEHICLES if category_codes is None else {c: v for c, v in codes.VEHICLES.items() if c != "catv"}
     other = F.lit("(Other)")
-    return recode_columns(rows, codes.VEHICLES).select(
+    return recode_columns(rows, tables).select(
         "Num_Acc", "num_veh", F.col("catv").alias("vehic_category"), F.coalesce("choc", other).alias("vehic_choc"),
         F.coalesce("manv", other).alias("vehic_manoeuvre"),
     )

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lodestar.operators import aggregates as A
 from lodestar.operators import metrics as M
+from lodestar.plans.queries_rows import hash_sql
 from lodestar.plans.registry import query
 
 STOP = ("the", "and", "of", "to", "in", "a", "is", "that", "for", "it", "as", "on", "with", "by", "at", "are", "an", "be", "de", "der", "die", "das")
@@ -92,14 +93,25 @@ def _(t):
 
 @query(
     "a10_inverted_index",
-    "WITH w AS (SELECT DISTINCT doc_id, unnest(string_split_regex(text, '[ \\t\\n\\f\\r\\x0B]+')) AS word FROM documents) "
-    "SELECT word, CAST(floor(doc_id / 10000) AS INT) AS part, string_agg(doc_id, ',' ORDER BY doc_id) AS docs "
-    "FROM w WHERE word <> '' GROUP BY ALL",
+    "WITH w AS (SELECT DISTINCT doc_id, unnest(string_split_regex(text, '[ \\t\\n\\f\\r\\x0B]+')) AS word FROM documents), "
+    f"k AS (SELECT CAST(ceil(count(DISTINCT doc_id) / 10000) AS BIGINT) AS parts FROM documents) SELECT word, CAST({hash_sql('doc_id')} % parts AS INT) AS part, "
+    "string_agg(doc_id, ',' ORDER BY doc_id) AS docs FROM w, k WHERE word <> '' GROUP BY ALL",
 )
 def _(t):
     return A.inverted_index(t.documents, "doc_id", "text")
 
 
+@query(
+    "a10_inverted_index_names",
+    "WITH w AS (SELECT DISTINCT 'page' || conv_id || '.txt' AS name, unnest(string_split_regex(text, '[ \\t\\n\\f\\r\\x0B]+')) AS word FROM conversations), "
+    f"k AS (SELECT CAST(ceil(count(DISTINCT conv_id) / 100) AS BIGINT) AS parts FROM conversations) SELECT word, CAST({hash_sql('name')} % parts AS INT) AS part, "
+    "string_agg(name, ',' ORDER BY name) AS docs FROM w, k WHERE word <> '' GROUP BY ALL",
+)
+def _(t):
+    files = t.conversations.select(F.format_string("page%d.txt", "conv_id").alias("name"), "text")
+    return A.inverted_index(files, "name", "text", chunk=100)
+
+
 @query(
     "a11_pair_count",
     "SELECT least(a, b) AS a, greatest(a, b) AS b, count(*) AS n FROM (SELECT x.p_brand AS a, y.p_brand AS b FROM lineitem JOIN part x ON "

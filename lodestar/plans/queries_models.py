@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
+from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.feature import MinMaxScaler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
@@ -14,7 +14,7 @@ from lodestar.operators import models as ML
 from lodestar.operators import robust as RB
 from lodestar.operators.clustering import as_vector, assemble
 from lodestar.operators.rows import split_weights
-from lodestar.operators.scaling import materialise
+from lodestar.operators.scaling import materialise, union_all
 from lodestar.operators.textmining import tfidf_hashed
 from lodestar.plans.queries_rows import fraction_sql
 from lodestar.plans.registry import query
@@ -312,11 +312,21 @@ def _(t):
 def _(t):
     estimator = ML.trees("tree", "classify")
     maps = ML.grid(estimator, {"maxDepth": [3, 5]})
-    train, _ = _vectors(t)
-    _, table = ML.grid_search(train, estimator, maps, MulticlassClassificationEvaluator(metricName="f1"), ["vec_id"], folds=5, seed=7)
+    rows = union_all(_vectors(t))
+    _, table = ML.grid_search(rows, estimator, maps, MulticlassClassificationEvaluator(metricName="f1"), ["vec_id"], folds=5, seed=7)
     return table
 
 
+@query("ml17_auc_search")
+def _(t):
+    two_classes = F.when(F.col("label") >= 5, 1.0).otherwise(0.0)
+    rows = union_all(_vectors(t)).withColumn("label", two_classes)
+    estimator = ML.logistic(maxIter=20)
+    maps = ML.grid(estimator, {"regParam": [0.001, 0.01, 0.1, 1.0]})
+    _, table = ML.grid_search(rows, estimator, maps, BinaryClassificationEvaluator(metricName="areaUnderROC"), ["vec_id"], folds=5)
+    return table.withColumns({c: F.round(c, 6) for c in ("score", "score_std")})
+
+
 @query("ml17_random_search")
 def _(t):
     estimator = ML.linear(kind="ridge")

@@ -128,14 +128,19 @@ def _(t):
 
 @query(
     "v03_pivot_two_ids",
-    "SELECT user_id, strftime(CAST(ts AS DATE), '%Y-%m-%d') AS day, round(max(CASE WHEN event_type = 'click' THEN value END), 4) AS click, round(min(CASE WHEN event_type = 'click' THEN value END), 4) AS low "
-    "FROM events GROUP BY ALL",
+    "SELECT user_id, strftime(CAST(ts AS DATE), '%Y-%m-%d') AS day, "
+    + ", ".join(
+        f"round({agg}(CASE WHEN event_type = '{e}' THEN value END), 4) AS {e}_{name}"
+        for agg, name in (("max", "high"), ("min", "low")) for e in ("click", "error", "purchase", "signup", "view")
+    )
+    + " FROM events GROUP BY ALL",
 )
 def _(t):
     rows = t.events.select("user_id", F.date_format("ts", "yyyy-MM-dd").alias("day"), "event_type", "value")
-    high = V.pivot_table(rows, ["user_id", "day"], "event_type", "value", "max", ["click"])
-    low = V.pivot_table(rows, ["user_id", "day"], "event_type", "value", "min", ["click"]).withColumnRenamed("click", "low")
-    return high.join(low, ["user_id", "day"]).withColumns({c: F.round(c, 4) for c in ("click", "low")})
+    ids = ["user_id", "day"]
+    parts = {name: V.pivot_table(rows, ids, "event_type", "value", agg) for name, agg in (("high", "max"), ("low", "min"))}
+    high, low = (part.select(*ids, *[F.round(c, 4).alias(f"{c}_{name}") for c in part.columns if c not in ids]) for name, part in parts.items())
+    return high.join(low, ids)
 
 
 @query(

@@ -114,6 +114,15 @@ def _(t):
     return plain_tokens(t).select("doc_id", F.array_join(TM.stem("tokens"), " ").alias("stems"))
 
 
+@query("t09_stemmed_bigrams")
+def _(t):
+    """Stop words out, stems, bigrams, hashed TF-IDF of the plain words: one pipeline."""
+    words = t.documents.select("doc_id", F.lower(X.strip_punct("text")).alias("text"))
+    model = TM.tfidf_stages("text", "features", 1 << 18, sorted(STOP), 2, stems=True).fit(words)
+    out = model.transform(words)
+    return out.select("doc_id", F.size("_grams").cast("long").alias("n_bigrams"), F.round(TM.vector_norm("features"), 6).alias("norm"))
+
+
 @query(
     "t09_ngrams",
     f"SELECT a.word || ' ' || b.word AS gram, count(*) AS n FROM ({POS_SQL}) a JOIN ({POS_SQL}) b ON a.doc = b.doc AND b.pos = a.pos + 1 GROUP BY ALL",

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lodestar.operators import timeseries as TS
+from lodestar.operators.reshape import column_values
+from lodestar.plans import accident_codes as codes
 from lodestar.plans import jobs
 from lodestar.plans.registry import query
 
@@ -56,9 +58,6 @@ def _(t):
     return TS.seasonality(t.orders, "o_orderdate", "o_totalprice").withColumn("mean", F.round("mean", 4))
 
 
-_DAYS = [f"1/{d}/24" for d in range(1, 31)]
-
-
 def _cases(t):
     """Errors per nation of the user (user id as customer key) in one column per day, running over the month."""
     named = t.events.join(t.customer, F.col("user_id") == F.col("c_custkey")).join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
@@ -66,14 +65,15 @@ def _cases(t):
         F.col("c_mktsegment").alias("Province"), F.when(F.col("n_name") == "NATION_1", "US").otherwise(F.col("n_name")).alias("Country"),
         F.lit(0.0).alias("Lat"), F.lit(0.0).alias("Long"), F.date_format("ts", "M/d/yy").alias("day"),
     )
-    return daily.groupBy("Province", "Country", "Lat", "Long").pivot("day", _DAYS).agg(F.count(F.lit(1)))
+    # the days are those of the events
+    return daily.groupBy("Province", "Country", "Lat", "Long").pivot("day", column_values(daily, "day")).agg(F.count(F.lit(1)))
 
 
 _PANEL_SQL = (
     "WITH c AS (SELECT CASE WHEN n_name = 'NATION_1' THEN 'USA' ELSE n_name END AS \"Country\", 'A' || n_nationkey AS alpha3, n_regionkey AS region, n_nationkey AS k FROM nation), "
     "pop AS (SELECT c_nationkey AS k, CAST(count(*) AS DOUBLE) * 1000 AS total_pop, count(CASE WHEN c_acctbal > 5000 THEN 1 END) * 1000.0 AS pop_65up FROM customer GROUP BY c_nationkey), "
-    "d AS (SELECT c_nationkey AS k, CAST(ts AS DATE) AS date, count(*) AS value FROM events JOIN customer ON user_id = c_custkey WHERE CAST(ts AS DATE) <= DATE '2024-01-30' GROUP BY ALL), "
-    "g AS (SELECT k, date, sum(coalesce(value, 0)) AS value FROM (SELECT DISTINCT k FROM d) CROSS JOIN (SELECT unnest(generate_series(DATE '2024-01-01', DATE '2024-01-30', INTERVAL 1 DAY))::DATE AS date) LEFT JOIN d USING (k, date) GROUP BY ALL), "
+    "d AS (SELECT c_nationkey AS k, CAST(ts AS DATE) AS date, count(*) AS value FROM events JOIN customer ON user_id = c_custkey GROUP BY ALL), "
+    "g AS (SELECT k, date, sum(coalesce(value, 0)) AS value FROM (SELECT DISTINCT k FROM d) CROSS JOIN (SELECT DISTINCT date FROM d) LEFT JOIN d USING (k, date) GROUP BY ALL), "
     "f AS (SELECT k, min(date) AS first FROM g WHERE value >= {threshold} GROUP BY k) "
     "SELECT alpha3, \"Country\", CAST(region AS VARCHAR) AS region, strftime(date, '%Y-%m-%d') AS date, CAST(value AS DOUBLE) AS value, CAST(date - first AS INT) AS day, round(value / (total_pop / 1000000), 6) AS rate_1M_pop, "
     "round(value / (nullif(pop_65up, 0) / 1000000), 6) AS rate_1M_pop_65up FROM g JOIN f USING (k) JOIN c USING (k) JOIN pop USING (k) WHERE date >= first"
@@ -98,7 +98,7 @@ def _panel(t, threshold, top=None):
             )
         ).alias("s"),
     ).select("alpha3", "s.*")
-    cases = _cases(t).na.fill(0, _DAYS)
+    cases = _cases(t).na.fill(0)
     panel = jobs.epidemic_panel(cases, countries, series, threshold=threshold, top=top)
     return panel.select(
         "alpha3", "Country", "region", F.date_format("date", "yyyy-MM-dd").alias("date"), "value", "day", F.round("rate_1M_pop", 6).alias("rate_1M_pop"),
@@ -145,8 +145,9 @@ def _accidents(t):
     )
     lieux = o.select(F.col("o_orderkey").alias("Num_Acc"), F.col("o_orderpriority").alias("catr"), F.col("o_orderstatus").alias("nbv"))
     keys = t.lineitem.select(F.col("l_orderkey").alias("Num_Acc"), F.col("l_linenumber").alias("num_veh"), "l_partkey", "l_suppkey")
-    veh = keys.groupBy("Num_Acc", "num_veh").agg(F.min("l_suppkey").cast("string").alias("catv")).select(
-        "*", F.lit(None).cast("string").alias("choc"), F.lit("1").alias("manv")
+    two = lambda c, n: F.lpad(code(c, n), 2, "0")
+    veh = keys.groupBy("Num_Acc", "num_veh").agg(F.min("l_suppkey").alias("s"), F.min("l_partkey").alias("p")).select(
+        "Num_Acc", "num_veh", two("s", 42).alias("catv"), code("p", 10).alias("choc"), two("p", 26).alias("manv"), two("s", 17).alias("obs")
     )
     usa = keys.select("Num_Acc", "num_veh", code("l_partkey", 5).alias("grav"), code("l_suppkey", 33).alias("secu"))
     return car, lieux, veh, usa
@@ -170,6 +171,30 @@ def _(t):
     )
 
 
+def _labels_sql(column: str, table: dict[str, str]) -> str:
+    cases = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in table.items())
+    return f"CASE {column} WHEN '0' THEN NULL WHEN '00' THEN NULL {cases} ELSE {column} END"
+
+
+@query(
+    "ts06_vehicle_labels",
+    "WITH v AS (SELECT l_orderkey, l_linenumber, min(l_suppkey) AS s, min(l_partkey) AS p FROM lineitem GROUP BY ALL), c AS (SELECT lpad(CAST(s % 42 AS VARCHAR), 2, '0') AS catv, CAST(p % 10 AS VARCHAR) AS choc, lpad(CAST(p % 26 AS VARCHAR), 2, '0') AS manv FROM v) "
+    f"SELECT {_labels_sql('catv', codes.VEHICLES['catv'])} AS vehic_category, coalesce({_labels_sql('choc', codes.VEHICLES['choc'])}, '(Other)') AS vehic_choc, coalesce({_labels_sql('manv', codes.VEHICLES['manv'])}, '(Other)') AS vehic_manoeuvre, count(*) AS n FROM c GROUP BY ALL",
+)
+def _(t):
+    vehicles = jobs.accident_vehicles(_accidents(t)[2])
+    return vehicles.groupBy("vehic_category", "vehic_choc", "vehic_manoeuvre").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    "p08_obstacles",
+    f"SELECT {_labels_sql('obs', codes.VEHICLES['obs'])} AS obs, count(*) AS n FROM (SELECT lpad(CAST(min(l_suppkey) % 17 AS VARCHAR), 2, '0') AS obs FROM lineitem GROUP BY l_orderkey, l_linenumber) GROUP BY ALL",
+)
+def _(t):
+    rows = jobs.recode_columns(_accidents(t)[2].select("obs"), codes.VEHICLES)
+    return rows.groupBy("obs").agg(F.count(F.lit(1)).alias("n"))
+
+
 def _sales(t):
     """Sales tables made from orders, order lines, parts and customers."""
     o = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))

@@ -1,3 +1,4 @@
+import math
 import pytest
 from pyspark.sql import functions as F
 
@@ -186,3 +187,30 @@ def test_big_city_ties_take_the_smallest_code(spark, rows):
     communes = spark.createDataFrame([("a2", "01", 10), ("a1", "01", 10), ("b1", "2A", 3)], "commune STRING, departement STRING, Population BIGINT")
     places = spark.createDataFrame([("a1", "45.5", "4.5"), ("a2", "1", "1"), ("b1", "NaN", "9.0")], "commune STRING, latitude STRING, longitude STRING")
     assert rows(jobs.big_cities(communes, places)) == [("01", 45.5, 4.5), ("2A", None, 9.0)]
+
+
+def test_vehicle_labels(spark):
+    from lodestar.plans import jobs
+
+    rows = [(1, "A01", "07", "1", "02"), (2, "A01", "00", "0", "00"), (3, "B01", "98", None, ""), (4, "B01", "30", "9", "24")]
+    veh = spark.createDataFrame(rows, "Num_Acc INT, num_veh STRING, catv STRING, choc STRING, manv STRING")
+    got = {r["Num_Acc"]: (r["vehic_category"], r["vehic_choc"], r["vehic_manoeuvre"]) for r in jobs.accident_vehicles(veh).collect()}
+    assert got[1] == ("VL seul", "Avant", "Même sens, même file")
+    assert got[2] == (None, "(Other)", "(Other)")
+    assert got[3] == ("98", "(Other)", "(Other)")
+    assert got[4] == ("Scooter < 50 cm3", "Chocs multiples (tonneaux)", "En stationnement (avec occupants)")
+
+
+def test_stems_and_the_chain_of_bigrams(spark):
+    from lodestar.operators import textmining as TM
+
+    rows = [(1, ["running", "the", "cats", None, "running"]), (2, []), (3, None), (4, ["ponies"])]
+    df = spark.createDataFrame(rows, "id INT, t ARRAY<STRING>")
+    got = {r["id"]: r["s"] for r in df.select("id", TM.stem("t").alias("s")).collect()}
+    assert got == {1: ["run", "the", "cat", None, "run"], 2: [], 3: None, 4: ["poni"]}
+    docs = spark.createDataFrame([(1, "The cats running and ponies"), (2, "cat")], "id INT, text STRING")
+    out = TM.tfidf_stages("text", "f", 1 << 18, ["the", "and"], 2, stems=True).fit(docs).transform(docs)
+    assert {r["id"]: r["_grams"] for r in out.collect()} == {1: ["cat run", "run poni"], 2: []}
+    # ln((2 + 1) / (1 + 1)) per bigram that one of two documents has
+    norm = out.where("id = 1").select(TM.vector_norm("f")).first()[0]
+    assert abs(norm - math.sqrt(2) * math.log(1.5)) < 1e-9

@@ -1,5 +1,7 @@
 """The distributed building blocks, with sizes forced down so that the large paths run."""
 
+import hashlib
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -45,6 +47,19 @@ def test_percentiles_of_nothing(spark):
     assert scaling.exact_median(nulls, "v").first()["median"] == 3.0
 
 
+@pytest.mark.parametrize("rows,accuracy", [(10000, 10000), (10000, 100), (7, 10000)])
+def test_column_percentiles_equal_numpy(spark, skewed, rows, accuracy):
+    marks = [0.0, 0.001, 0.25, 0.5, 0.77, 1.0]
+    wide = skewed.where(F.col("id") < rows).select(F.when(F.col("id") % 10 > 0, F.col("v")).alias("v"), "k", F.lit(None).cast("double").alias("nothing"), (F.col("id") / 7).alias("w"))
+    data = wide.toPandas()
+    got = {r["column"]: r for r in scaling.column_percentiles(wide, ["v", "k", "nothing", "w"], marks, accuracy).collect()}
+    assert set(got) == {"v", "k", "w"}
+    for c, r in got.items():
+        values = data[c].dropna()
+        assert r["n"] == len(values)
+        assert [r[f"p{i}"] for i in range(len(marks))] == pytest.approx(np.quantile(values, marks).tolist())
+
+
 def test_block_product_equals_dense_product(spark):
     rng = np.random.default_rng(0)
     a, b = rng.integers(0, 3, (17, 11)).astype(float), rng.integers(0, 3, (11, 13)).astype(float)
@@ -81,9 +96,16 @@ def test_salted_lookup_keeps_every_row(spark, skewed):
 def test_long_posting_lists_are_split(spark):
     docs = spark.createDataFrame([(i, "all " + ("odd" if i % 2 else "even")) for i in range(10)], "id INT, text STRING")
     out = {(r["word"], r["part"]): r["docs"] for r in aggregates.inverted_index(docs, "id", "text", chunk=6).collect()}
-    assert out == {
-        ("all", 0): "0,1,2,3,4,5", ("all", 1): "6,7,8,9", ("odd", 0): "1,3,5", ("odd", 1): "7,9", ("even", 0): "0,2,4", ("even", 1): "6,8",
-    }
+    part = {i: int(hashlib.md5(f"{i}:42".encode()).hexdigest()[:8], 16) % 2 for i in range(10)}
+    for word, ids in (("all", range(10)), ("odd", range(1, 10, 2)), ("even", range(0, 10, 2))):
+        for p in (0, 1):
+            assert out.get((word, p)) == (",".join(str(i) for i in ids if part[i] == p) or None)
+
+
+def test_posting_lists_of_file_names(spark):
+    docs = spark.createDataFrame([("b.txt", "x y x"), ("a.txt", "x"), ("a.txt", "y"), (None, "z")], "name STRING, text STRING")
+    out = {r["word"]: r["docs"] for r in aggregates.inverted_index(docs, "name", "text").collect()}
+    assert out == {"x": "a.txt,b.txt", "y": "a.txt,b.txt", "z": ""}
 
 
 def test_top_k_limits_before_the_shuffle(spark, skewed):
