@@ -2,8 +2,9 @@
 
 A conversation is the concatenation of its turns, each written as ``<s ROLE>BODY</s>``. The parser is
 deterministic: it cuts at every ``</s>``, takes the role up to the first ``>`` and undoes escapes. A text is
-written as it is when its rendered turn parses back to the same turn; otherwise its control strings (and
-backslashes) are replaced by two-character codes, after which no control string is left in it.
+written as it is when it holds no control string and its rendered turn parses back to the same turn; otherwise its control
+strings (and backslashes) are replaced by two-character codes, after which none is left in it. Every turn as
+written is then parsed again and compared with its source, role and text; a difference is an error.
 
 Defined results: turns are ordered by ``turn, role, text`` (nulls first), so ties and repeated rows have a
 fixed order and all stay; a null text or role is an empty one; rows with a null ``conv_id`` form one
@@ -74,9 +75,14 @@ def format_turns(turns: DataFrame) -> DataFrame:
     same = (
         (F.size(found) == 1) & (found[0]["role"] == F.col("role")) & (found[0]["text"] == F.col("text"))
     )
-    checked = rows.withColumn("escaped", ~same)
+    holds = reduce(lambda a, b: a | b, [F.contains("text", F.lit(s)) for s in CODES])
+    checked = rows.withColumn("escaped", holds | ~same)
     body = F.when(F.col("escaped"), escape(F.col("text"))).otherwise(F.col("text"))
-    return checked.withColumn("rendered", render_turn(F.col("role"), body))
+    written = checked.withColumn("rendered", render_turn(F.col("role"), body))
+    again = parse(F.col("rendered"))
+    whole = (F.size(again) == 1) & (again[0]["role"] == F.col("role")) & (again[0]["text"] == F.col("text"))
+    differs = F.raise_error(F.lit("a turn does not parse back to its source"))
+    return written.withColumn("rendered", F.when(whole, F.col("rendered")).otherwise(differs))
 
 
 def format_conversations(turns: DataFrame) -> DataFrame:
