@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lodestar.functions import columns as C
+from lodestar.operators.tablefunctions import flag_columns
 from lodestar.plans.registry import query
 
 
@@ -375,3 +376,14 @@ def _(t):
     )
     records = t.orders.select(line.alias("value"))
     return C.parse_weather(records).groupBy("year", "temp").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    "f02_flag_columns",
+    "SELECT o_orderkey, tags, CAST(list_contains(string_split(tags, ','), '1-URGENT') AS INT) AS \"1-URGENT\", CAST(list_contains(string_split(tags, ','), 'F') AS INT) AS \"F\", CAST(list_contains(string_split(tags, ','), 'O') AS INT) AS \"O\", "
+    "CAST(CAST(list_contains(string_split(tags, ','), '1-URGENT') AS INT) AS VARCHAR) || CAST(CAST(list_contains(string_split(tags, ','), 'F') AS INT) AS VARCHAR) || CAST(CAST(list_contains(string_split(tags, ','), 'O') AS INT) AS VARCHAR) AS code "
+    "FROM (SELECT o_orderkey, o_orderpriority || ',' || o_orderstatus AS tags FROM orders)",
+)
+def _(t):
+    rows = t.orders.select("o_orderkey", F.concat_ws(",", "o_orderpriority", "o_orderstatus").alias("tags"))
+    return flag_columns(rows, "tags", ["1-URGENT", "F", "O"])

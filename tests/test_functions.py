@@ -214,3 +214,17 @@ def test_stems_and_the_chain_of_bigrams(spark):
     # ln((2 + 1) / (1 + 1)) per bigram that one of two documents has
     norm = out.where("id = 1").select(TM.vector_norm("f")).first()[0]
     assert abs(norm - math.sqrt(2) * math.log(1.5)) < 1e-9
+
+
+def test_columns_found_when_the_call_is_analysed(spark):
+    from lodestar.operators.tablefunctions import flag_columns
+
+    df = spark.createDataFrame([(1, "css,html"), (2, None), (3, "css"), (4, "other,")], "id INT, tags STRING")
+    out = flag_columns(df, "tags", ["html", "css"])
+    assert out.columns == ["id", "tags", "html", "css", "code"]
+    assert sorted((r["id"], r["html"], r["css"], r["code"]) for r in out.collect()) == [(1, 1, 1, "11"), (2, 0, 0, "00"), (3, 0, 1, "01"), (4, 0, 0, "00")]
+    assert flag_columns(df, "tags", ["js"]).columns == ["id", "tags", "js", "code"]
+    assert flag_columns(df.where("id > 9"), "tags", ["js"]).count() == 0
+    for column, names in (("nothing", ["a"]), ("tags", ["id"]), ("tags", ["a", "a"])):
+        with pytest.raises(Exception, match="no column|there twice"):
+            flag_columns(df, column, names).collect()
