@@ -8,6 +8,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from lodestar.functions.text import decode_tags
+from lodestar.operators import boosting as BO
 from lodestar.operators import groupmodels as GM
 from lodestar.operators import metrics as M
 from lodestar.operators import models as ML
@@ -152,6 +153,17 @@ def _(t):
     return _errors(ML.trees("boosted", "regress", maxDepth=3, maxIter=4).fit(train).transform(test))
 
 
+@query("ml08_leafwise_mean", "SELECT count(*) AS n, round(avg(l_extendedprice), 4) AS mean, true AS better FROM lineitem")
+def _(t):
+    # without a ridge a squared loss keeps the mean, and every tree lowers the error
+    rows = t.lineitem.select(*_NUM, "l_linenumber", "l_extendedprice")
+    model = BO.fit_leafwise(rows, [*_NUM, "l_linenumber"], "l_extendedprice", trees=5, leaves=15, rate=0.3)
+    off = F.avg(F.pow(F.col("prediction") - F.col("l_extendedprice"), 2))
+    return model.predict(rows).agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.avg("prediction"), 4).alias("mean"), (off < F.var_pop("l_extendedprice")).alias("better")
+    )
+
+
 @query("ml09_perceptron")
 def _(t):
     train, test = _vectors(t)
