@@ -111,7 +111,16 @@ def _(t):
     return ML.naive_bayes().fit(train).transform(test).select("vec_id", "prediction")
 
 
-@query("ml06_gaussian_bayes")
+_GAUSS_SQL = (
+    _NB_SQL[: _NB_SQL.index("n AS (")]
+    + "n AS (SELECT label, count(DISTINCT vec_id) AS n FROM x WHERE tr GROUP BY label), e AS (SELECT 1e-9 * max(v) AS e FROM (SELECT var_pop(x) AS v FROM x WHERE tr GROUP BY i)), "
+    "f AS (SELECT label, i, avg(x) AS m, var_pop(x) + max(e) AS v FROM x, e WHERE tr GROUP BY ALL), "
+    "g AS (SELECT x.vec_id, x.label, f.label AS guess, max(ln(n.n)) + sum(-0.5 * ln(v) - (x - m) ** 2 / (2 * v)) AS score FROM x JOIN f USING (i) JOIN n ON n.label = f.label WHERE NOT tr GROUP BY ALL), "
+    "h AS (SELECT vec_id, label, arg_max(guess, score) AS guess FROM g GROUP BY ALL) SELECT count(*) AS n, avg(CASE WHEN guess = label THEN 1.0 ELSE 0.0 END) AS accuracy FROM h"
+)
+
+
+@query("ml06_gaussian_bayes", _GAUSS_SQL)
 def _(t):
     train, test = _vectors(t)
     return _accuracy(ML.naive_bayes(kind="gaussian").fit(train).transform(test))
