@@ -16,7 +16,8 @@ The scores of a file made by pair merging are minus the merge rank: the ids are
 with that vocabulary, which is not always the one that merging would reach.
 
 Defined results: a null text has null ids, 0 ids and no digest; an empty text has no ids; repeated rows each get their row;
-an empty table gives no rows; other columns are ignored.
+an empty table gives no rows; other columns are ignored. Decoding gives U+FFFD for ids that the vocabulary lacks and for bytes that
+are no whole character.
 """
 
 from __future__ import annotations
@@ -33,6 +34,7 @@ from pyspark.sql import DataFrame
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
 CACHED_WORDS = 400_000
+LOST = "\ufffd".encode()
 
 
 @dataclass
@@ -231,11 +233,35 @@ class Encoder:
 
 
 def decode(ids: list[int], vocabulary: Vocabulary) -> str:
+    """The text of the ids. An id that is null or not in the vocabulary, and bytes that are no whole character, become U+FFFD."""
     surface = vocabulary.surface
-    text = b"".join([surface[i] for i in ids]).decode("utf-8", "surrogatepass")
+    try:
+        if min(ids, default=0) < 0:
+            raise IndexError
+        text = b"".join([surface[i] for i in ids]).decode("utf-8", "surrogatepass")
+    except (IndexError, TypeError, UnicodeDecodeError):
+        known = [surface[i] if i is not None and 0 <= i < len(surface) else LOST for i in ids]
+        text = b"".join(known).decode("utf-8", "replace")
     return text[1:] if text[:1] == " " else text
 
 
+def decode_documents(encoded: DataFrame, vocabulary: Vocabulary, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``doc_id``, the ``keep`` columns and ``text`` of ``encoded(doc_id, ids)``; null ids give a null text, no ids an empty one."""
+    rows = encoded.select("doc_id", "ids", *keep)
+    fixed = ["doc_id", *keep]
+    sent = encoded.sparkSession.sparkContext.broadcast(vocabulary)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for start in range(0, whole.num_rows, 1000):
+                batch = whole.slice(start, 1000)
+                texts = [None if ids is None else decode(ids, sent.value) for ids in batch.column("ids").to_pylist()]
+                yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in fixed], pa.array(texts, pa.string())], names=[*fixed, "text"])
+
+    kinds = [f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in fixed]
+    return rows.mapInArrow(run, ", ".join([*kinds, "text string"]))
+
+
 def encode_documents(docs: DataFrame, vocabulary: Vocabulary, keep: tuple[str, ...] = ()) -> DataFrame:
     """``doc_id``, the ``keep`` columns, ``ids``, ``n_ids``, ``decoded_sha256`` (of the text decoded from the ids) and
     ``identical`` (whether it is the source text)."""

@@ -523,3 +523,17 @@ def test_blocks_pack_and_unpack():
     a, b = np.sort(np.random.default_rng(1).integers(0, 2**32, 500)).astype(np.uint32), np.arange(3, dtype=np.int64)
     steps, c = quality._unpack(quality._pack(quality._differences(a), b), np.uint32, np.int64)
     assert (np.cumsum(steps, dtype=np.uint64) == a).all() and (c == b).all()
+
+
+def test_decoding_a_table_and_bad_ids(spark):
+    v = pieces.load_vocabulary(MODEL)
+    texts = [(1, "Über  den\nWolken \U0001f600\u2581", "de", "s"), (2, "", "en", "s"), (3, None, "en", "s"), (1, "again", "en", "s")]
+    encoded = pieces.encode_documents(documents(spark, texts), v, keep=("lang",))
+    back = sorted(((r["doc_id"], r["lang"], r["text"]) for r in pieces.decode_documents(encoded, v, keep=("lang",)).collect()), key=str)
+    assert back == sorted(((i, c, t) for i, t, c, _ in texts), key=str)
+    byte = v.byte_ids
+    assert pieces.decode([byte[0xE2], byte[0x82]], v) == "\ufffd"
+    assert pieces.decode([byte[0x41], -5, len(v.surface), None, byte[0x42]], v) == "A\ufffd\ufffd\ufffdB"
+    assert pieces.decode([], v) == ""
+    bad = spark.createDataFrame([(1, [byte[0xFF], -1], 0), (None, None, 1)], "doc_id long, ids array<int>, text int")
+    assert sorted((str(r["doc_id"]), r["text"]) for r in pieces.decode_documents(bad, v).collect()) == [("1", "\ufffd\ufffd"), ("None", None)]
