@@ -178,7 +178,31 @@ def _vectors(spark: SparkSession, folder: str) -> DataFrame:
     return read(spark, folder, "embeddings").select("vec_id", F.col("embedding").alias("vector"))
 
 
-@_query("op5_embedding_dedup")
+_OP5_SQL = """
+WITH RECURSIVE valid AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda c: c IS NOT NULL AND isfinite(c))) = len(embedding)
+    AND len(list_filter(embedding, lambda c: c <> 0)) > 0
+), unit AS (
+  SELECT DISTINCT vec_id, x, sqrt(list_inner_product(x, x)) AS n FROM valid
+), link AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM unit a JOIN unit b ON a.vec_id <> b.vec_id
+  WHERE list_inner_product(a.x, b.x) / (a.n * b.n) >= 0.9
+), reach AS (
+  SELECT vec_id, vec_id AS root FROM unit UNION SELECT r.vec_id, l.b FROM reach r JOIN link l ON l.a = r.root
+), component AS (
+  SELECT vec_id, min(root) AS root FROM reach GROUP BY vec_id
+), links AS (
+  SELECT a AS vec_id, count(*) AS n FROM link GROUP BY a
+)
+SELECT e.vec_id, coalesce(l.n, 0) AS n_links, coalesce(c.root, e.vec_id) AS component_id,
+  e.vec_id IS NULL OR coalesce(c.root, e.vec_id) = e.vec_id AS kept
+FROM embeddings e LEFT JOIN links l USING (vec_id) LEFT JOIN component c USING (vec_id)
+"""
+
+
+@_query("op5_embedding_dedup", _OP5_SQL)
 def op5_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return embeddup.near_duplicates(_vectors(spark, folder))
 
