@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-EARTH_RADIUS_KM = 6373.0
+EARTH_RADIUS_KM = 6373.0  # fixed value: the radius in km that the distances must use
 
 
 def col(c: str | Column) -> Column:

@@ -104,15 +104,32 @@ def inverted_index(docs: DataFrame, doc: str, column: str, sep: str = ",", chunk
     )
 
 
-def basket_pairs(items: DataFrame, basket: str, item: str) -> DataFrame:
-    """Unordered pairs of different items of a basket, one row per basket and pair, ready for ``pair_count``.
+def basket_pairs(items: DataFrame, basket: str, item: str, chunk: int = 1024) -> DataFrame:
+    """Unordered pairs of different items of a basket, ``basket, a, b`` with ``a < b``, ready for ``pair_count``.
 
-    A basket is one sorted array; its pairs come out of it item by item, so nothing is joined. The output
-    of a basket grows with the square of its size, as its pairs do.
+    A basket is cut by a hash of the item into chunks of about ``chunk`` items. A small one is one sorted array whose pairs come
+    out of it item by item; of larger ones each two chunks meet in a row of their own, so no basket, however full, is one
+    array or one task. The output of a basket grows with the square of its size, as its pairs do.
     """
-    baskets = items.where(F.col(item).isNotNull()).groupBy(basket).agg(F.sort_array(F.collect_set(item)).alias("_items"))
-    first = baskets.select(basket, "_items", F.posexplode("_items").alias("_at", "a"))
-    return first.select(basket, "a", F.explode(F.slice("_items", F.col("_at") + 2, F.size("_items"))).alias("b"))
+    rows = items.where(F.col(item).isNotNull()).select(basket, F.col(item).alias("_item")).distinct()
+    sizes = rows.groupBy(basket).agg(F.count(F.lit(1)).alias("_n"))
+    large = sizes.where(F.col("_n") > chunk).select(F.col(basket).alias("_large"), F.ceil(F.col("_n") / chunk).alias("_parts"))
+    # few baskets are large; the others keep their rows where they are
+    placed = rows.join(large, F.col(basket).eqNullSafe(F.col("_large")), "left").drop("_large")
+    own = F.coalesce(F.pmod(F.xxhash64("_item"), F.col("_parts")), F.lit(0)).alias("_own")
+    chunks = placed.select(basket, "_item", F.coalesce("_parts", F.lit(1)).alias("_parts"), own)
+    arrays = chunks.groupBy(basket, "_parts", "_own").agg(F.sort_array(F.collect_list("_item")).alias("_items"))
+    first = arrays.select(basket, "_items", F.posexplode("_items").alias("_at", "a"))
+    within = first.select(basket, "a", F.explode(F.slice("_items", F.col("_at") + 2, F.size("_items"))).alias("b"))
+    cut = arrays.where("_parts > 1")
+    left = cut.where(F.col("_own") < F.col("_parts") - 1).select(
+        basket, F.explode(F.sequence(F.col("_own") + 1, F.col("_parts") - 1)).alias("_other"), F.col("_items").alias("_first")
+    )
+    right = cut.select(F.col(basket).alias("_basket"), F.col("_own").alias("_other2"), F.col("_items").alias("_second"))
+    met = left.join(right, F.col(basket).eqNullSafe(F.col("_basket")) & (F.col("_other") == F.col("_other2")))
+    crossed = met.select(basket, F.explode("_first").alias("x"), "_second").select(basket, "x", F.explode("_second").alias("y"))
+    between = crossed.select(basket, F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+    return within.unionByName(between)
 
 
 def pair_count(pairs: DataFrame, a: str, b: str) -> DataFrame:

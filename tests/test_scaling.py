@@ -122,3 +122,12 @@ def test_configure_applies_what_can_change(spark):
     from lodestar.session import configure
 
     assert configure(spark).conf.get("spark.sql.adaptive.forceOptimizeSkewedJoin") == "true"
+
+
+@pytest.mark.parametrize("chunk", [1024, 6])
+def test_pairs_of_small_and_full_baskets(spark, chunk):
+    full = {"hot": range(50), "small": range(4), None: range(3, 12), "one": [7]}
+    rows = [(g, i) for g, items in full.items() for i in items] + [("hot", 5), ("hot", None)]
+    got = [tuple(r) for r in aggregates.basket_pairs(spark.createDataFrame(rows, "g STRING, i INT"), "g", "i", chunk).collect()]
+    want = [(g, a, b) for g, items in full.items() for a in items for b in items if a < b]
+    assert sorted(got, key=str) == sorted(want, key=str)
