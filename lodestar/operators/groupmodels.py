@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestar.operators.models import per_group_models
-from lodestar.operators.scaling import Rounds, exact_median, materialise, salted_lookup
+from lodestar.operators.scaling import Rounds, exact_median, hot_keys, materialise, salted_lookup
 
 HALVINGS = 30
 _MAD = 0.6744897501960817  # fixed value: the upper quartile of the standard normal distribution
@@ -75,9 +75,10 @@ def _newton(rows: DataFrame, key: str, features: Sequence[str], start: DataFrame
         )
     )
     fixed = [c for c in start.columns if c not in (key, "beta")]
+    hot = hot_keys(rows, [key])
     while not state.where("open").isEmpty():
         asked = state.where("open").select(key, *fixed, "beta")
-        sums = salted_lookup(rows, asked, [key]).groupBy(key).agg(*_products(x, weight, work), F.sum(loss).alias("_loss"))
+        sums = salted_lookup(rows, asked, [key], hot).groupBy(key).agg(*_products(x, weight, work), F.sum(loss).alias("_loss"))
         moved = state.join(sums, key, "left").select(
             key, *fixed, "beta", "held", "best", "halved", "open", "rounds",
             F.when(F.col("open"), advance("beta", "held", "best", "halved", "_xx", "_xw", "_loss")).alias("_s"),

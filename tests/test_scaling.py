@@ -93,6 +93,18 @@ def test_salted_lookup_keeps_every_row(spark, skewed):
     assert joined.count() == 10000 and set(joined.columns) == {"id", "k", "v", "n"}
 
 
+def test_salted_lookup_repeats_only_hot_keys(spark, skewed):
+    lookup = skewed.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+    want = sorted(tuple(r) for r in skewed.join(lookup, "k").collect())
+    hot = scaling.hot_keys(skewed, ["k"], 500)
+    assert {r["k"]: r["_salts"] for r in hot.collect()} == {r["k"]: -(-r["n"] // 500) for r in lookup.where("n > 500").collect()}
+    assert 0 < hot.count() < lookup.count()
+    assert sorted(tuple(r) for r in scaling.salted_lookup(skewed, lookup, ["k"], hot).collect()) == want
+    # no key of these has more than HOT_ROWS rows: nothing is repeated
+    plan = scaling.salted_lookup(skewed, lookup, ["k"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan
+
+
 def test_long_posting_lists_are_split(spark):
     docs = spark.createDataFrame([(i, "all " + ("odd" if i % 2 else "even")) for i in range(10)], "id INT, text STRING")
     out = {(r["word"], r["part"]): r["docs"] for r in aggregates.inverted_index(docs, "id", "text", chunk=6).collect()}
