@@ -290,52 +290,81 @@ def graph_of_words_size(edges: DataFrame) -> DataFrame:
     return nodes.groupBy("doc").agg(F.count(F.lit(1)).alias("nodes"), F.sum("edges").alias("edges"))
 
 
-def directed_triangles(edges: DataFrame) -> DataFrame:
-    """Cycles n1 -> n2 -> n3 -> n1 per document, one row per start.
+_TRIANGLE_PAIRS = 1 << 20  # pairs of neighbours that are compared at once
+
+
+def _cycles(src: np.ndarray, dst: np.ndarray, n: int) -> np.ndarray:
+    """Cycles of three among distinct edges between ``n`` numbered vertices, one row per start.
 
     Pairs of neighbours are taken only at the end with the smallest degree of a triangle: undirected
     edges point to the larger degree, so a word linked to all others starts almost no pair.
     """
-    und = edges.select("doc", F.least("src", "dst").alias("a"), F.greatest("src", "dst").alias("b")).distinct()
-    deg = und.select("doc", F.explode(F.array("a", "b")).alias("node")).groupBy("doc", "node").agg(
-        F.count(F.lit(1)).alias("deg")
-    )
-    placed = (
-        und.join(deg.select("doc", F.col("node").alias("a"), F.col("deg").alias("da")), ["doc", "a"])
-        .join(deg.select("doc", F.col("node").alias("b"), F.col("deg").alias("db")), ["doc", "b"])
-    )
-    low = (F.col("da") < F.col("db")) | ((F.col("da") == F.col("db")) & (F.col("a") < F.col("b")))
-    up = placed.select("doc", F.when(low, F.col("a")).otherwise(F.col("b")).alias("u"),
-                       F.when(low, F.col("b")).otherwise(F.col("a")).alias("v"))
-    first, second = up.withColumnRenamed("v", "v1"), up.withColumnRenamed("v", "v2")
-    wedge = first.join(second, ["doc", "u"]).where(F.col("v1") < F.col("v2"))
-    # both orientations of the three corners, kept when all three directed edges exist
-    spins = wedge.select(
-        "doc",
-        F.explode(
-            F.array(
-                F.struct(F.col("u").alias("x"), F.col("v1").alias("y"), F.col("v2").alias("z")),
-                F.struct(F.col("u").alias("x"), F.col("v2").alias("y"), F.col("v1").alias("z")),
-            )
-        ).alias("t"),
-    ).select("doc", "t.*")
-    found = spins
-    for a, b in (("x", "y"), ("y", "z"), ("z", "x")):
-        found = found.join(edges.select("doc", F.col("src").alias(a), F.col("dst").alias(b)), ["doc", a, b], "left_semi")
-    starts = F.array(
-        F.struct(F.col("x").alias("n1"), F.col("y").alias("n2"), F.col("z").alias("n3")),
-        F.struct(F.col("y").alias("n1"), F.col("z").alias("n2"), F.col("x").alias("n3")),
-        F.struct(F.col("z").alias("n1"), F.col("x").alias("n2"), F.col("y").alias("n3")),
-    )
-    return found.select("doc", F.explode(starts).alias("t")).select("doc", "t.*")
+    directed = np.unique(src * n + dst)
+    und = np.unique(np.minimum(src, dst) * n + np.maximum(src, dst))
+    a, b = und // n, und % n
+    degree = np.bincount(a, minlength=n) + np.bincount(b, minlength=n)
+    low = (degree[a] < degree[b]) | ((degree[a] == degree[b]) & (a < b))
+    up = np.sort(np.where(low, a, b) * n + np.where(low, b, a))
+    u, v = up // n, up % n
+    ends = np.searchsorted(u, np.arange(n), side="right")
+    later = ends[u] - np.arange(len(u)) - 1  # neighbours of the same vertex that follow
+    total = np.concatenate([[0], np.cumsum(later)])
+
+    def known(keys: np.ndarray) -> np.ndarray:
+        return directed[np.minimum(np.searchsorted(directed, keys), len(directed) - 1)] == keys
+
+    out, i = [], 0
+    while i < len(u):
+        j = max(i + 1, int(np.searchsorted(total, total[i] + _TRIANGLE_PAIRS, side="right")) - 1)
+        left = np.repeat(np.arange(i, j), later[i:j])
+        right = left + 1 + np.arange(len(left)) - np.repeat(total[i:j] - total[i], later[i:j])
+        for y, z in ((v[left], v[right]), (v[right], v[left])):
+            x = u[left]
+            ring = known(x * n + y) & known(y * n + z) & known(z * n + x)
+            x, y, z = x[ring], y[ring], z[ring]
+            out += [np.stack(t, axis=1) for t in ((x, y, z), (y, z, x), (z, x, y))]
+        i = j
+    return np.concatenate(out) if out else np.zeros((0, 3), np.int64)
+
+
+def _rings(table: pa.Table) -> list[pa.Array]:
+    """The three corners of the cycles of one document's edges, as words; loops and edges with a null have none."""
+    table = table.filter(pc.not_equal(table.column("src"), table.column("dst")))
+    ends = pa.concat_arrays([*table.column("src").chunks, *table.column("dst").chunks, pa.array([], table.column("src").type)])
+    coded = ends.dictionary_encode()
+    at, n = coded.indices.to_numpy().astype(np.int64), len(coded.dictionary)
+    found = _cycles(at[: len(table)], at[len(table) :], n)
+    return [coded.dictionary.take(pa.array(found[:, i])) for i in range(3)]
+
+
+def directed_triangles(edges: DataFrame) -> DataFrame:
+    """Cycles n1 -> n2 -> n3 -> n1 per document, one row per start. A document's edges meet in one group, in one shuffle."""
+    word = edges.schema["src"].dataType.simpleString()
+
+    def find(table: pa.Table) -> pa.Table:
+        corners = _rings(table)
+        return pa.table([pa.array([table.column("doc")[0].as_py()] * len(corners[0]), table.column("doc").type), *corners], ["doc", "n1", "n2", "n3"])
+
+    schema = f"doc {edges.schema['doc'].dataType.simpleString()}, n1 {word}, n2 {word}, n3 {word}"
+    return edges.where(F.col("doc").isNotNull()).select("doc", "src", "dst").groupBy("doc").applyInArrow(find, schema)
 
 
 def graph_features(edges: DataFrame) -> DataFrame:
-    """``doc, feature, n`` for nodes, edges and directed triangles."""
-    nodes = edges.select("doc", F.explode(F.array("src", "dst")).alias("feature")).distinct()
-    links = edges.select("doc", F.concat_ws(" ", "src", "dst").alias("feature"))
-    rings = directed_triangles(edges).select("doc", F.concat_ws(" ", "n1", "n2", "n3").alias("feature"))
-    return nodes.unionByName(links).unionByName(rings).groupBy("doc", "feature").agg(F.count(F.lit(1)).alias("n"))
+    """``doc, feature, n`` for nodes, edges and directed triangles: all of a document's from one group of its edges."""
+
+    def count(table: pa.Table) -> pa.Table:
+        doc = table.column("doc")[0].as_py()
+        src, dst = (table.column(c).cast(pa.string()) for c in ("src", "dst"))
+        join = lambda *parts: pc.binary_join_element_wise(*parts, " ", null_handling="skip")
+        nodes = pa.chunked_array([*src.chunks, *dst.chunks], pa.string()).unique()
+        links = join(src, dst)
+        rings = join(*[c.cast(pa.string()) for c in _rings(table)]) if doc is not None else pa.array([], pa.string())
+        found = pa.table({"feature": pa.chunked_array([nodes, *links.chunks, rings], pa.string())}).group_by("feature").aggregate([([], "count_all")])
+        docs = pa.array([doc] * len(found), table.column("doc").type)
+        return pa.table([docs, found.column("feature"), found.column("count_all")], ["doc", "feature", "n"])
+
+    schema = f"doc {edges.schema['doc'].dataType.simpleString()}, feature string, n long"
+    return edges.select("doc", "src", "dst").groupBy("doc").applyInArrow(count, schema)
 
 
 def attach_vectors(vocab: DataFrame, vectors: DataFrame, dim: int, seed: int = 42, limit: float = 0.25) -> DataFrame:

@@ -106,6 +106,28 @@ def test_graph_of_words(spark, rows):
     assert rows(TM.directed_triangles(edges).where("doc = 2").select("n1", "n2", "n3")) == [("a", "b", "c"), ("b", "c", "a"), ("c", "a", "b")]
 
 
+def test_graph_features_against_brute_force_in_one_shuffle(spark, monkeypatch):
+    import random
+    from collections import Counter
+
+    monkeypatch.setattr(TM, "_TRIANGLE_PAIRS", 5)
+    draw = random.Random(3)
+    edges = sorted({(d, *draw.sample("abcdefgh", 2)) for d in (1, 2, 3) for _ in range(12 * d)}) + [(None, "a", "b"), (None, "b", "c"), (None, "c", "a"), (4, "x", "y"), (4, "x", "y")]
+    want = Counter()
+    for doc in {e[0] for e in edges}:
+        own = [e[1:] for e in edges if e[0] == doc]
+        want.update({(doc, w): 1 for e in own for w in e})
+        want.update((doc, " ".join(e)) for e in own)
+        if doc is not None:  # documents without a key have no triangles
+            want.update((doc, f"{a} {b} {c}") for a, b in set(own) for x, c in set(own) if x == b and (c, a) in own)
+    df = spark.createDataFrame(edges, "doc INT, src STRING, dst STRING")
+    found = TM.graph_features(df)
+    assert {(r["doc"], r["feature"]): r["n"] for r in found.collect()} == want
+    assert {(r["doc"], f"{r['n1']} {r['n2']} {r['n3']}") for r in TM.directed_triangles(df).collect()} == {k for k in want if k[1].count(" ") == 2}
+    plan = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("Exchange") == 1 and "Join" not in plan
+
+
 def test_recode_nulls_and_unknown(spark):
     df = spark.createDataFrame([("1",), ("0",), ("",), ("7",), (None,)], "c STRING")
     assert [r[0] for r in df.select(C.recode("c", {"1": "one"})).collect()] == ["one", None, None, "7", None]
