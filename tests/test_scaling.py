@@ -143,3 +143,25 @@ def test_pairs_of_small_and_full_baskets(spark, chunk):
     got = [tuple(r) for r in aggregates.basket_pairs(spark.createDataFrame(rows, "g STRING, i INT"), "g", "i", chunk).collect()]
     want = [(g, a, b) for g, items in full.items() for a in items for b in items if a < b]
     assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def test_block_product_adds_up_in_the_task(spark):
+    """Over all inner keys at once: cells are not shuffled a second time, as they were once per block of inner keys."""
+    rng = np.random.default_rng(5)
+    a, b = (np.where(rng.random((n, 400)) < 0.03, rng.integers(1, 9, (n, 400)), 0).astype(float) for n in (12, 30))
+    a[:, 7] = 1.0  # a key in every row
+    a[3] = 2.0  # a row with every key
+    frame = lambda m, r, c: spark.createDataFrame([(int(i), int(j), float(m[i, j])) for i, j in zip(*np.nonzero(m))], [r, c, "value"])
+    left, right = scaling.materialise(frame(a, "row", "k")), scaling.materialise(frame(b.T, "k", "col"))
+    once = scaling.block_product(left, right, size=64)
+    assert "HashAggregate" not in once._jdf.queryExecution().executedPlan().toString()
+    for out in (once, scaling.block_product(left, right, size=64, entries=90)):  # the second cuts the keys of the full row
+        got = np.zeros((12, 30))
+        for r in out.collect():
+            assert r["value"] != 0 and got[r["row"], r["col"]] == 0
+            got[r["row"], r["col"]] = r["value"]
+        assert np.array_equal(got, a @ b.T)
+    asked = [(int(i), int(j)) for i, j in zip(rng.integers(0, 12, 80), rng.integers(0, 30, 80))]
+    mask = spark.createDataFrame(asked, ["row", "col"])
+    got = {(r["row"], r["col"]): r["value"] for r in scaling.block_product(left, right, mask, entries=400).collect()}
+    assert got == {k: (a @ b.T)[k] for k in asked if (a @ b.T)[k]}
