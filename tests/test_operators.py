@@ -4,8 +4,10 @@ import random
 import numpy as np
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
+from lodestar.functions.columns import hash_fraction
 from lodestar.operators import aggregates as A
 from lodestar.operators import graph as G
 from lodestar.operators import joins as J
@@ -15,6 +17,7 @@ from lodestar.operators import neighbours as N
 from lodestar.operators import recommend as R
 from lodestar.operators import reshape as V
 from lodestar.operators import rows as W
+from lodestar.operators import scaling
 from lodestar.operators import timeseries as TS
 from lodestar.operators.clustering import assemble
 from lodestar.sources import readers, sinks
@@ -339,6 +342,14 @@ def test_inliers_drop_the_wild_rows(spark, line):
     assert kept.count() == 320 and kept.where("w > 0").count() < line.where("w > 0").count()
 
 
+def test_a_code_that_no_row_has_is_not_predicted(spark):
+    """Training rows without a code are a class of the indexer that has no text."""
+    data = [(i, None if i % 3 else "ab"[i % 2], [float(i % 3 > 0), 1.0]) for i in range(60)]
+    df = spark.createDataFrame(data, "id long, code string, v array<double>").withColumn("features", array_to_vector("v"))
+    out = ML.fit_tag_code(df, df, "code", ML.logistic(multinomial=True, maxIter=10)).collect()
+    assert len(out) == 60 and {r["predicted_code"] for r in out} <= {"a", "b"}
+
+
 def test_group_models_equal_regression_aggregates(spark, line):
     models = {r["g"]: r["coefficients"] for r in ML.per_group_models(line, "g", ["x"], "clean").collect()}
     for r in ML.per_group_lines(line, "g", "x", "clean").collect():
