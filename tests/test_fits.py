@@ -157,3 +157,37 @@ def test_merges_of_copies_and_of_one_row(spark):
     merges = LK.linkage(df, "id", "v")
     assert merges.count() == 6 and merges.agg(F.sum("height")).first()[0] == pytest.approx(np.sqrt(2 * 6 / 7))
     assert LK.linkage(df.where("id = 1"), "id", "v").count() == 0
+
+
+@pytest.mark.parametrize("method", ["ward", "average_squared"])
+def test_rounds_over_blocks_equal_those_within_one(spark, method):
+    """Distributed rounds down to a few clusters, and all rounds in one task, on copies, ties and far values."""
+    rng = np.random.default_rng(4)
+    x = np.concatenate([rng.integers(0, 3, size=(40, 3)).astype(float), rng.normal(size=(30, 3)) * 1e-6 + 1e3, rng.normal(size=(10, 3))])
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, v array<double>")
+    few, one = (sorted(map(tuple, LK.linkage(df, "id", "v", method, size).collect())) for size in (6, 4096))
+    assert few == one and len(one) == 79
+
+
+def test_closest_keeps_every_pair_that_can_be_nearest():
+    rng = np.random.default_rng(5)
+    x = np.concatenate([rng.normal(size=(60, 8)) * 1e-7 + 50, np.ones((20, 8))])
+    c = np.column_stack([rng.integers(1, 9, size=80), rng.random(80), x]).astype(float)
+    for value in LK.LINKAGES.values():
+        n, s = c[:, 0], c[:, 1]
+        square = np.array([[LK._squares(a[None], b[None])[0] for b in x] for a in x])
+        exact = value(n[:, None], s[:, None], n[None, :], s[None, :], square)
+        near = LK.closest(c, c, value)
+        kept = np.isfinite(near)
+        assert (near[kept] == exact[kept]).all()
+        assert (np.sort(near, axis=1)[:, :2] == np.sort(exact, axis=1)[:, :2]).all()
+
+
+def test_linkage_ends_in_one_task(spark, monkeypatch):
+    """2,000 clusters fit in one block, so no round is a Spark job of its own."""
+    def no_round(*_, **__):
+        raise AssertionError("a round over blocks for clusters that fit in one")
+
+    monkeypatch.setattr(LK, "block_top_k", no_round)
+    df = spark.range(300).select("id", F.array(F.rand(1), F.rand(2)).alias("v"))
+    assert LK.linkage(df, "id", "v").count() == 299
