@@ -342,6 +342,46 @@ def test_inliers_drop_the_wild_rows(spark, line):
     assert kept.count() == 320 and kept.where("w > 0").count() < line.where("w > 0").count()
 
 
+def plain_inliers(rows, keys, seed=42):
+    """Rounds of least squares on numpy columns; ``rows`` are ``id, x, y, u0, u1, ...`` with the hash share of each round."""
+    ids, x, y = (np.array([r[i] for r in rows], dtype=float) for i in range(3))
+    known, have, goal, n = np.zeros(len(rows), bool), 0, int(len(rows) * 0.8), 0
+    while have < goal:
+        u = np.array([r[3 + n] for r in rows])
+        train, asked = known | (u < 0.5), np.flatnonzero(~known & (u >= 0.5))
+        slope, start = np.polyfit(x[train], y[train], 1)
+        order = asked[np.lexsort((ids[asked], np.abs(slope * x + start - y)[asked]))]
+        keep = min(len(asked) // 2, goal - have) or min(1, len(asked))
+        known |= np.isin(ids, ids[order[:keep]])
+        have, n = have + keep, n + 1
+    return ids[known].tolist()
+
+
+@pytest.mark.parametrize("copies", [1, 2])
+def test_inliers_equal_a_plain_implementation(spark, line, copies):
+    """Also where rows share a key: they come in together."""
+    wide = line.select("id", "x", "y").unionByName(line.where("id % 50 = 0").selectExpr("id", "x", "y + 1 AS y").limit(8 * (copies - 1)))
+    rows = wide.select("id", "x", "y", *[hash_fraction(["id"], 42 + n) for n in range(20)]).collect()
+    kept = ML.inliers_split(assemble(wide, ["x"]), ML.linear("y"), "y", ["id"])
+    assert sorted(r["id"] for r in kept.collect()) == sorted(plain_inliers(rows, ["id"]))
+
+
+def test_a_round_of_inliers_does_not_shuffle_the_table(spark, line, monkeypatch):
+    numbered = []
+    number = scaling.with_row_number
+    monkeypatch.setattr(scaling, "with_row_number", lambda df, *a: numbered.append(df.count()) or number(df, *a))
+    big = spark.range(20_000).select("id", F.rand(3).alias("x")).withColumn("y", F.col("x") + F.rand(4))
+    kept = ML.inliers_split(assemble(big, ["x"]), ML.linear("y"), "y", ["id"])
+    assert kept.count() == 16_000 and numbered and max(numbered) < 200
+
+
+def test_row_at_every_place(spark):
+    values = [None, None, float("nan"), *[float(v % 7) for v in range(30)]]
+    df = spark.createDataFrame([(v, i) for i, v in enumerate(values)], "v double, i long")
+    order = [i for _, _, i in sorted((0 if v is None else 2 if v != v else 1, 0 if v is None or v != v else v, i) for i, v in enumerate(values))]
+    assert [scaling.row_at(df, ["v", "i"], p).first()["i"] for p in (1, 2, 3, 17, 32, 33)] == [order[p - 1] for p in (1, 2, 3, 17, 32, 33)]
+
+
 def test_a_code_that_no_row_has_is_not_predicted(spark):
     """Training rows without a code are a class of the indexer that has no text."""
     data = [(i, None if i % 3 else "ab"[i % 2], [float(i % 3 > 0), 1.0]) for i in range(60)]
