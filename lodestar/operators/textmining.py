@@ -36,6 +36,8 @@ STEP4 = (
 
 
 STEM_CACHE = 500_000
+TOKEN_ROWS = 1_000
+OFTEN = 1_000
 
 
 def _shape(stem: str) -> str:
@@ -154,15 +156,84 @@ def positions(df: DataFrame, doc: str, tokens: str | Column) -> DataFrame:
     return unnest(df, tokens, "word", [F.col(doc).alias("doc")], pos="pos")
 
 
+def _grouped(batch: pa.RecordBatch) -> tuple[np.ndarray, pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+    """Rows and distinct words of a batch of token arrays ``_t``: row, dictionary, word code, first place of each pair among the
+    positions, and the positions, in order of row, code and position."""
+    tokens = batch.column("_t")
+    lengths = pc.fill_null(pc.list_value_length(tokens), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    flat = tokens.flatten().dictionary_encode(null_encoding="encode")
+    codes = flat.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    row = np.repeat(np.arange(len(lengths)), lengths)
+    pos = np.arange(len(codes)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    order = np.lexsort((codes, row))  # stable: positions stay in order
+    row, codes, pos = row[order], codes[order], pos[order]
+    first = np.flatnonzero((np.diff(row, prepend=-1) != 0) | (np.diff(codes, prepend=-1) != 0))
+    return row[first], flat.dictionary, codes[first], first, pos
+
+
+def _with_tokens(df: DataFrame, doc: str, tokens: str | Column) -> DataFrame:
+    tokens = F.col(tokens) if isinstance(tokens, str) else tokens
+    return df.select(F.col(doc).alias("doc"), tokens.cast("array<string>").alias("_t"))
+
+
+def word_spots(df: DataFrame, doc: str, tokens: str | Column) -> DataFrame:
+    """``doc, size, word, at`` per row of the table and distinct word: the number of the row's tokens and the word's positions. A row's
+    words are gathered where the row is, without a shuffle."""
+    rows = _with_tokens(df, doc, tokens)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for start in range(0, whole.num_rows, TOKEN_ROWS):
+                batch = whole.slice(start, TOKEN_ROWS)
+                row, words, codes, first, pos = _grouped(batch)
+                size = pc.list_value_length(batch.column("_t")).take(pa.array(row))
+                at = pa.ListArray.from_arrays(pa.array(np.append(first, len(pos)), pa.int32()), pa.array(pos, pa.int32()))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc").take(pa.array(row)), size.cast(pa.int32()), words.take(pa.array(codes)), at], names=["doc", "size", "word", "at"]
+                )
+
+    kind = rows.schema["doc"].dataType
+    schema = T.StructType(
+        [T.StructField("doc", kind), T.StructField("size", T.IntegerType()), T.StructField("word", T.StringType()), T.StructField("at", T.ArrayType(T.IntegerType()))]
+    )
+    return rows.mapInArrow(run, schema)
+
+
+def _sized_counts(df: DataFrame, doc: str, tokens: str | Column) -> DataFrame:
+    """``doc, word, n, size`` per document and word; only documents of several rows need a shuffle to come together."""
+    spots = word_spots(df, doc, tokens).where(F.col("word").isNotNull())
+    counts = spots.select("doc", "word", F.size("at").cast("long").alias("n"), "size")
+    if df.groupBy(doc).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").isEmpty():
+        return counts
+    return counts.groupBy("doc", "word").agg(F.sum("n").alias("n"), F.first("size").alias("size"))
+
+
 def doc_term(df: DataFrame, doc: str, tokens: str | Column) -> DataFrame:
     """Count per (document, word)."""
-    words = unnest(df, tokens, "word", [F.col(doc).alias("doc")])
-    return words.groupBy("doc", "word").agg(F.count(F.lit(1)).alias("n"))
+    return _sized_counts(df, doc, tokens).select("doc", "word", "n")
 
 
 def vocabulary(df: DataFrame, doc: str, tokens: str | Column) -> DataFrame:
     """Words with an index 0.. by first appearance over (document, position)."""
-    first = positions(df, doc, tokens).groupBy("word").agg(F.min(F.struct("doc", "pos")).alias("_first"))
+    rows = _with_tokens(df, doc, tokens)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The first place of every word among some rows."""
+        for whole in batches:
+            for start in range(0, whole.num_rows, TOKEN_ROWS):
+                batch = whole.slice(start, TOKEN_ROWS)
+                row, words, codes, first, pos = _grouped(batch)
+                rank = pc.rank(batch.column("doc"), sort_keys="ascending", null_placement="at_start", tiebreaker="dense").to_numpy()
+                pos = pos[first]
+                order = np.lexsort((pos, rank[row], codes))
+                best = order[np.flatnonzero(np.diff(codes[order], prepend=-1))]
+                yield pa.RecordBatch.from_arrays(
+                    [words.take(pa.array(codes[best])), batch.column("doc").take(pa.array(row[best])), pa.array(pos[best], pa.int32())], names=["word", "doc", "pos"]
+                )
+
+    kind = rows.schema["doc"].dataType
+    schema = T.StructType([T.StructField("word", T.StringType()), T.StructField("doc", kind), T.StructField("pos", T.IntegerType())])
+    first = rows.mapInArrow(run, schema).groupBy("word").agg(F.min(F.struct("doc", "pos")).alias("_first"))
     numbered = with_row_number(first.select("word", "_first.doc", "_first.pos"), ["doc", "pos"], "_n")
     return numbered.select("word", (F.col("_n") - 1).alias("index"))
 
@@ -170,36 +241,53 @@ def vocabulary(df: DataFrame, doc: str, tokens: str | Column) -> DataFrame:
 def to_sequences(df: DataFrame, doc: str, tokens: str | Column, vocab: DataFrame, max_len: int | None = None) -> DataFrame:
     """Word ids per document (1-based, words outside the vocabulary left out), padded with 0.
 
-    Positions are gathered per (document, word) before the join, so a frequent word joins once per document.
+    A row's positions are gathered per word before the join, so a frequent word joins once per document, and are put in order
+    after it for a batch of documents at once.
     """
-    spots = positions(df, doc, tokens).groupBy("doc", "word").agg(F.collect_list("pos").alias("at"))
-    ids = spots.join(vocab, "word").select("doc", F.explode("at").alias("pos"), (F.col("index") + 1).alias("id"))
-    rows = ids.groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("pos", "id"))).alias("s"))
-    rows = rows.select("doc", F.col("s.id").alias("ids"))
+    found = word_spots(df, doc, tokens).join(vocab, "word").select("doc", F.struct("at", (F.col("index") + 1).cast("long").alias("id")).alias("s"))
+    whole = found.groupBy("doc").agg(F.collect_list("s").alias("s"))
+
+    def in_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words = batch.column("s")
+            n_words = pc.list_value_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
+            at, ids = words.flatten().flatten()
+            times = pc.list_value_length(at).to_numpy(zero_copy_only=False).astype(np.int64)
+            row = np.repeat(np.repeat(np.arange(len(n_words)), n_words), times)
+            ids = np.repeat(ids.to_numpy(zero_copy_only=False), times)
+            order = np.lexsort((ids, at.flatten().to_numpy(zero_copy_only=False), row))
+            ends = np.searchsorted(row, np.arange(len(n_words) + 1))
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids[order], pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column("doc"), lists], names=["doc", "ids"])
+
+    kind = whole.schema["doc"].dataType
+    schema = T.StructType([T.StructField("doc", kind), T.StructField("ids", T.ArrayType(T.LongType()))])
+    rows = whole.mapInArrow(in_order, schema)
     rows = df.select(F.col(doc).alias("doc")).join(rows, "doc", "left").select(
         "doc", F.coalesce("ids", F.array().cast("array<bigint>")).alias("ids")
     )
+    longest = max_len
     if max_len is None:
         rows = materialise(rows)
-        max_len = rows.agg(F.max(F.size("ids"))).first()[0] or 0
-    padding = F.array_repeat(F.lit(0).cast("long"), F.greatest(F.lit(max_len) - F.size("ids"), F.lit(0)))
-    return rows.select("doc", F.slice(F.concat("ids", padding), 1, max(max_len, 1)).alias("ids"))
+        longest = rows.agg(F.max(F.size("ids"))).first()[0] or 0
+    padding = F.array_repeat(F.lit(0).cast("long"), F.greatest(F.lit(longest) - F.size("ids"), F.lit(0)))
+    padded = F.concat("ids", padding)
+    return rows.select("doc", (padded if max_len is None else F.slice(padded, 1, max(max_len, 1))).alias("ids"))
 
 
 def tfidf(df: DataFrame, doc: str, tokens: str | Column) -> DataFrame:
-    """Share of the document's tokens times ln(documents / documents with the word) + 1."""
-    tokens = F.col(tokens) if isinstance(tokens, str) else tokens
-    sized = df.select(F.col(doc).alias("doc"), tokens.alias("_t"))
+    """Share of the document's tokens times ln(documents / documents with the word) + 1.
+
+    Words in at least one of ``OFTEN`` documents are no more than ``OFTEN`` times the mean number of words of a document, however many
+    documents there are: their frequencies are sent to the counts. Only the counts of other words are shuffled to theirs."""
     # stored, because it is read for the document frequencies and again for the weights
-    counts = materialise(
-        unnest(sized, "_t", "word", ["doc", F.size("_t").alias("size")])
-        .groupBy("doc", "word")
-        .agg(F.count(F.lit(1)).alias("n"), F.first("size").alias("size"))
-    )
+    counts = materialise(_sized_counts(df, doc, tokens))
     n_docs = df.count()
-    spread = counts.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
+    spread = materialise(counts.groupBy("word").agg(F.count(F.lit(1)).alias("df")))
+    often = F.broadcast(spread.where(F.col("df") * OFTEN >= n_docs))
+    rare = counts.join(often, "word", "left_anti").join(spread.where(F.col("df") * OFTEN < n_docs), "word")
     weight = F.col("n") / F.col("size") * (F.log(F.lit(float(n_docs)) / F.col("df")) + 1)
-    return counts.join(spread, "word").select("doc", "word", weight.alias("tfidf"))
+    return counts.join(often, "word").unionByName(rare).select("doc", "word", weight.alias("tfidf"))
 
 
 def tfidf_top(df: DataFrame, doc: str, tokens: str | Column, k: int = 4, digits: int = 12) -> DataFrame:

@@ -156,7 +156,7 @@ _VOCAB_SQL = f"SELECT word, row_number() OVER (ORDER BY doc, pos) AS id FROM (SE
 def _(t):
     tokens = plain_tokens(t)
     out = TM.to_sequences(tokens, "doc_id", "tokens", TM.vocabulary(tokens, "doc_id", "tokens"))
-    text = F.concat(F.lit(" "), F.array_join(F.transform("ids", lambda i: i.cast("string")), " "))
+    text = F.concat(F.lit(" "), F.array_join(F.col("ids").cast("array<string>"), " "))
     return out.select("doc", F.size("ids").cast("bigint").alias("length"), F.md5(text).alias("ids"))
 
 

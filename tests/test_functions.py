@@ -98,6 +98,33 @@ def test_vocabulary_and_counts(spark, rows):
     assert rows(seq) == [(0, [1, 2, 2]), (1, [2, 0, 0]), (2, [1, 1, 0])]
 
 
+def test_words_of_odd_rows(spark, rows):
+    """Documents of several rows, null documents, null and empty token arrays, null tokens."""
+    data = [(3, ["b", "a", "b"]), (1, ["c", None, "a"]), (3, ["a", "d"]), (None, ["e", "b"]), (2, None), (4, [])]
+    df = spark.createDataFrame(data, "doc LONG, t ARRAY<STRING>")
+    assert rows(TM.doc_term(df, "doc", "t").where("doc = 3")) == [(3, "a", 2), (3, "b", 2), (3, "d", 1)]
+    assert TM.doc_term(df, "doc", "t").where("word IS NULL").count() == 0
+    vocab = {r["word"]: r["index"] for r in TM.vocabulary(df, "doc", "t").collect()}
+    assert [w for w, _ in sorted(vocab.items(), key=lambda w: w[1])][:5] == ["e", "b", "c", None, "a"] and vocab["d"] == 5
+    seq = TM.to_sequences(df.where("doc < 4"), "doc", "t", TM.vocabulary(df, "doc", "t")).collect()
+    # both rows of document 3, by position: a b, a d, b
+    assert {r["doc"]: r["ids"] for r in seq} == {1: [3, 5, 0, 0, 0], 2: [0] * 5, 3: [2, 5, 5, 6, 2]}
+
+
+def test_words_of_single_rows_are_counted_without_a_shuffle(spark):
+    df = spark.createDataFrame([(i, ["a", "b", f"w{i}"]) for i in range(50)], "doc LONG, t ARRAY<STRING>")
+    assert "Exchange" not in TM.doc_term(df, "doc", "t")._jdf.queryExecution().executedPlan().toString()
+
+
+def test_tfidf_of_frequent_and_rare_words(spark, monkeypatch):
+    monkeypatch.setattr(TM, "OFTEN", 4)
+    df = spark.createDataFrame([(i, ["a", "a", f"w{i // 5}", f"w{i % 4}"]) for i in range(40)], "doc LONG, t ARRAY<STRING>")
+    texts = {r["doc"]: r["t"] for r in df.collect()}
+    df_of = lambda w: sum(w in t for t in texts.values())
+    want = {(d, w): t.count(w) / 4 * (math.log(40 / df_of(w)) + 1) for d, t in texts.items() for w in t}
+    assert {(r["doc"], r["word"]): r["tfidf"] for r in TM.tfidf(df, "doc", "t").collect()} == pytest.approx(want)
+
+
 def test_graph_of_words(spark, rows):
     df = spark.createDataFrame([(0, "a b a c"), (1, "x x"), (2, "a b c a")], "doc INT, text STRING").withColumn("t", F.split("text", " "))
     edges = TM.graph_of_words(df, "doc", "t", 3)
