@@ -31,6 +31,13 @@ def error_aggregates(y: str, yhat: str) -> list[Column]:
     ]
 
 
+def errors_of_several(df: DataFrame, y: str, predicted: Sequence[str], measures: Sequence[str], names: Sequence[Sequence[Column]]) -> DataFrame:
+    """``measures`` of several predictions of the same rows, one row per prediction beside its ``names``, from one pass."""
+    once = df.agg(*[F.struct(*[a for a in error_aggregates(y, p)]).alias(f"_e{i}") for i, p in enumerate(predicted)])
+    rows = F.explode(F.array(*[F.struct(*own, *[F.col(f"_e{i}.{m}").alias(m) for m in measures]) for i, own in enumerate(names)]))
+    return once.select(rows.alias("_r")).select("_r.*")
+
+
 def regression_errors(df: DataFrame, y: str, yhat: str, by: Sequence[str] = ()) -> DataFrame:
     return df.groupBy(*by).agg(*error_aggregates(y, yhat)) if by else df.agg(*error_aggregates(y, yhat))
 

@@ -390,6 +390,13 @@ def test_a_code_that_no_row_has_is_not_predicted(spark):
     assert len(out) == 60 and {r["predicted_code"] for r in out} <= {"a", "b"}
 
 
+def test_errors_of_several_predictions(spark):
+    df = spark.createDataFrame([(1.0, 2.0, 1.0), (4.0, 2.0, 4.5)], "y double, a double, b double")
+    out = M.errors_of_several(df, "y", ["a", "b"], ["n", "mae", "rmse"], [[F.lit(c).alias("kind")] for c in "ab"]).collect()
+    want = {c: M.regression_errors(df, "y", c).first() for c in "ab"}
+    assert {r["kind"]: (r["n"], r["mae"], r["rmse"]) for r in out} == {c: (w["n"], w["mae"], w["rmse"]) for c, w in want.items()}
+
+
 def test_group_models_equal_regression_aggregates(spark, line):
     models = {r["g"]: r["coefficients"] for r in ML.per_group_models(line, "g", ["x"], "clean").collect()}
     for r in ML.per_group_lines(line, "g", "x", "clean").collect():
