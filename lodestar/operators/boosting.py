@@ -2,8 +2,9 @@
 
 Features are cut into at most ``bins`` bins at sketched quantiles once. A tree grows at the leaf whose best split lowers the loss
 most. Its statistics are a histogram per feature (rows and residuals per bin): tasks add up the rows of the leaf in numpy and send
-one small table each, whatever the number of rows. Of the two children only the smaller is read; the histogram of the other
-is the parent's less it. The driver holds the histograms of the open leaves: leaves x features x bins numbers.
+one small table each, whatever the number of rows. A pass reads the children of all leaves that may be cut next; of two
+children only the smaller is read, and the histogram of the other is the parent's less it. The driver holds the histograms of the
+open leaves and their children: leaves x features x bins numbers.
 
 Residuals are stored once per tree. Rows with a null label take no part; a null or not-a-number feature goes to the left of every
 split. Of equal gains the smaller feature number, then the smaller bin wins.
@@ -29,6 +30,7 @@ class Leaf:
     rows: np.ndarray  # per feature and bin
     sums: np.ndarray
     value: float = 0.0
+    sides: list[Leaf] | None = None  # left and right of its best cut, once they are known
 
 
 @dataclass
@@ -74,39 +76,54 @@ def _within(path: list[tuple[int, int, bool]]) -> Column:
     return sum((t.cast("int") for t in tests), F.lit(0)) == len(tests)
 
 
-def _histogram(rows: DataFrame, path: list, p: int, bins: int) -> Leaf:
+def _histograms(rows: DataFrame, paths: list[list], p: int, bins: int) -> list[Leaf]:
+    """The leaves at the ends of disjoint paths, from one pass."""
+    shape = (len(paths), p, bins)
+
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n, s = np.zeros((p, bins), np.int64), np.zeros((p, bins))
+        n, s = np.zeros(shape, np.int64), np.zeros(shape)
         for batch in batches:
-            r = batch.column("r").to_numpy()
+            r, leaf = batch.column("r").to_numpy(), batch.column("leaf").to_numpy().astype(np.int64)
             for f in range(p):
-                b = batch.column(f"b{f}").to_numpy()
-                n[f] += np.bincount(b, minlength=bins)
-                s[f] += np.bincount(b, weights=r, minlength=bins)
-        yield pa.RecordBatch.from_pydict({"at": pa.array(np.arange(p * bins), pa.int32()), "n": n.ravel(), "s": s.ravel()})
+                cell = leaf * bins + batch.column(f"b{f}").to_numpy()
+                n[:, f] += np.bincount(cell, minlength=len(paths) * bins).reshape(-1, bins)
+                s[:, f] += np.bincount(cell, weights=r, minlength=len(paths) * bins).reshape(-1, bins)
+        yield pa.RecordBatch.from_pydict({"at": pa.array(np.arange(n.size), pa.int32()), "n": n.ravel(), "s": s.ravel()})
+
+    which = F.coalesce(*[F.when(_within(path), F.lit(i)) for i, path in enumerate(paths)])
+    own = rows.select("r", *[f"b{f}" for f in range(p)], which.alias("leaf")).where("leaf IS NOT NULL")
+    sums = own.mapInArrow(add, "at int, n long, s double").groupBy("at").agg(F.sum("n").alias("n"), F.sum("s").alias("s"))
+    n, s = np.zeros(shape, np.int64), np.zeros(shape)
+    for row in sums.collect():  # leaves x features x bins numbers
+        n.flat[row["at"]], s.flat[row["at"]] = row["n"], row["s"]
+    return [Leaf(path, n[i], s[i]) for i, path in enumerate(paths)]
 
-    own = rows.where(_within(path)) if path else rows
-    sums = own.select("r", *[f"b{f}" for f in range(p)]).mapInArrow(add, "at int, n long, s double").groupBy("at").agg(F.sum("n").alias("n"), F.sum("s").alias("s"))
-    out = Leaf(path, np.zeros((p, bins), np.int64), np.zeros((p, bins)))
-    for row in sums.collect():  # features x bins numbers
-        out.rows.flat[row["at"]], out.sums.flat[row["at"]] = row["n"], row["s"]
-    return out
+
+def _divide(rows: DataFrame, parts: list[tuple[Leaf, int, int]], p: int, bins: int) -> None:
+    """Both sides of leaves at their cuts: the smaller sides are read in one pass, the larger ones are what they lack."""
+    few_left = [2 * leaf.rows[feature, : last + 1].sum() <= leaf.rows[feature].sum() for leaf, feature, last in parts]
+    paths = [[*leaf.path, (feature, last, bool(few))] for (leaf, feature, last), few in zip(parts, few_left)]
+    for (leaf, feature, last), few, small in zip(parts, few_left, _histograms(rows, paths, p, bins)):
+        large = Leaf([*leaf.path, (feature, last, not few)], leaf.rows - small.rows, leaf.sums - small.sums)
+        leaf.sides = [small, large] if few else [large, small]
 
 
 def grow(rows: DataFrame, p: int, bins: int, leaves: int, least_rows: int, ridge: float) -> list[Leaf]:
-    """The leaves of one tree on ``rows(r, b0..)``, with their mean residual as value."""
-    open_ = [_histogram(rows, [], p, bins)]
+    """The leaves of one tree on ``rows(r, b0..)``, with their mean residual as value.
+
+    Any of the best cuts of the open leaves, as many as are left to make, may be among the next, so a pass reads the sides of all
+    of them: a tree takes about as many passes as it is deep."""
+    open_ = _histograms(rows, [[]], p, bins)
     while len(open_) < leaves:
         found = [(best_split(leaf, least_rows, ridge), i) for i, leaf in enumerate(open_)]
-        able = [(cut, i) for cut, i in found if cut]
+        able = sorted((-cut[0], i, cut[1], cut[2]) for cut, i in found if cut)
         if not able:
             break
-        (_, feature, last), at = max(able, key=lambda c: (c[0][0], -c[1]))
-        parent = open_[at]
-        few_left = 2 * parent.rows[feature, : last + 1].sum() <= parent.rows[feature].sum()
-        small = _histogram(rows, [*parent.path, (feature, last, bool(few_left))], p, bins)
-        large = Leaf([*parent.path, (feature, last, not few_left)], parent.rows - small.rows, parent.sums - small.sums)
-        open_[at : at + 1] = [small, large] if few_left else [large, small]
+        at = able[0][1]
+        if open_[at].sides is None:
+            next_ = able[: leaves - len(open_)]
+            _divide(rows, [(open_[i], feature, last) for _, i, feature, last in next_ if open_[i].sides is None], p, bins)
+        open_[at : at + 1] = open_[at].sides
     for leaf in open_:
         leaf.value = float(leaf.sums[0].sum() / max(leaf.rows[0].sum() + ridge, 1e-300))
     return open_

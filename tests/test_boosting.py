@@ -59,3 +59,11 @@ def test_nulls_and_small_tables(spark):
     constant = B.fit_leafwise(df.selectExpr("id", "a", "3.0 AS y"), ["a"], "y", least_rows=1)
     assert constant.trees == [] and constant.base == 3.0
     assert np.isnan(B.fit_leafwise(df.where("id > 9"), ["a"], "y").base)
+
+
+def test_a_tree_takes_as_many_passes_as_it_is_deep(spark, monkeypatch):
+    passes, read = [], B._histograms
+    monkeypatch.setattr(B, "_histograms", lambda rows, paths, *a: passes.append(len(paths)) or read(rows, paths, *a))
+    rows = spark.range(4096).selectExpr("cast(id as double) as r", "cast(id % 64 as int) as b0", "cast(id / 64 as int) as b1")
+    grown = B.grow(rows, 2, 64, 16, 1, 0.0)
+    assert len(grown) == 16 and len(passes) <= 1 + max(len(leaf.path) for leaf in grown) < 16
