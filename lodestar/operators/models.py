@@ -40,13 +40,13 @@ from pyspark.ml.regression import (
     RandomForestRegressor,
 )
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestar.functions.columns import hash_fraction, key_hash
 from lodestar.operators.metrics import regression_errors
 from lodestar.operators.rows import fold_column
-from lodestar.operators.scaling import Rounds, materialise, row_at, salted_lookup, union_all, with_row_number
+from lodestar.operators.scaling import Rounds, materialise, piece_offsets, row_at, salted_lookup, union_all, with_row_number
 
 MAX_CLASSES = 1000
 
@@ -293,14 +293,25 @@ def validation_curve(
     return df.sparkSession.createDataFrame(rows, "value STRING, train DOUBLE, test DOUBLE")
 
 
+_HASH_PIECE_BITS = 20  # of 32: 4,096 pieces
+
 # --- importance ------------------------------------------------------------------------------------
 
 
+def _hash_order(df: DataFrame, keys: Sequence[str], seed: int) -> DataFrame:
+    """Rows with ``_n``, 1..n in the order of a hash of their key. The hash is even, so equal pieces of its range are ranges of the
+    order: rows are counted per piece and meet once by piece, without a sample of the table or a stored copy."""
+    hashed = df.withColumn("_h", key_hash(keys, seed)).withColumn("_range", F.shiftright("_h", _HASH_PIECE_BITS).cast("int"))
+    before = piece_offsets(hashed.groupBy("_range").agg(F.count(F.lit(1)).alias("n")), ["n"])
+    place = F.row_number().over(Window.partitionBy("_range").orderBy("_h", *keys))
+    placed = hashed.withColumn("_n", place).join(F.broadcast(before), "_range")
+    return placed.withColumn("_n", F.col("_n") + F.col("_before_n")).drop("_h", "_range", "_before_n")
+
+
 def shuffle_column(df: DataFrame, column: str, keys: Sequence[str], seed: int) -> DataFrame:
     """The rows with one column permuted: rows and values are numbered in two hash orders and joined."""
-    rows = with_row_number(df.withColumn("_h", key_hash(keys, seed)), ["_h", *keys], "_n").drop("_h", column)
-    moved = df.select(*keys, column).withColumn("_h", key_hash(keys, seed + 7919))
-    values = with_row_number(moved, ["_h", *keys], "_n").select("_n", column)
+    rows = _hash_order(df, keys, seed).drop(column)
+    values = _hash_order(df.select(*dict.fromkeys([*keys, column])), keys, seed + 7919).select("_n", column)
     return rows.join(values, "_n").drop("_n").select(*df.columns)
 
 

@@ -392,7 +392,7 @@ def _(t):
 
 @query("ml19_permutation_importance")
 def _(t):
-    rows = materialise(_lines(t).drop("features"))
+    rows = _lines(t).select("row_id", "label", *_NUM)  # stored by the operator
     model = ML.linear().fit(assemble(rows, _NUM))
 
     def score(df):

@@ -448,3 +448,20 @@ def test_constant_columns_and_single_classes(spark):
     assert one["auc"] is None and one["pr_auc"] == 1.0
     ratings = spark.createDataFrame([(1, 1, 0.0), (2, 1, 3.0), (3, 1, 4.0)], "user INT, item INT, rating DOUBLE")
     assert {(r["a"], r["b"]) for r in R.user_similarity(ratings).collect()} == {(2, 3), (3, 2)}
+
+
+def test_shuffle_column_follows_the_hash_and_stores_nothing(spark, monkeypatch):
+    import hashlib
+
+    stored, write = [], scaling.materialise
+    monkeypatch.setattr(scaling, "materialise", lambda df: stored.append(1) or write(df))
+    rows = spark.createDataFrame([(i, i * 10, "a") for i in range(300)] + [(None, -1, "b")], "id long, x long, g string")
+    got = {(r["id"], r["g"]): r["x"] for r in ML.shuffle_column(rows, "x", ["id"], 5).collect()}
+
+    def order(seed):
+        ids = [None, *range(300)]
+        return sorted(ids, key=lambda i: int(hashlib.md5((f"{seed}" if i is None else f"{i}:{seed}").encode()).hexdigest()[:8], 16))
+
+    value = lambda i: -1 if i is None else i * 10
+    assert got == {(i, "b" if i is None else "a"): value(j) for i, j in zip(order(5), order(5 + 7919))}
+    assert not stored
