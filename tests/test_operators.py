@@ -465,3 +465,17 @@ def test_shuffle_column_follows_the_hash_and_stores_nothing(spark, monkeypatch):
     value = lambda i: -1 if i is None else i * 10
     assert got == {(i, "b" if i is None else "a"): value(j) for i, j in zip(order(5), order(5 + 7919))}
     assert not stored
+
+
+def test_core_numbers_reads_neighbours_as_bounded_lists(spark, hub_graph, monkeypatch):
+    def cores():
+        return {r["node"]: r["core"] for r in G.core_numbers(graph(spark, hub_graph)).collect()}
+
+    want, kept, write = cores(), [], G.materialise
+    monkeypatch.setattr(G, "materialise", lambda df: kept.append(write(df)) or kept[-1])
+    monkeypatch.setattr(G, "hot_keys", lambda rows, on: scaling.hot_keys(rows, on, 8), raising=False)
+    assert cores() == want
+    lists = [f for f in kept if "srcs" in f.columns]
+    sizes = [r["n"] for f in lists for r in f.select(F.size("srcs").alias("n")).collect()]
+    assert sizes and 1 < max(sizes) < max(r["n"] for r in lists[0].groupBy("dst").agg(F.sum(F.size("srcs")).alias("n")).collect())
+    assert sum(sizes) > len(sizes)
