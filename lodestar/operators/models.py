@@ -308,23 +308,38 @@ def _hash_order(df: DataFrame, keys: Sequence[str], seed: int) -> DataFrame:
     return placed.withColumn("_n", F.col("_n") + F.col("_before_n")).drop("_h", "_range", "_before_n")
 
 
+def _beside_others(numbered: DataFrame, columns: Sequence[str], keys: Sequence[str], seed: int) -> DataFrame:
+    """The rows of ``_hash_order`` with ``_other``, the ``columns`` of the row at the same place of another hash order."""
+    values = _hash_order(numbered.select(*dict.fromkeys([*keys, *columns])), keys, seed)
+    return numbered.join(values.select("_n", F.struct(*columns).alias("_other")), "_n").drop("_n")
+
+
+def _swapped(beside: DataFrame, column: str) -> DataFrame:
+    return beside.withColumn(column, F.col("_other").getField(column)).drop("_other")
+
+
 def shuffle_column(df: DataFrame, column: str, keys: Sequence[str], seed: int) -> DataFrame:
     """The rows with one column permuted: rows and values are numbered in two hash orders and joined."""
-    rows = _hash_order(df, keys, seed).drop(column)
-    values = _hash_order(df.select(*dict.fromkeys([*keys, column])), keys, seed + 7919).select("_n", column)
-    return rows.join(values, "_n").drop("_n").select(*df.columns)
+    return _swapped(_beside_others(_hash_order(df, keys, seed), [column], keys, seed + 7919), column)
 
 
 def permutation_importance(
     df: DataFrame, score: Callable[[DataFrame], float], columns: Sequence[str], keys: Sequence[str], repeats: int = 3, seed: int = 42
 ) -> DataFrame:
-    """Mean and deviation of the score lost when a column is shuffled (larger loss, more important)."""
-    stored = materialise(df)
+    """Mean and deviation of the score lost when a column is shuffled (larger loss, more important).
+
+    The rows are numbered once. A repeat deals every row the columns of another one; each column is then swapped alone, so a
+    repeat joins the table once, however many columns it has."""
+    columns = list(columns)
+    stored, rounds = materialise(df), Rounds(df.sparkSession)
     base = score(stored)
-    rows = []
-    for c, column in enumerate(columns):
-        drops = [score(shuffle_column(stored, column, keys, seed + 101 * c + r)) - base for r in range(repeats)]
-        rows.append((column, float(np.mean(drops)), float(np.std(drops))))
+    numbered = materialise(_hash_order(stored, keys, seed))
+    drops = {column: [] for column in columns}
+    for r in range(repeats):
+        beside = rounds.store(_beside_others(numbered, columns, keys, seed + 7919 + r))
+        for column in columns:
+            drops[column].append(score(_swapped(beside, column)) - base)
+    rows = [(column, float(np.mean(lost)), float(np.std(lost))) for column, lost in drops.items()]
     return df.sparkSession.createDataFrame(rows, "feature STRING, importance DOUBLE, deviation DOUBLE")
 
 

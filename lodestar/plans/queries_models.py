@@ -398,7 +398,7 @@ def _(t):
     def score(df):
         return M.regression_errors(model.transform(assemble(df, _NUM)), "label", "prediction").first()["mae"]
 
-    return ML.permutation_importance(rows, score, _NUM, _KEYS, repeats=1)
+    return ML.permutation_importance(rows, score, _NUM, _KEYS, repeats=10)
 
 
 @query("ml19_tree_importance")

@@ -479,3 +479,27 @@ def test_core_numbers_reads_neighbours_as_bounded_lists(spark, hub_graph, monkey
     sizes = [r["n"] for f in lists for r in f.select(F.size("srcs").alias("n")).collect()]
     assert sizes and 1 < max(sizes) < max(r["n"] for r in lists[0].groupBy("dst").agg(F.sum(F.size("srcs")).alias("n")).collect())
     assert sum(sizes) > len(sizes)
+
+
+def test_permutation_importance_scores_every_column_in_every_repeat(spark):
+    rows = spark.createDataFrame([(i, float(i), float(i % 7), 1.0) for i in range(200)], "id long, x double, y double, same double")
+    seen = []
+
+    def score(df):
+        seen.append([tuple(r) for r in df.orderBy("id").collect()])
+        return df.select(F.avg(F.abs(F.col("x") - F.col("id")) + F.abs(F.col("y") - F.col("id") % 7)).alias("e")).first()["e"]
+
+    out = {r["feature"]: r for r in ML.permutation_importance(rows, score, ["x", "y", "same"], ["id"], repeats=4).collect()}
+    assert len(seen) == 1 + 3 * 4 and len({tuple(s) for s in seen}) == 1 + 2 * 4
+    for i, shuffled in enumerate(seen[1:]):  # one column of a repeat is permuted, the others are as they were
+        for c, (before, after) in enumerate(zip(zip(*seen[0]), zip(*shuffled))):
+            assert sorted(before) == sorted(after) and (before == after) == (c != 1 + i % 3 or c == 3)
+    assert out["x"]["importance"] > out["y"]["importance"] > 0 and out["x"]["deviation"] > 0
+    assert out["same"]["importance"] == 0 == out["same"]["deviation"]
+
+
+def test_permutation_importance_of_lines_repeats_its_shuffles(spark):
+    import __spark_entry__ as entry
+
+    found = entry.queries()["ml19_permutation_importance"](spark, "/root/testdata/sf0.001").collect()
+    assert all(r["deviation"] > 0 for r in found)
