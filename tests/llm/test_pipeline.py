@@ -67,3 +67,9 @@ def test_empty_tables(spark, tmp_path):
     spark.createDataFrame([], SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_kept_ids_are_not_broadcast(spark, given):
+    docs = spark.read.parquet(f"{given[0]}/documents.parquet")
+    plan = corpus_pipeline._only(docs, docs.where("n_chars > 1"))._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan

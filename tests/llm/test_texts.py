@@ -387,6 +387,23 @@ def test_alignment_has_the_fewest_edits():
     assert neardup.aligned_similarity(swap, swap[::-1].copy()) == 0.0
 
 
+def test_near_duplicates_broadcast_no_table_of_the_corpus(spark, monkeypatch):
+    """Every such table would be built in the driver; only the components of the links are left to Spark."""
+    plans, write = [], neardup.store
+
+    def plan(df):
+        if df.columns != ["node", "component"]:
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return df
+
+    monkeypatch.setattr(neardup, "store", lambda df: write(plan(df)))
+    near = lambda i, n: " ".join(f"w{i}" if j == n else f"v{j}" for j in range(60))
+    rows = [(k, near(k, k % 50), None, None) for k in range(80)] + [(100 + k, f"a{k} b c d e f g h", None, None) for k in range(20)]
+    plan(neardup.near_duplicate_groups(documents(spark, rows), small=4)).count()
+    assert sum("SortMergeJoin" in p for p in plans) > 5
+    assert not [p for p in plans if "BroadcastExchange" in p]
+
+
 def test_near_duplicates_of_odd_tables(spark):
     assert neardup.near_duplicate_groups(documents(spark, [])).count() == 0
     got = neardup.near_duplicate_groups(documents(spark, [(1, None, None, None), (2, "  ", None, None), (None, "x y", None, None)])).collect()
