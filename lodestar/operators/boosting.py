@@ -6,7 +6,8 @@ one small table each, whatever the number of rows. A pass reads the children of
 children only the smaller is read, and the histogram of the other is the parent's less it. The driver holds the histograms of the
 open leaves and their children: leaves x features x bins numbers.
 
-Residuals are stored once per tree. Rows with a null label take no part; a null or not-a-number feature goes to the left of every
+Rows with the same bins are never told apart, so they are one stored row from the start: their number and the sum of their
+residuals, which are stored once per tree. Rows with a null label take no part; a null or not-a-number feature goes to the left of every
 split. Of equal gains the smaller feature number, then the smaller bin wins.
 """
 
@@ -77,21 +78,24 @@ def _within(path: list[tuple[int, int, bool]]) -> Column:
 
 
 def _histograms(rows: DataFrame, paths: list[list], p: int, bins: int) -> list[Leaf]:
-    """The leaves at the ends of disjoint paths, from one pass."""
+    """The leaves at the ends of disjoint paths, from one pass over ``rows(r, b0..)``, or ``rows(n, r, b0..)`` for n rows whose residuals
+    add up to r."""
     shape = (len(paths), p, bins)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n, s = np.zeros(shape, np.int64), np.zeros(shape)
         for batch in batches:
-            r, leaf = batch.column("r").to_numpy(), batch.column("leaf").to_numpy().astype(np.int64)
+            r, w, leaf = batch.column("r").to_numpy(), batch.column("n").to_numpy(), batch.column("leaf").to_numpy().astype(np.int64)
             for f in range(p):
                 cell = leaf * bins + batch.column(f"b{f}").to_numpy()
-                n[:, f] += np.bincount(cell, minlength=len(paths) * bins).reshape(-1, bins)
+                # exact: sums of whole numbers below 2^53
+                n[:, f] += np.bincount(cell, weights=w, minlength=len(paths) * bins).reshape(-1, bins).astype(np.int64)
                 s[:, f] += np.bincount(cell, weights=r, minlength=len(paths) * bins).reshape(-1, bins)
         yield pa.RecordBatch.from_pydict({"at": pa.array(np.arange(n.size), pa.int32()), "n": n.ravel(), "s": s.ravel()})
 
     which = F.coalesce(*[F.when(_within(path), F.lit(i)) for i, path in enumerate(paths)])
-    own = rows.select("r", *[f"b{f}" for f in range(p)], which.alias("leaf")).where("leaf IS NOT NULL")
+    times = F.col("n") if "n" in rows.columns else F.lit(1).cast("long")
+    own = rows.select("r", times.alias("n"), *[f"b{f}" for f in range(p)], which.alias("leaf")).where("leaf IS NOT NULL")
     sums = own.mapInArrow(add, "at int, n long, s double").groupBy("at").agg(F.sum("n").alias("n"), F.sum("s").alias("s"))
     n, s = np.zeros(shape, np.int64), np.zeros(shape)
     for row in sums.collect():  # leaves x features x bins numbers
@@ -153,17 +157,24 @@ def fit_leafwise(
         return model
     edges = [np.unique(np.array(first[f"q{i}"] or [], dtype=float)) for i in range(p)]
 
-    def bin_of(v: Column, cuts: np.ndarray) -> Column:
-        # the number of edges below the value
-        return sum((F.when(v > float(c), 1).otherwise(0) for c in cuts), F.lit(0)).cast("int")
-
-    binned = known.select((F.col(label).cast("double") - model.base).alias("r"), *[bin_of(v, e).alias(f"b{i}") for i, (v, e) in enumerate(zip(number, edges))])
-    rows, rounds = materialise(binned), Rounds(df.sparkSession)
+    def bin_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = {"r": batch.column("y").to_numpy() - model.base}
+            for i, cuts in enumerate(edges):
+                v = batch.column(f"x{i}").to_numpy(zero_copy_only=False).astype(float)
+                # the number of edges below the value; none for null and not a number
+                columns[f"b{i}"] = np.where(np.isnan(v), 0, np.searchsorted(cuts, v)).astype(np.int32)
+            yield pa.RecordBatch.from_pydict(columns)
+
+    plain = known.select(F.col(label).cast("double").alias("y"), *[v.alias(f"x{i}") for i, v in enumerate(x)])
+    binned = plain.mapInArrow(bin_rows, "r double" + "".join(f", b{i} int" for i in range(p)))
+    cells = binned.groupBy(*[f"b{i}" for i in range(p)]).agg(F.count(F.lit(1)).alias("n"), F.sum("r").alias("r"))
+    rows, rounds = materialise(cells), Rounds(df.sparkSession)
     for _ in range(trees):
         grown = grow(rows, p, bins, leaves, least_rows, ridge)
         if len(grown) == 1:
             break
         model.trees.append(_tree(grown, edges, rate))
         step = F.coalesce(*[F.when(_within(leaf.path), F.lit(leaf.value * rate)) for leaf in grown])
-        rows = rounds.store(rows.withColumn("r", F.col("r") - step))
+        rows = rounds.store(rows.withColumn("r", F.col("r") - F.col("n") * step))
     return model

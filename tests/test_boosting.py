@@ -67,3 +67,19 @@ def test_a_tree_takes_as_many_passes_as_it_is_deep(spark, monkeypatch):
     rows = spark.range(4096).selectExpr("cast(id as double) as r", "cast(id % 64 as int) as b0", "cast(id / 64 as int) as b1")
     grown = B.grow(rows, 2, 64, 16, 1, 0.0)
     assert len(grown) == 16 and len(passes) <= 1 + max(len(leaf.path) for leaf in grown) < 16
+
+
+def test_rows_with_the_same_bins_are_stored_once(spark, monkeypatch):
+    """Copies of the rows, in other places, change neither what is stored nor the model."""
+    x, y = table(2, 300)
+    x = np.round(x / [1, 10, 0.1])
+    rows = [(*map(float, v), float(t)) for v, t in zip(x, y)]
+    stored, store = [], B.materialise
+    monkeypatch.setattr(B, "materialise", lambda df: stored.append(store(df)) or stored[-1])
+    fit = lambda k: B.fit_leafwise(spark.createDataFrame(rows * k, "a double, b double, c double, y double").repartition(3), ["a", "b", "c"], "y", trees=3, leaves=5, bins=64, least_rows=4 * k)
+    one, many = fit(1), fit(6)
+    assert stored[0].count() == stored[1].count() <= len(np.unique(x, axis=0)) < len(rows)
+    assert stored[1].agg(B.F.sum("n")).first()[0] == 6 * len(rows)
+    df = spark.createDataFrame(rows, "a double, b double, c double, y double")
+    got = [[r["prediction"] for r in model.predict(df).collect()] for model in (one, many)]
+    assert got[0] == pytest.approx(got[1]) and got[0] == pytest.approx(plain(x, y, [np.unique(x[:, f]) for f in range(3)], 3, 5, 0.1, 4).tolist())
