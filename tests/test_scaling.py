@@ -87,6 +87,25 @@ def test_block_top_k_is_exact_with_ties(spark):
         assert [r["base_id"] for r in sorted((r for r in out if r["query_id"] == i), key=lambda r: r["rank"])] == want
 
 
+def test_block_top_k_sends_large_tables_to_few_blocks(spark, monkeypatch):
+    """A block is compared panel by panel, ties across panels included, so a row is not sent once per panel."""
+    rng = np.random.default_rng(3)
+    points = np.round(rng.normal(size=(400, 2)), 1)
+    points[100:300:9] = points[0]
+    df = spark.createDataFrame([(i, [float(x) for x in p]) for i, p in enumerate(points)], "id INT, vector ARRAY<DOUBLE>")
+    distance = lambda x, y: -np.sqrt(((x[:, None, :] - y[None, :, :]) ** 2).sum(axis=2))
+    copies, every = [], scaling._all_blocks
+    monkeypatch.setattr(scaling, "_all_blocks", lambda blocks: copies.append(blocks) or every(blocks))
+    found = {}
+    for r in scaling.block_top_k(df, df, distance, 6, size=10).collect():
+        found.setdefault(r["query_id"], {})[r["rank"]] = r["base_id"]
+    full = np.round(distance(points, points), 9)
+    for i in range(400):
+        want = sorted(range(400), key=lambda j: (-full[i, j], j))[:6]
+        assert [b for _, b in sorted(found[i].items())] == want
+    assert copies and max(copies) <= 8
+
+
 def test_salted_lookup_keeps_every_row(spark, skewed):
     lookup = skewed.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
     joined = scaling.salted_lookup(skewed, lookup, ["k"])
